@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files are removed once the checkpointed DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -61,6 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint (never localCheckpoint: it dies with an executor)."""
+    """Reliable checkpoint into the shared checkpoint directory (never
+    localCheckpoint: its blocks die with the executor).  Used where a derived
+    table is read several times by later stages (level-wise mining, iterative
+    joins), so the plan does not re-inline its whole lineage each time."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
