@@ -39,3 +39,12 @@ def scalar(df: DataFrame, expr: Column) -> Column:
     """A whole-table statistic as a scalar-subquery column (no cross join, no
     driver round trip): ``df.select(expr).scalar()``."""
     return df.select(expr).scalar()
+
+
+def stats_row(df: DataFrame, **aggs: Column) -> dict:
+    """Several whole-table aggregates computed in ONE job and returned as
+    literal columns.  The row is bounded (a few numbers per column); inlining
+    them keeps the main plan a single scan + projection (a scalar subquery
+    referenced k times would be planned, and scanned, k times)."""
+    row = df.agg(*[a.alias(k) for k, a in aggs.items()]).first()
+    return {k: F.lit(row[k]) for k in aggs}

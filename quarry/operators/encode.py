@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stats_row
+
 # ---------------------------------------------------------------- recodes
 
 
@@ -63,10 +65,11 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """(x - min) / (max - min); a constant column maps to 0."""
+    st = stats_row(df, **{f"lo{i}": F.min(c) for i, c in enumerate(cols)},
+                   **{f"hi{i}": F.max(c) for i, c in enumerate(cols)})
     exprs = {}
-    for c in cols:
-        lo = df.select(F.min(c)).scalar()
-        hi = df.select(F.max(c)).scalar()
+    for i, c in enumerate(cols):
+        lo, hi = st[f"lo{i}"], st[f"hi{i}"]
         exprs[c + suffix] = F.when(hi == lo, F.lit(0.0)).otherwise((F.col(c) - lo) / (hi - lo))
     return df.withColumns(exprs)
 
@@ -87,10 +90,11 @@ def scaler_ranges(df: DataFrame, scaled: DataFrame, cols: Sequence[str]) -> Data
 
 def zscore(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
     """(x - mean) / population std; a constant column maps to 0."""
+    st = stats_row(df, **{f"m{i}": F.avg(c) for i, c in enumerate(cols)},
+                   **{f"s{i}": F.stddev_pop(c) for i, c in enumerate(cols)})
     exprs = {}
-    for c in cols:
-        m = df.select(F.avg(c)).scalar()
-        s = df.select(F.stddev_pop(c)).scalar()
+    for i, c in enumerate(cols):
+        m, s = st[f"m{i}"], st[f"s{i}"]
         exprs[c + suffix] = F.when(s == 0, F.lit(0.0)).otherwise((F.col(c) - m) / s)
     return df.withColumns(exprs)
 
@@ -98,10 +102,10 @@ def zscore(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
 def zscore_array(df: DataFrame, vec: str, dim: int, out: str | None = None) -> DataFrame:
     """I15 on an array<double> column, per position (population std)."""
     out = out or vec
-    stats = df.agg(*[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(dim)],
-                   *[F.stddev_pop(F.col(vec)[i]).alias(f"s{i}") for i in range(dim)])
-    ms = [stats.select(f"m{i}").scalar() for i in range(dim)]
-    ss = [stats.select(f"s{i}").scalar() for i in range(dim)]
+    st = stats_row(df, **{f"m{i}": F.avg(F.col(vec)[i]) for i in range(dim)},
+                   **{f"s{i}": F.stddev_pop(F.col(vec)[i]) for i in range(dim)})
+    ms = [st[f"m{i}"] for i in range(dim)]
+    ss = [st[f"s{i}"] for i in range(dim)]
     return df.withColumn(out, F.array(*[
         F.when(ss[i] == 0, F.lit(0.0)).otherwise((F.col(vec)[i] - ms[i]) / ss[i]) for i in range(dim)]))
 

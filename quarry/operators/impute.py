@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import long_form
 from .profile import auto_bin_stats, bin_edge, bin_index, missing_tier
 
@@ -39,6 +40,8 @@ def peak_fill_values(long: DataFrame, keys: Sequence[str], x: str = "x", closed:
         F.count(F.lit(1)).alias("cnt"), F.sum(x).alias("s"),
         F.sum(F.when(F.col(x) < hi, F.col(x))).alias("hs"), F.count_if(F.col(x) < hi).alias("hn"),
         F.sum(F.when(F.col(x) == lo, F.col(x))).alias("es"), F.count_if(F.col(x) == lo).alias("en"))
+    # small (keys x bins) and read twice below: materialise instead of re-scanning the data
+    per_bin = cut_lineage(per_bin)
     pk = per_bin.groupBy(*keys).agg(
         F.max_by("bin", F.struct(F.col("cnt"), -F.col("bin"))).alias("p"),
         (F.sum("s") / F.sum("cnt")).alias("mean"))

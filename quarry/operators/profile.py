@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import long_form
+from .common import long_form, stats_row
 
 
 def quantile(c: Column | str, q: float, exact: bool = True, accuracy: int = 100000) -> Column:
@@ -187,7 +187,7 @@ def _edge_cols(df: DataFrame, lo: Column, hi: Column, bins) -> DataFrame:
 
 def percentile_histogram(df: DataFrame, value: str, q: float = 0.99, bins: int = 49) -> DataFrame:
     """``bins`` equal bins on [0, p_q]: the reference's linspace(0, p99, 50)."""
-    hi = df.select(F.percentile(value, q)).scalar()
+    hi = stats_row(df, hi=F.percentile(value, q))["hi"]
     x = F.col(value)
     b = F.least(F.floor(x * bins / hi), F.lit(bins - 1)).cast("int")
     counts = df.where((x >= 0) & (x <= hi)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -197,8 +197,8 @@ def percentile_histogram(df: DataFrame, value: str, q: float = 0.99, bins: int =
 
 def minmax_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """``bins`` equal-width bins over [min, max]."""
-    lo = df.select(F.min(value)).scalar()
-    hi = df.select(F.max(value)).scalar()
+    st = stats_row(df, lo=F.min(value), hi=F.max(value))
+    lo, hi = st["lo"], st["hi"]
     x = F.col(value)
     b = F.least(F.floor((x - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
     counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

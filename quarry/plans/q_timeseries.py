@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import timeseries as ts
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 from ..sources.tables import table
 from .registry import register
@@ -18,10 +19,12 @@ def _r(c, n=R6):
 
 
 def filled_grid(spark, sf_dir):
-    """pv_grid with W6 fills of power and generation."""
+    """pv_grid with W6 fills of power and generation, materialised once: the
+    window queries read it from several branches, and the grid is bounded by
+    series x slots however many raw events feed it."""
     g = fx.pv_grid(spark, sf_dir)
     g = ts.tod_mean_fill(g, "power")
-    return ts.tod_mean_fill(g, "generation")
+    return cut_lineage(ts.tod_mean_fill(g, "generation"))
 
 
 FILL_SQL = """,
@@ -162,7 +165,7 @@ SELECT series, w, step, k, w AS j, round(periodic, 6) AS value FROM ends""")
 def trend_period_windows(spark, sf_dir):
     """Gap-filled window of power_filled ++ periodic feature at the window end;
     windows whose feature is NULL are dropped (trap B6: aligned by k, not position)."""
-    g = ts.periodic_feature(filled_grid(spark, sf_dir), "power_filled")
+    g = cut_lineage(ts.periodic_feature(filled_grid(spark, sf_dir), "power_filled"))
     win = ts.window_gap_fill(ts.sliding_windows(g, ["power_filled"]), "power_filled")
     keys = ["series", "w", "step", "k"]
     ends = (win.select(*keys).distinct()

@@ -293,5 +293,5 @@ FROM scores""")
 def risk_bands(spark, sf_dir):
     """D3 on a score normalised to [0, 1]."""
     s = fx.scores(spark, sf_dir)
-    p = F.col("score") / s.select(F.max("score")).scalar()
-    return s.select("doc_id", _r(p).alias("p"), en.risk_band(p).alias("band"))
+    s = s.withColumn("p", F.col("score") / s.select(F.max("score")).scalar())
+    return s.select("doc_id", _r(F.col("p")).alias("p"), en.risk_band(F.col("p")).alias("band"))
