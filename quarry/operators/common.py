@@ -48,3 +48,35 @@ def stats_row(df: DataFrame, **aggs: Column) -> dict:
     referenced k times would be planned, and scanned, k times)."""
     row = df.agg(*[a.alias(k) for k, a in aggs.items()]).first()
     return {k: F.lit(row[k]) for k in aggs}
+
+
+def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], tiebreak: Sequence[str] = (),
+                   buckets: int | None = None, prefix: str = "cum_", descending: bool = False) -> DataFrame:
+    """Inclusive running sums of ``cols`` ordered by ``order_col`` (then
+    ``tiebreak``) without a global window.
+
+    Bucket rows by approximate quantile bounds of the order column (at most
+    ``buckets`` literals, a deterministic function of the value), total each
+    bucket (one row per bucket), turn the totals into offsets with a window
+    over that tiny table, and finish with a window local to each bucket.
+    Equal order values share a bucket, so aggregate heavy ties first."""
+    sp = df.sparkSession
+    nb = buckets or int(sp.conf.get("spark.sql.shuffle.partitions"))
+    key = -F.col(order_col) if descending else F.col(order_col)
+    src = df.withColumn("_key", key.cast("double"))
+    if nb > 1:
+        qs = [i / nb for i in range(1, nb)]
+        bounds = src.select(F.percentile_approx("_key", qs, 10000)).first()[0] or []
+        bounds = sorted(set(b for b in bounds if b is not None))
+    else:
+        bounds = []
+    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    src = src.withColumn("_b", F.size(F.filter(arr, lambda x: x < F.col("_key"))))
+    tot = src.groupBy("_b").agg(*[F.sum(c).alias(c) for c in cols])
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])
+    w = Window.partitionBy("_b").orderBy("_key", *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    out = src.join(off, "_b")
+    for c in cols:
+        out = out.withColumn(prefix + c, F.col(f"_off_{c}") + F.sum(c).over(w))
+    return out.drop("_b", "_key", *[f"_off_{c}" for c in cols])

@@ -123,12 +123,13 @@ def median_binarise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Columns with more than two distinct values -> x > median; binary
     columns -> x != 0.  NULL -> false (item absent; the reference turned NULL
     into True for binaries, trap B9)."""
-    one = df.agg(*[F.count_distinct(c).alias(f"n_{c}") for c in cols],
-                 *[F.percentile(c, 0.5).alias(f"m_{c}") for c in cols]).first()
+    from .profile import column_profile
+    prof = {r["feature"]: r for r in column_profile(df, cols, (0.5,)).collect()}
     exprs = {}
     for c in cols:
-        if one[f"n_{c}"] > 2:
-            e = F.col(c) > F.lit(one[f"m_{c}"])
+        p = prof.get(c)
+        if p is not None and p["n_unique"] > 2:
+            e = F.col(c) > F.lit(p["q"][0])
         else:
             e = F.col(c) != 0
         exprs[c] = F.coalesce(e, F.lit(False))
@@ -136,16 +137,15 @@ def median_binarise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def adaptive_bin_profile(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Statistics D1 needs, from one aggregation (a handful of numbers per column)."""
-    aggs = []
-    for c in cols:
-        x = F.col(c)
-        aggs += [F.count(x).alias(f"{c}__n"), F.count_distinct(x).alias(f"{c}__u"),
-                 F.count_if(x == 0).alias(f"{c}__z"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile(x, [0.25, 0.5, 0.75, 1.0 / 3.0, 2.0 / 3.0]).alias(f"{c}__q")]
-    row = df.agg(*aggs).first()
-    return {c: {"n": row[f"{c}__n"], "n_unique": row[f"{c}__u"], "zeros": row[f"{c}__z"],
-                "min": row[f"{c}__min"], "max": row[f"{c}__max"], "q": row[f"{c}__q"]} for c in cols}
+    """Statistics D1 needs (a handful of numbers per column, brought to the
+    driver to choose each column's strategy) from the shared column profile."""
+    from .profile import column_profile
+    rows = column_profile(df, cols, (0.25, 0.5, 0.75, 1.0 / 3.0, 2.0 / 3.0)).collect()
+    out = {c: {"n": 0, "n_unique": 0, "zeros": 0, "min": None, "max": None, "q": [None] * 5} for c in cols}
+    for r in rows:
+        out[r["feature"]] = {"n": r["n"], "n_unique": r["n_unique"], "zeros": r["zero_count"],
+                             "min": r["min"], "max": r["max"], "q": r["q"]}
+    return out
 
 
 def adaptive_bins(df: DataFrame, cols: Sequence[str], prof: dict | None = None) -> DataFrame:

@@ -136,16 +136,26 @@ def feature_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return rows.select("feature", "nunique", kind.alias("type"))
 
 
+def column_profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75),
+                   exact: bool = True) -> DataFrame:
+    """Shared per-column profile (A13, and the input of D1 / D2): n, zero
+    count, min, max and the requested quantiles from ONE aggregate over the
+    unpivoted values, and n_unique from a grouped (feature, value) count.
+    Quantiles come from a single percentile-array aggregate per column."""
+    long = long_form(df, [], cols, "feature", "x").where(F.col("x").isNotNull())
+    qs = F.percentile("x", list(quantiles)) if exact else F.percentile_approx("x", list(quantiles), 100000)
+    main = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") == 0).alias("zero_count"),
+        F.min("x").alias("min"), F.max("x").alias("max"), qs.alias("q"))
+    uniq = long.select("feature", "x").distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
+    return main.join(uniq, "feature")
+
+
 def dist_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Per column n (non-null), n_unique, zero count, min, max, q25, median, q75."""
-    long = long_form(df, [], cols, "feature", "x").where(F.col("x").isNotNull())
-    return long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("x").alias("n_unique"),
-        F.count_if(F.col("x") == 0).alias("zero_count"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-        quantile("x", 0.25, exact).alias("q25"), quantile("x", 0.5, exact).alias("median"),
-        quantile("x", 0.75, exact).alias("q75"))
+    p = column_profile(df, cols, (0.25, 0.5, 0.75), exact)
+    return p.select("feature", "n", "n_unique", "zero_count", "min", "max",
+                    F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"))
 
 
 def box_stats(df: DataFrame, value: str, group: Sequence[str] = (), exact: bool = True) -> DataFrame:

@@ -67,5 +67,11 @@ def cut_lineage(df, eager: bool = True):
     localCheckpoint: its blocks die with the executor).  Used where a derived
     table is read several times by later stages (level-wise mining, iterative
     joins), so the plan does not re-inline its whole lineage each time."""
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    # persist first: the checkpoint write is a second job over the same RDD
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.checkpoint(eager=eager)
+    if eager:
+        df.unpersist()
+    return out
