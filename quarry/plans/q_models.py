@@ -1 +1,206 @@
-"""Queries registered by this module."""
+"""Model queries: clustering, boosted trees, isolation forest (C1-C10, K1-K5,
+K14, K16, N1, N3-N5, A34, W10).  Fits are randomised or iterative, so these
+carry no SQL oracle; their invariants are tested in tests/test_models.py."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import anomaly as an
+from ..operators import classify as cl
+from ..operators import cluster as cu
+from ..operators import evaluate as ev
+from ..operators import timeseries as ts
+from ..operators.encode import zscore, zscore_array
+from ..session import cut_lineage
+from ..sources import fixtures as fx
+from ..sources.tables import table
+from .registry import register
+
+DIM = 64
+K_OVERALL = 4
+# Spark's GBT costs a few jobs per tree whatever the data size; the validation
+# queries (5-fold CV, 3-fold grid) use 20 trees, the final model keeps 100.
+CV_TREES = 20
+
+
+def _r(c, n=6):
+    return F.round(c, n)
+
+
+def zvectors(spark, sf_dir):
+    """Embeddings z-scored per dimension (I15) as ML vectors, persisted for the fits."""
+    v = fx.vectors(spark, sf_dir)
+    return cu.vectorise(zscore_array(v, "v", DIM))
+
+
+@register("kmeans_assign")
+def kmeans_assign(spark, sf_dir):
+    """C1 + C9: k-means (k=4, best of several seeds) assignments."""
+    v = zvectors(spark, sf_dir)
+    return cu.assign(cu.kmeans_best(v, K_OVERALL), v, ["vec_id", "label"])
+
+
+@register("kmeans_profile")
+def kmeans_profile(spark, sf_dir):
+    """A20 on fitted clusters: size, share and per-dimension mean of each cluster."""
+    from ..operators.profile import array_profile
+    v = zvectors(spark, sf_dir)
+    a = cu.assign(cu.kmeans_best(v, K_OVERALL), v, ["vec_id", "v"])
+    return array_profile(a, "cluster", "v").select("cluster", "dim", _r(F.col("mean")).alias("mean"),
+                                                   _r(F.col("std")).alias("std"), "size", _r(F.col("pct")).alias("pct"))
+
+
+@register("k_select")
+def k_select(spark, sf_dir):
+    """C2 + C3: k from 2 to min(6, n // 10 - 1) scored by silhouette, CH and DB."""
+    v = zvectors(spark, sf_dir)
+    n = v.count()
+    ks = list(range(2, max(3, min(6, n // 10 - 1) + 1)))
+    return cu.select_k(v, ks, vec="v")
+
+
+@register("gmm_assign")
+def gmm_assign(spark, sf_dir):
+    """Gaussian-mixture hard labels (k=4) on the first 8 z-scored dimensions."""
+    v = cu.vectorise(cu.subset_vectors(zscore_array(fx.vectors(spark, sf_dir), "v", DIM), "v", 0, 8))
+    return cu.gmm_assign(v, K_OVERALL, ["vec_id", "label"])
+
+
+@register("pca_2d")
+def pca_2d(spark, sf_dir):
+    """2-D projection with reproducible signs."""
+    v = zvectors(spark, sf_dir)
+    p = cu.pca_2d(v, ["vec_id", "label"])
+    return p.select("vec_id", "label", _r(F.col("pc1")).alias("pc1"), _r(F.col("pc2")).alias("pc2"))
+
+
+@register("ward_two_phase")
+def ward_two_phase(spark, sf_dir):
+    """C4: Ward clustering via k-means micro-clusters."""
+    v = zvectors(spark, sf_dir)
+    return cu.ward_two_phase(v, K_OVERALL, ["vec_id", "label"])
+
+
+@register("subset_cluster")
+def subset_cluster(spark, sf_dir):
+    """Per feature subset (four 16-dimension slices) k selection (2..6)."""
+    base = zscore_array(fx.vectors(spark, sf_dir), "v", DIM)
+    out = None
+    for i in range(4):
+        v = cu.vectorise(cu.subset_vectors(base, "v", 16 * i, 16 * (i + 1)))
+        s = cu.select_k(v, list(range(2, 7)), vec="v", n_init=1).withColumn("subset", F.lit(f"dims_{16 * i}_{16 * i + 15}"))
+        out = s if out is None else out.unionByName(s)
+        v.unpersist()
+    return out
+
+
+def _doc_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
+    feats = cl.text_features(docs.join(lab, "doc_id", "left_semi"))
+    return cl.assemble(feats.join(lab, "doc_id"), cl.TEXT_FEATURES, "y")
+
+
+def _split(spark, sf_dir):
+    """K5 first, then everything else on the training part only (trap B10)."""
+    d = _doc_data(spark, sf_dir)
+    return cut_lineage(ev.stratified_split(d, "y", "doc_id", 0.2))
+
+
+@register("gbt_predictions")
+def gbt_predictions(spark, sf_dir):
+    """K1 + K16: boosted trees trained on the stratified 80 %, predictions with
+    probability, correctness and risk band on the held-out 20 %."""
+    d = _split(spark, sf_dir)
+    m = cl.gbt().fit(d.where(F.col("split") == "train"))
+    p = cl.predictions(m, d.where(F.col("split") == "test"), ["doc_id"])
+    return p.withColumn("probability", _r(F.col("probability")))
+
+
+@register("gbt_importance")
+def gbt_importance(spark, sf_dir):
+    """Feature importances of the trained model."""
+    d = _split(spark, sf_dir)
+    m = cl.gbt().fit(d.where(F.col("split") == "train"))
+    return cl.importance(m, cl.TEXT_FEATURES, spark)
+
+
+@register("gbt_cv")
+def gbt_cv(spark, sf_dir):
+    """K2 + K4: 5 stratified folds on the training part; per-fold and mean/std metrics."""
+    d = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    f = ev.stratified_folds(d, "y", "doc_id", k=5)
+    return cl.fold_metrics(f, params={"maxIter": CV_TREES})
+
+
+@register("grid_search")
+def grid_search(spark, sf_dir):
+    """K3: cross-validated grid over depth and learning rate (3 folds)."""
+    d = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    f = ev.stratified_folds(d, "y", "doc_id", k=3)
+    cv = cl.grid_search(f, {"maxDepth": [3, 5], "stepSize": [0.1, 0.3]}, params={"maxIter": CV_TREES})
+    rows = [(int(pm[cv.getEstimator().getParam("maxDepth")]), float(pm[cv.getEstimator().getParam("stepSize")]),
+             float(m)) for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    best = max(rows, key=lambda r: r[2])
+    return spark.createDataFrame([(*r, r == best) for r in rows],
+                                 "max_depth int, step_size double, roc_auc double, best boolean")
+
+
+def _points(spark, sf_dir):
+    g = fx.pv_grid(spark, sf_dir).na.drop(subset=["power", "generation"])
+    z = zscore(g, ["power", "generation"])
+    return z.withColumn("x", F.array("power", "generation"))
+
+
+@register("iforest_points")
+def iforest_points(spark, sf_dir):
+    """N1 + N3: isolation forest on z-scored (power, generation) points."""
+    r = an.iforest(_points(spark, sf_dir), "x", ["series", "t"], contamination=0.01)
+    return r.withColumn("score", _r(F.col("score")))
+
+
+def _window_vectors(spark, sf_dir, joint: bool):
+    g = cut_lineage(ts.tod_mean_fill(ts.tod_mean_fill(fx.pv_grid(spark, sf_dir), "power"), "generation"))
+    keys = ["series", "w", "step", "k"]
+    p = ts.windows_to_arrays(ts.window_gap_fill(ts.sliding_windows(g, ["power_filled"]), "power_filled"),
+                             ["power_filled"])
+    if not joint:
+        return p.withColumn("x", F.col("power_filled"))
+    q = ts.windows_to_arrays(ts.window_gap_fill(ts.sliding_windows(g, ["generation_filled"]), "generation_filled"),
+                             ["generation_filled"])
+    return p.join(q, keys).withColumn("x", F.concat("power_filled", "generation_filled"))
+
+
+def _window_anomalies(spark, sf_dir, joint: bool):
+    win = cut_lineage(_window_vectors(spark, sf_dir, joint))
+    out = None
+    for w, s in ts.WINDOW_CONFIGS:
+        d = win.where((F.col("w") == w) & (F.col("step") == s))
+        dim = w * (2 if joint else 1)
+        z = zscore_array(d, "x", dim, "z").withColumn("first_z", F.col("z")[0])
+        r = an.iforest(z, "z", ["series", "w", "step", "k", "first_z"], contamination=0.01)
+        r = r.select("series", "w", "step", "k", "first_z", "score", "label")   # W10
+        out = r if out is None else out.unionByName(r)
+    return out.withColumn("first_z", _r(F.col("first_z"))).withColumn("score", _r(F.col("score")))
+
+
+@register("window_anomalies")
+def window_anomalies(spark, sf_dir):
+    """N4 + W10: per window configuration, isolation forest on z-scored
+    gap-filled power windows: (window, first standardised value, score, label)."""
+    return _window_anomalies(spark, sf_dir, joint=False)
+
+
+@register("joint_anomalies")
+def joint_anomalies(spark, sf_dir):
+    """The same on power ++ generation windows joined by window key."""
+    return _window_anomalies(spark, sf_dir, joint=True)
+
+
+@register("anomaly_counts")
+def anomaly_counts(spark, sf_dir):
+    """Anomalies per model input and window configuration."""
+    a = _window_anomalies(spark, sf_dir, joint=False).withColumn("input", F.lit("power"))
+    return a.groupBy("input", "w", "step").agg(F.count_if(F.col("label") == -1).alias("anomalies"),
+                                                F.count(F.lit(1)).alias("windows"))
