@@ -259,3 +259,11 @@ def top_itemsets(spark, sf_dir):
     """T5: five most supported itemsets per length."""
     t = mi.top_itemsets_per_length(type_itemsets(spark, sf_dir), 5)
     return t.select("length", "itemset", _r(F.col("support")).alias("support"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("basket_lines", base_sql() + """
+SELECT CAST(tid AS VARCHAR) || ': ' || array_to_string(list_sort(list(item)), ', ') AS line FROM base GROUP BY tid""")
+def basket_lines(spark, sf_dir):
+    """The text form of every basket ('tid: item, item')."""
+    from ..sources.files import basket_line
+    return type_baskets(spark, sf_dir).select(basket_line().alias("line"))

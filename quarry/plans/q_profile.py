@@ -368,3 +368,28 @@ def renamed_scan(spark, sf_dir):
 def distinct_values(spark, sf_dir):
     """Distinct group values."""
     return fx.outcome(spark, sf_dir).select("priority", "deceased").distinct()
+
+
+@register("summary_lines", with_(DEMO, OUTCOME) + """
+SELECT 'age_band' AS metric, age_band AS key, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS pct
+FROM demo GROUP BY age_band
+UNION ALL
+SELECT 'gender', gender, count(*), round(count(*) * 100.0 / sum(count(*)) OVER (), 6) FROM demo GROUP BY gender
+UNION ALL
+SELECT 'deceased', CAST(deceased AS VARCHAR), count(*), round(count(*) * 100.0 / sum(count(*)) OVER (), 6)
+FROM outcome GROUP BY deceased
+UNION ALL
+SELECT 'records_per_code', CAST(c AS VARCHAR), count(*), round(count(*) * 100.0 / sum(count(*)) OVER (), 6)
+FROM (SELECT code, count(*) AS c FROM outcome GROUP BY code) GROUP BY c""")
+def summary_lines(spark, sf_dir):
+    """The summary report as one long (metric, key, n, pct) table built by
+    unioning the value-count operators (A2, A3)."""
+    d, o = fx.demo(spark, sf_dir), fx.outcome(spark, sf_dir)
+
+    def vc(df, col, name):
+        v = pr.value_counts(df.select(F.col(col).cast("string").alias("key")), "key")
+        return v.select(F.lit(name).alias("metric"), "key", "n", _r(F.col("pct")).alias("pct"))
+
+    per_code = o.groupBy("code").agg(F.count(F.lit(1)).alias("c"))
+    return (vc(d, "age_band", "age_band").unionByName(vc(d, "gender", "gender"))
+            .unionByName(vc(o, "deceased", "deceased")).unionByName(vc(per_code, "c", "records_per_code")))
