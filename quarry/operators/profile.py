@@ -319,12 +319,17 @@ def rate_by_group(df: DataFrame, group: str, label: str) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete), long form."""
-    pairs = [(a, b) for a in cols for b in cols]
-    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") if a != b else F.lit(1.0).alias(f"{a}__{b}") for a, b in pairs])
-    return one.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("r")) for a, b in pairs
-    ])).alias("p")).select("p.*")
+    """Pearson correlation of every pair (pairwise complete), long form.
+    Each unordered pair is aggregated once and mirrored; the diagonal is 1."""
+    cols = list(cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    one = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs]) if pairs else None
+    entries = [F.struct(F.lit(a).alias("a"), F.lit(a).alias("b"), F.lit(1.0).alias("r")) for a in cols]
+    for a, b in pairs:
+        entries.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}__{b}").alias("r")))
+        entries.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), F.col(f"{a}__{b}").alias("r")))
+    base = one if one is not None else df.limit(1)
+    return base.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
 
 
 def indicator_sums(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:

@@ -204,3 +204,31 @@ def anomaly_counts(spark, sf_dir):
     a = _window_anomalies(spark, sf_dir, joint=False).withColumn("input", F.lit("power"))
     return a.groupBy("input", "w", "step").agg(F.count_if(F.col("label") == -1).alias("anomalies"),
                                                 F.count(F.lit(1)).alias("windows"))
+
+
+@register("ocsvm_points")
+def ocsvm_points(spark, sf_dir):
+    """N2 + N3: one-class SVM (RBF via random Fourier features, nu = 0.05) on
+    z-scored (power, generation) points."""
+    r = an.ocsvm(_points(spark, sf_dir), "x", 2, ["series", "t"], nu=0.05)
+    return r.withColumn("score", _r(F.col("score")))
+
+
+@register("period_anomalies")
+def period_anomalies(spark, sf_dir):
+    """Gap-filled power window ++ 15-day periodic feature at the window end
+    (windows with a NULL feature dropped, aligned by key), z-scored per
+    configuration, one-class SVM per configuration; A34 counts per config."""
+    g = cut_lineage(ts.periodic_feature(
+        ts.tod_mean_fill(fx.pv_grid(spark, sf_dir), "power"), "power_filled"))
+    win = ts.windows_to_arrays(ts.window_gap_fill(ts.sliding_windows(g, ["power_filled"]), "power_filled"),
+                               ["power_filled"])
+    win = ts.attach_window_end(win, g, ["periodic"]).where(F.col("periodic").isNotNull())
+    win = cut_lineage(win.withColumn("x", F.concat("power_filled", F.array("periodic"))))
+    out = None
+    for w, s in ts.WINDOW_CONFIGS:
+        d = win.where((F.col("w") == w) & (F.col("step") == s))
+        z = zscore_array(d, "x", w + 1, "z").withColumn("first_z", F.col("z")[0])
+        r = an.ocsvm(z, "z", w + 1, ["series", "w", "step", "k", "first_z"], nu=0.05)
+        out = r if out is None else out.unionByName(r)
+    return out.withColumn("first_z", _r(F.col("first_z"))).withColumn("score", _r(F.col("score")))
