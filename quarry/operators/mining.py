@@ -65,32 +65,48 @@ def adaptive_min_support(n_baskets: int) -> tuple[float, float]:
 # ---------------------------------------------------------------- itemsets
 
 def apriori(b: DataFrame, min_support: float, max_len: int = 3, tid: str = "tid",
-            n_baskets: int | None = None) -> DataFrame:
-    """M1: frequent itemsets ``(items array<string> sorted, count, support, length)``.
-
-    Each level's frequent itemsets (small, bounded as above) are checkpointed
-    eagerly: the next level and the rule generation read them several times,
-    and without the cut every read would re-plan the whole level chain."""
+            n_baskets: int | None = None, group: str | None = None) -> DataFrame:
+    """M1 (and M10 with ``group``): frequent itemsets
+    ``([group,] items array<string> sorted, count, support, length)``.
+
+    With ``group`` every key gains the group column and support is relative
+    to the group's basket count (a one-row-per-group table joined by key), so
+    several modules are mined in the same level-wise pass.  Each level's
+    frequent itemsets (small, bounded as above) are checkpointed eagerly: the
+    next level and the rule generation read them several times, and without
+    the cut every read would re-plan the whole level chain."""
     from ..session import cut_lineage
-    n = float(n_baskets if n_baskets is not None else b.count())
-    long = basket_items(b, tid)
-    l1 = cut_lineage(long.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
-                     .where(F.col("count") / n >= min_support))
-    fitems = long.join(l1.select("item"), "item")                        # restrict to frequent items
-    levels = [l1.select(F.array("item").alias("items"), "count")]
-    occ = fitems.select(tid, F.array("item").alias("items"), F.col("item").alias("last"))
+    g = [group] if group else []
+    long = b.select(*g, tid, F.explode("items").alias("item"))
+    if group:
+        n_tab = b.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        n = F.col("_n")
+
+        def with_n(df: DataFrame) -> DataFrame:
+            return df.join(n_tab, group)
+    else:
+        n = F.lit(float(n_baskets if n_baskets is not None else b.count()))
+
+        def with_n(df: DataFrame) -> DataFrame:
+            return df
+    l1 = cut_lineage(with_n(long.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("count")))
+                     .where(F.col("count") / n >= min_support).select(*g, "item", "count"))
+    fitems = long.join(l1.select(*g, "item"), [*g, "item"])               # restrict to frequent items
+    levels = [l1.select(*g, F.array("item").alias("items"), "count")]
+    occ = fitems.select(*g, tid, F.array("item").alias("items"), F.col("item").alias("last"))
     for _ in range(2, max_len + 1):
-        ext = (occ.join(fitems.withColumnRenamed("item", "nxt"), tid)
+        ext = (occ.join(fitems.withColumnRenamed("item", "nxt"), [*g, tid])
                .where(F.col("nxt") > F.col("last"))
-               .select(tid, F.concat("items", F.array("nxt")).alias("items"), F.col("nxt").alias("last")))
-        lk = cut_lineage(ext.groupBy("items").agg(F.count(F.lit(1)).alias("count"))
-                         .where(F.col("count") / n >= min_support))
+               .select(*g, tid, F.concat("items", F.array("nxt")).alias("items"), F.col("nxt").alias("last")))
+        lk = cut_lineage(with_n(ext.groupBy(*g, "items").agg(F.count(F.lit(1)).alias("count")))
+                         .where(F.col("count") / n >= min_support).select(*g, "items", "count"))
         levels.append(lk)
-        occ = ext.join(lk.select("items"), "items", "left_semi")
+        occ = ext.join(lk.select(*g, "items"), [*g, "items"], "left_semi")
     out = levels[0]
     for lk in levels[1:]:
         out = out.unionByName(lk)
-    return out.select("items", "count", (F.col("count") / n).alias("support"), F.size("items").alias("length"))
+    return with_n(out).select(*g, "items", "count", (F.col("count") / n).alias("support"),
+                              F.size("items").alias("length"))
 
 
 def fpgrowth(b: DataFrame, min_support: float, max_len: int | None = None) -> DataFrame:
@@ -116,24 +132,26 @@ def _proper_subsets(items: Column) -> Column:
     return F.transform(masks, lambda m: F.filter(items, lambda _x, i: F.floor(m / F.pow(F.lit(2), i)) % 2 == 1))
 
 
-def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold: float = 1.0) -> DataFrame:
+def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold: float = 1.0,
+                      group: str | None = None) -> DataFrame:
     """M4: every split A -> C of every frequent itemset X (|X| >= 2):
     support = s(X); confidence = s(X)/s(A); lift = confidence/s(C);
     leverage = s(X) - s(A)s(C); conviction = (1 - s(C))/(1 - confidence)
     (infinite when confidence = 1); Zhang = leverage /
     max(s(X)(1 - s(A)), s(A)(s(C) - s(X))) (0 when that is 0).
-    Kept when ``metric >= min_threshold``."""
-    sup = itemsets.select("items", "support")
-    x = itemsets.where(F.col("length") >= 2).select(F.col("items").alias("x"), F.col("support").alias("s_x"))
-    splits = x.select("x", "s_x", F.explode(_proper_subsets(F.col("x"))).alias("ant")) \
+    Kept when ``metric >= min_threshold``; ``group`` keeps modules apart."""
+    g = [group] if group else []
+    sup = itemsets.select(*g, "items", "support")
+    x = itemsets.where(F.col("length") >= 2).select(*g, F.col("items").alias("x"), F.col("support").alias("s_x"))
+    splits = x.select(*g, "x", "s_x", F.explode(_proper_subsets(F.col("x"))).alias("ant")) \
               .withColumn("cons", F.array_except("x", "ant"))
-    r = (splits.join(sup.select(F.col("items").alias("ant"), F.col("support").alias("s_a")), "ant")
-         .join(sup.select(F.col("items").alias("cons"), F.col("support").alias("s_c")), "cons"))
+    r = (splits.join(sup.select(*g, F.col("items").alias("ant"), F.col("support").alias("s_a")), [*g, "ant"])
+         .join(sup.select(*g, F.col("items").alias("cons"), F.col("support").alias("s_c")), [*g, "cons"]))
     conf = F.col("s_x") / F.col("s_a")
     lev = F.col("s_x") - F.col("s_a") * F.col("s_c")
     den = F.greatest(F.col("s_x") * (1 - F.col("s_a")), F.col("s_a") * (F.col("s_c") - F.col("s_x")))
     out = r.select(
-        F.col("ant").alias("antecedents"), F.col("cons").alias("consequents"),
+        *g, F.col("ant").alias("antecedents"), F.col("cons").alias("consequents"),
         F.col("s_a").alias("antecedent_support"), F.col("s_c").alias("consequent_support"),
         F.col("s_x").alias("support"), conf.alias("confidence"), (conf / F.col("s_c")).alias("lift"),
         lev.alias("leverage"),

@@ -267,3 +267,48 @@ def basket_lines(spark, sf_dir):
     """The text form of every basket ('tid: item, item')."""
     from ..sources.files import basket_line
     return type_baskets(spark, sf_dir).select(basket_line().alias("line"))
+
+
+MODULE_SUPPORT, MODULE_MAX_LEN = 0.05, 2
+
+
+def _module_sql() -> str:
+    body = []
+    for attr, mod in (("p_type", "type"), ("p_brand", "brand")):
+        pre = "type" if attr == "p_type" else "brand"
+        body.append(f"""
+  SELECT '{mod}' AS module, l_orderkey AS tid, '{pre}=' || {attr} AS item FROM lineitem JOIN part ON l_partkey = p_partkey
+  UNION SELECT '{mod}', o_orderkey, 'status=' || o_orderstatus FROM orders
+  WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
+    return f"""WITH mi AS ({" UNION ALL ".join(body)}),
+mb AS (SELECT * FROM mi WHERE (module, tid) IN (SELECT module, tid FROM mi GROUP BY ALL HAVING count(*) >= 2)),
+nb AS (SELECT module, count(DISTINCT tid) * 1.0 AS n FROM mb GROUP BY module),
+lall AS (SELECT module, [item] AS items, count(*) AS cnt FROM mb GROUP BY module, item
+         UNION ALL SELECT a.module, [a.item, b.item], count(*) FROM mb a JOIN mb b
+         ON a.module = b.module AND a.tid = b.tid AND a.item < b.item GROUP BY a.module, a.item, b.item),
+fi AS (SELECT l.module, items, cnt / n AS support, len(items) AS length FROM lall l JOIN nb USING (module)
+       WHERE cnt / n >= {MODULE_SUPPORT}),
+sp AS (SELECT module, items AS x, support AS s_x, [items[1]] AS ant, [items[2]] AS cons FROM fi WHERE length = 2
+       UNION ALL SELECT module, items, support, [items[2]], [items[1]] FROM fi WHERE length = 2),
+r AS (SELECT sp.module, array_to_string(ant, ', ') || ' -> ' || array_to_string(cons, ', ') AS rule, s_x AS support,
+             s_x / a.support AS confidence, s_x / a.support / c.support AS lift
+      FROM sp JOIN fi a ON a.module = sp.module AND a.items = sp.ant JOIN fi c ON c.module = sp.module AND c.items = sp.cons)
+SELECT module, rule, round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift, rank
+FROM (SELECT *, row_number() OVER (PARTITION BY module ORDER BY lift DESC, confidence DESC, support DESC, rule) AS rank
+      FROM r WHERE lift >= 1.0) WHERE rank <= 20"""
+
+
+@register("module_rules", _module_sql())
+def module_rules(spark, sf_dir):
+    """Baskets of two modules (part types, brands) mined in one grouped
+    level-wise pass; top 20 rules per module by (lift, confidence, support)."""
+    from ..operators.common import top_k
+    t = mi.baskets(fx.order_items(spark, sf_dir, "p_type").withColumnRenamed("oid", "tid")).withColumn("module", F.lit("type"))
+    b = mi.baskets(fx.order_items(spark, sf_dir, "p_brand").withColumnRenamed("oid", "tid")).withColumn("module", F.lit("brand"))
+    bk = cut_lineage(t.unionByName(b))
+    fi = mi.apriori(bk, MODULE_SUPPORT, MODULE_MAX_LEN, group="module")
+    r = mi.rule_text(mi.association_rules(fi, "lift", 1.0, group="module"))
+    top = top_k(r, ["module"], [F.col("lift").desc(), F.col("confidence").desc(), F.col("support").desc(),
+                                F.col("rule")], 20, salt_on=["rule"])
+    return top.select("module", "rule", *[_r(F.col(c)).alias(c) for c in ("support", "confidence", "lift")],
+                      F.col("rank").cast("bigint").alias("rank"))
