@@ -232,3 +232,28 @@ def period_anomalies(spark, sf_dir):
         r = an.ocsvm(z, "z", w + 1, ["series", "w", "step", "k", "first_z"], nu=0.05)
         out = r if out is None else out.unionByName(r)
     return out.withColumn("first_z", _r(F.col("first_z"))).withColumn("score", _r(F.col("score")))
+
+
+# Feature modules of the documents (K17): named subsets of the text features.
+MODULES = {"length": ["n_chars", "n_words", "n_lines"],
+           "characters": ["upper_share", "digit_share", "punct_share"],
+           "language": ["lang_code", "n_chars"]}
+
+
+@register("module_classification")
+def module_classification(spark, sf_dir):
+    """One boosted-tree model per feature module on the same stratified
+    split; held-out accuracy / precision / recall / F1 and ROC AUC per module."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    d = _split(spark, sf_dir)
+    rows = []
+    auc = BinaryClassificationEvaluator(labelCol="label")
+    for name, cols in MODULES.items():
+        data = cl.assemble(d.drop("features", "label", "weight"), cols, "y")
+        m = cl.gbt({"maxIter": CV_TREES}).fit(data.where(F.col("split") == "train"))
+        p = m.transform(data.where(F.col("split") == "test"))
+        c = ev.confusion(p.withColumn("yhat", F.col("prediction").cast("int")), "y", "yhat")
+        met = ev.binary_metrics(c).first()
+        rows.append((name, met["accuracy"], met["precision"], met["recall"], met["f1"], auc.evaluate(p)))
+    return spark.createDataFrame(rows, "module string, accuracy double, precision double, recall double, "
+                                       "f1 double, roc_auc double")
