@@ -55,7 +55,7 @@ def ward_merge_1d(points: Sequence[float], cut: float = 0.5) -> list[float]:
 def bands_from_bins(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per-column pandas step: (feature, center, cnt, n, n_unique, sd, mn, mx) -> bands."""
     feat = pdf["feature"].iloc[0]
-    n, nu = int(pdf["n"].iloc[0]), int(pdf["n_unique"].iloc[0])
+    n, nu = int(pdf["n"].iloc[0]), int(pdf["n_unique"].iloc[0])     # nu: 1 = constant, 2 = not
     empty = pd.DataFrame({"feature": [], "band": [], "lo": [], "hi": []}).astype(
         {"feature": str, "band": "int32", "lo": float, "hi": float})
     if n < 10 or nu == 1:
@@ -93,7 +93,8 @@ def log_values(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
 def scale_bands(lv: DataFrame) -> DataFrame:
     """O1 band table (feature, band, lo, hi) from log values."""
     stats = lv.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("value").alias("n_unique"),
+        F.count(F.lit(1)).alias("n"),
+        F.when(F.min("value") == F.max("value"), F.lit(1)).otherwise(F.lit(2)).alias("n_unique"),
         F.stddev_samp("lx").alias("sd"), F.min("lx").alias("mn"), F.max("lx").alias("mx"))
     bins = lv.groupBy("feature", F.floor(F.col("lx") / BIN).alias("b")).agg(F.count(F.lit(1)).alias("cnt"))
     bins = bins.withColumn("center", (F.col("b") + 0.5) * BIN).join(stats, "feature")

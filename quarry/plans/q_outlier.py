@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import outlier as ol
-from ..session import cut_lineage
 from ..sources import fixtures as fx
 from .registry import register
 from .sqlfix import SCALE_ERRORS, with_
@@ -72,12 +71,12 @@ def outlier_removal(spark, sf_dir):
 @register("kde_bands")
 def kde_bands(spark, sf_dir):
     """O1: bands found by the KDE / peak / Ward procedure, with their shares."""
-    lv = cut_lineage(_lv(spark, sf_dir))
+    lv = _lv(spark, sf_dir)          # scan + unpivot: cheaper to re-read than to materialise
     return ol.band_shares(lv, ol.scale_bands(lv))
 
 
 @register("kde_outliers")
 def kde_outliers(spark, sf_dir):
     """O1 + O2 end to end: flagged cells from the learned bands."""
-    lv = cut_lineage(_lv(spark, sf_dir))
+    lv = _lv(spark, sf_dir)
     return ol.flagged_cells(lv, ol.scale_bands(lv))
