@@ -28,8 +28,10 @@ SHIP_EPOCH = "1995-01-01"
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Epoch seconds of a TIMESTAMP_NTZ column (session time zone is UTC)."""
-    return F.unix_seconds(ts.cast("timestamp"))
+    """Whole epoch seconds of a TIMESTAMP_NTZ column, independent of the
+    session time zone (difference of two zone-less timestamps; a cast to
+    TIMESTAMP would shift by the session offset)."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
 
 
 def pv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
