@@ -67,17 +67,21 @@ def apply_fills(df: DataFrame, fills: DataFrame, cols: Sequence[str], group: str
     """coalesce(col, fill) using a per-(group, feature) fill table; the table is
     pivoted to one row per group (bounded by #groups) and joined by key."""
     cols = list(cols)
-    gk = group or "_all"
-    f = fills if group else fills.withColumn("_all", F.lit(1))
-    wide = f.groupBy(gk).pivot("feature", cols).agg(F.first(value))
-    wide = wide.select(gk, *[F.col(c).alias(f"_fill_{c}") for c in cols])
-    src = df if group else df.withColumn("_all", F.lit(1))
-    out = src.join(wide, gk, "left")
+    if group is None:
+        # one fill per column: a bounded row, inlined as literals (no join)
+        got = {r["feature"]: r[value] for r in fills.select("feature", value).collect()}
+        exprs = {}
+        for c in cols:
+            v = F.coalesce(F.col(c), F.lit(got.get(c)).cast("double"))
+            exprs[c] = F.bround(v, round_to) if round_to is not None else v
+        return df.withColumns(exprs)
+    wide = fills.groupBy(group).pivot("feature", cols).agg(F.first(value))
+    wide = wide.select(group, *[F.col(c).alias(f"_fill_{c}") for c in cols])
+    out = df.join(wide, group, "left")
     for c in cols:
         v = F.coalesce(F.col(c), F.col(f"_fill_{c}"))
         out = out.withColumn(c, F.bround(v, round_to) if round_to is not None else v)
-    out = out.drop(*[f"_fill_{c}" for c in cols])
-    return out if group else out.drop("_all")
+    return out.drop(*[f"_fill_{c}" for c in cols])
 
 
 def peak_impute(df: DataFrame, cols: Sequence[str], group: str | None = None, closed: bool = False,

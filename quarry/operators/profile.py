@@ -161,20 +161,27 @@ def dist_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> Data
 def box_stats(df: DataFrame, value: str, group: Sequence[str] = (), exact: bool = True) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences)
     and outlier count per group; the quartile table (one row per group) is
-    joined back by key."""
-    g = list(group) or ["_all"]
-    src = df if group else df.withColumn("_all", F.lit(1))
-    q = src.groupBy(*g).agg(quantile(value, 0.25, exact).alias("q1"), quantile(value, 0.5, exact).alias("median"),
-                            quantile(value, 0.75, exact).alias("q3"), F.count(value).alias("n"))
+    joined back by key, or inlined as literals when there is no group."""
+    g = list(group)
+    x = F.col(value)
+    if not g:
+        st = stats_row(df, q1=quantile(value, 0.25, exact), median=quantile(value, 0.5, exact),
+                       q3=quantile(value, 0.75, exact), n=F.count(value))
+        lo_f, hi_f = st["q1"] - 1.5 * (st["q3"] - st["q1"]), st["q3"] + 1.5 * (st["q3"] - st["q1"])
+        inside = (x >= lo_f) & (x <= hi_f)
+        return df.agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
+                      F.count_if(~inside).alias("outliers")).select(
+            st["q1"].alias("q1"), st["median"].alias("median"), st["q3"].alias("q3"), st["n"].alias("n"),
+            lo_f.alias("lo_fence"), hi_f.alias("hi_fence"), "whisker_lo", "whisker_hi", "outliers")
+    q = df.groupBy(*g).agg(quantile(value, 0.25, exact).alias("q1"), quantile(value, 0.5, exact).alias("median"),
+                           quantile(value, 0.75, exact).alias("q3"), F.count(value).alias("n"))
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    x = F.col(value)
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    j = src.select(*g, value).join(q.select(*g, "lo_fence", "hi_fence"), g)
+    j = df.select(*g, value).join(q.select(*g, "lo_fence", "hi_fence"), g)
     w = j.groupBy(*g).agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
                           F.count_if(~inside).alias("outliers"))
-    out = q.join(w, g)
-    return out if group else out.drop("_all")
+    return q.join(w, g)
 
 
 # ---------------------------------------------------------------- histograms
