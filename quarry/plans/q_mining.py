@@ -24,11 +24,11 @@ def _r(c, n=6):
 def type_baskets(spark, sf_dir):
     """Baskets are read by every mining level: materialised once (reliable
     checkpoint) instead of re-running the lineitem x part join per level."""
-    return cut_lineage(mi.baskets(fx.order_items(spark, sf_dir, "p_type").withColumnRenamed("oid", "tid")))
+    return cut_lineage(fx.order_baskets(spark, sf_dir, "p_type"))
 
 
 def brand_baskets(spark, sf_dir):
-    return cut_lineage(mi.baskets(fx.order_items(spark, sf_dir, "p_brand").withColumnRenamed("oid", "tid")))
+    return cut_lineage(fx.order_baskets(spark, sf_dir, "p_brand"))
 
 
 def type_itemsets(spark, sf_dir):
@@ -303,8 +303,8 @@ def module_rules(spark, sf_dir):
     """Baskets of two modules (part types, brands) mined in one grouped
     level-wise pass; top 20 rules per module by (lift, confidence, support)."""
     from ..operators.common import top_k
-    t = mi.baskets(fx.order_items(spark, sf_dir, "p_type").withColumnRenamed("oid", "tid")).withColumn("module", F.lit("type"))
-    b = mi.baskets(fx.order_items(spark, sf_dir, "p_brand").withColumnRenamed("oid", "tid")).withColumn("module", F.lit("brand"))
+    t = fx.order_baskets(spark, sf_dir, "p_type").withColumn("module", F.lit("type"))
+    b = fx.order_baskets(spark, sf_dir, "p_brand").withColumn("module", F.lit("brand"))
     bk = cut_lineage(t.unionByName(b))
     fi = mi.apriori(bk, MODULE_SUPPORT, MODULE_MAX_LEN, group="module")
     r = mi.rule_text(mi.association_rules(fi, "lift", 1.0, group="module"))

@@ -113,6 +113,22 @@ def order_items(spark: SparkSession, sf_dir: str, attr: str = "p_type") -> DataF
     return lines.unionByName(status).distinct()
 
 
+def order_baskets(spark: SparkSession, sf_dir: str, attr: str = "p_type") -> DataFrame:
+    """(tid, items sorted, size): the same baskets as ``order_items`` grouped,
+    built as one aggregation per order (bounded by its line count) plus one
+    join with ``orders`` on the key the aggregate is already partitioned by."""
+    prefix = {"p_type": "type", "p_brand": "brand"}[attr]
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("oid"), F.col("l_partkey").alias("pk"))
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("pk"), F.col(attr).alias("v"))
+    per_order = li.join(part, "pk").groupBy("oid").agg(
+        F.collect_set(F.concat(F.lit(prefix + "="), "v")).alias("its"))
+    status = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("oid"), F.concat(F.lit("status="), "o_orderstatus").alias("st"))
+    b = per_order.join(status, "oid").select(
+        F.col("oid").alias("tid"), F.array_sort(F.array_union("its", F.array("st"))).alias("items"))
+    return b.withColumn("size", F.size("items")).where(F.col("size") >= 2)
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, y, score): quality label against document length."""
     lab_ = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
