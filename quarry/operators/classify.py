@@ -74,15 +74,21 @@ def fold_metrics(data: DataFrame, fold_col: str = "fold", params: dict | None =
     population std rows."""
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
-    preds = None
+    from concurrent.futures import ThreadPoolExecutor
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
-    aucs = {}
-    for f in folds:
+
+    def one(f):
         m = gbt(params).fit(data.where(F.col(fold_col) != f))
         p = m.transform(data.where(F.col(fold_col) == f)).withColumn("fold", F.lit(int(f)))
-        aucs[f] = (auc.evaluate(p, {auc.metricName: "areaUnderROC"}),
-                   auc.evaluate(p, {auc.metricName: "areaUnderPR"}))
-        p = p.select("fold", "label", "prediction")
+        a = (auc.evaluate(p, {auc.metricName: "areaUnderROC"}), auc.evaluate(p, {auc.metricName: "areaUnderPR"}))
+        return f, a, p.select("fold", "label", "prediction")
+
+    # folds are independent fits: submitted as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=len(folds)) as pool:
+        done = list(pool.map(one, folds))
+    aucs = {f: a for f, a, _ in done}
+    preds = None
+    for _, _, p in done:
         preds = p if preds is None else preds.unionByName(p)
     t, y = F.col("label") == 1, F.col("prediction") == 1
     g = preds.groupBy("fold").agg(F.count_if(t & y).alias("tp"), F.count_if(~t & y).alias("fp"),

@@ -33,13 +33,16 @@ def kmeans_best(vdf: DataFrame, k: int, n_init: int = 4, seed: int = 42, max_ite
     squared centre shift is below 1e-4 x the mean feature variance; on
     z-scored features (variance 1) that is a shift of about 1e-2 per centre,
     which is Spark's ``tol`` (a distance)."""
-    best = None
-    for i in range(n_init):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def fit(i: int):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(vdf)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best[0]
+        return m.summary.trainingCost, i, m
+
+    # independent restarts are submitted as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=max(1, n_init)) as pool:
+        results = list(pool.map(fit, range(n_init)))
+    return min(results, key=lambda r: (r[0], r[1]))[2]
 
 
 def assign(model, vdf: DataFrame, keep: Sequence[str], out: str = "cluster") -> DataFrame:
@@ -57,8 +60,8 @@ def select_k(vdf: DataFrame, ks: Sequence[int], vec: str = "v", n_init: int = 2,
         F.var_pop("x").alias("v"), F.count(F.lit(1)).alias("n")).collect()
     n = st[0]["n"] if st else 0
     total_ss = float(sum(r["v"] * r["n"] for r in st))
-    rows = []
-    for k in ks:
+
+    def score_k(k: int):
         m = kmeans_best(vdf, k, n_init, seed)
         pred = m.transform(vdf)
         sil = ev.evaluate(pred)
@@ -74,7 +77,11 @@ def select_k(vdf: DataFrame, ks: Sequence[int], vec: str = "v", n_init: int = 2,
         ch = ((total_ss - w) / (kk - 1)) / (w / (n - kk)) if kk > 1 and n > kk and w > 0 else 0.0
         db = float(np.mean([max((spread[i] + spread[j]) / np.linalg.norm(centers[i] - centers[j])
                                 for j in labels if j != i) for i in labels])) if kk > 1 else 0.0
-        rows.append((int(k), w, float(sil), float(ch), db))
+        return (int(k), w, float(sil), float(ch), db)
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(ks))) as pool:     # one concurrent job chain per k
+        rows = list(pool.map(score_k, ks))
     best = max(rows, key=lambda r: r[2])[0]
     out = [(*r, r[0] == best) for r in rows]
     return vdf.sparkSession.createDataFrame(

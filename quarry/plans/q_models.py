@@ -245,15 +245,20 @@ def module_classification(spark, sf_dir):
     """One boosted-tree model per feature module on the same stratified
     split; held-out accuracy / precision / recall / F1 and ROC AUC per module."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from concurrent.futures import ThreadPoolExecutor
     d = _split(spark, sf_dir)
-    rows = []
     auc = BinaryClassificationEvaluator(labelCol="label")
-    for name, cols in MODULES.items():
+
+    def one(item):
+        name, cols = item
         data = cl.assemble(d.drop("features", "label", "weight"), cols, "y")
         m = cl.gbt({"maxIter": CV_TREES}).fit(data.where(F.col("split") == "train"))
         p = m.transform(data.where(F.col("split") == "test"))
         c = ev.confusion(p.withColumn("yhat", F.col("prediction").cast("int")), "y", "yhat")
         met = ev.binary_metrics(c).first()
-        rows.append((name, met["accuracy"], met["precision"], met["recall"], met["f1"], auc.evaluate(p)))
+        return (name, met["accuracy"], met["precision"], met["recall"], met["f1"], auc.evaluate(p))
+
+    with ThreadPoolExecutor(max_workers=len(MODULES)) as pool:      # independent fits, concurrent jobs
+        rows = list(pool.map(one, MODULES.items()))
     return spark.createDataFrame(rows, "module string, accuracy double, precision double, recall double, "
                                        "f1 double, roc_auc double")
