@@ -10,7 +10,7 @@ from ..sources import fixtures as fx
 from ..sources.fixtures import LAB_FEATURES
 from ..sources.tables import table
 from .registry import register
-from .sqlfix import DEMO, LAB, OUTCOME, with_
+from .sqlfix import DEMO, LAB, OUTCOME, PV_GRID, with_
 
 
 def _r(c, n=6):
@@ -393,3 +393,51 @@ def summary_lines(spark, sf_dir):
     per_code = o.groupBy("code").agg(F.count(F.lit(1)).alias("c"))
     return (vc(d, "age_band", "age_band").unionByName(vc(d, "gender", "gender"))
             .unionByName(vc(o, "deceased", "deceased")).unionByName(vc(per_code, "c", "records_per_code")))
+
+
+@register("indicator_sums", with_(LAB) + """
+SELECT 'Missing_price' AS feature, CAST(sum(CAST(price IS NOT NULL AS INTEGER)) AS BIGINT) AS ones,
+       round(sum(CAST(price IS NOT NULL AS INTEGER)) * 100.0 / count(*), 6) AS pct FROM lab
+UNION ALL
+SELECT 'Tested_discount', CAST(sum(CAST(discount IS NOT NULL AS INTEGER)) AS BIGINT),
+       round(sum(CAST(discount IS NOT NULL AS INTEGER)) * 100.0 / count(*), 6) FROM lab""")
+def indicator_sums(spark, sf_dir):
+    """Count and share of 1s of each indicator column of the tiered table."""
+    lab = fx.lab(spark, sf_dir)
+    ind = lab.select((F.col("price").isNotNull()).cast("int").alias("Missing_price"),
+                     (F.col("discount").isNotNull()).cast("int").alias("Tested_discount"))
+    s = pr.indicator_sums(ind, cols_.with_prefix(ind.columns, "Missing_", "Tested_"))
+    return s.withColumn("pct", _r(F.col("pct")))
+
+
+@register("scatter_points", with_(PV_GRID) + """
+SELECT series, t, round(power, 6) AS power, round(generation, 6) AS generation FROM pv_grid
+WHERE power IS NOT NULL""")
+def scatter_points(spark, sf_dir):
+    """The paired (power, generation) points behind the scatter / line charts."""
+    g = fx.pv_grid(spark, sf_dir).where(F.col("power").isNotNull())
+    return g.select("series", "t", _r(F.col("power")).alias("power"), _r(F.col("generation")).alias("generation"))
+
+
+@register("head_preview", """
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice
+FROM orders ORDER BY o_orderkey LIMIT 10""")
+def head_preview(spark, sf_dir):
+    """The first rows in key order (a limit is the feature here)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                              _r(F.col("o_totalprice")).alias("o_totalprice"))
+    return o.orderBy("o_orderkey").limit(10)
+
+
+@register("column_picks", """
+SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem WHERE l_returnflag = 'R'""")
+def column_picks(spark, sf_dir):
+    """Positional slice between two named columns, substring pick,
+    dropped id columns and the numeric-minus-excluded mask, combined into one
+    projection over the rows kept by a mask."""
+    li = table(spark, sf_dir, "lineitem")
+    sliced = cols_.between(li.columns, "l_quantity", "l_tax")                     # P13
+    picked = cols_.containing(li.columns, ["price", "discount", "tax", "quantity"])  # P14
+    kept = [c for c in sliced if c in picked]
+    numeric = cols_.scalable_columns(li.select(*kept), exclude=["l_orderkey"])    # P16 / U4
+    return cols_.keep_all(li, [F.col("l_returnflag") == "R"]).select(*numeric)    # P17, P12
