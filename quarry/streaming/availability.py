@@ -25,13 +25,19 @@ def event_stream(spark: SparkSession, directory: str, glob: str = "events*.parqu
 
 
 def daily_availability(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    ev = events.select(F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"))
+    # Watermarks need a zone-aware TIMESTAMP; build it from the zone-less value's
+    # UTC epoch (a plain cast would shift by the session offset), and label days
+    # from epoch days, so windows and dates do not depend on the session zone.
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    ts = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("ts")))
+    ev = events.select(F.col("event_type").alias("series"), ts.alias("ts"))
     slots = (ev.withWatermark("ts", watermark)
              .groupBy("series", F.window("ts", "15 minutes").alias("slot"))
              .agg(F.count(F.lit(1)).alias("events")))
     days = (slots.groupBy("series", F.window(F.window_time("slot"), "1 day").alias("day"))
             .agg(F.count(F.lit(1)).alias("occupied"), F.sum("events").alias("events")))
-    return days.select("series", F.to_date(F.col("day.start")).alias("date"), "occupied", "events",
+    day = F.date_from_unix_date(F.floor(F.unix_seconds(F.col("day.start")) / 86400).cast("int"))
+    return days.select("series", day.alias("date"), "occupied", "events",
                        (1.0 - F.col("occupied") / SLOTS_PER_DAY).alias("missing_ratio"))
 
 

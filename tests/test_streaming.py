@@ -1,6 +1,7 @@
 """The streaming availability profile agrees with the batch aggregation on
 the days the stream has closed."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.streaming.availability import SLOTS_PER_DAY, run_available_now
@@ -8,8 +9,18 @@ from quarry.streaming.availability import SLOTS_PER_DAY, run_available_now
 SF = "/root/testdata/sf0.001"
 
 
-def test_stream_matches_batch(spark):
-    out = run_available_now(spark, SF, "avail_test")
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata"])
+def test_stream_matches_batch(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        out = run_available_now(spark, SF, "avail_" + zone.replace("/", "_"))
+        _check(spark, out)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _check(spark, out):
     ev = spark.read.parquet(f"{SF}/events.parquet")
     batch = (ev.select(F.col("event_type").alias("series"), F.to_date("ts").alias("date"),
                        F.date_trunc("minute", "ts").alias("m"), F.minute("ts").alias("mi"), F.hour("ts").alias("h"))

@@ -71,3 +71,16 @@ def test_slice_counts_half_open(spark):
     df = spark.createDataFrame(rows, "ts string").select(F.col("ts").cast("timestamp_ntz").alias("ts"))
     c = {r["slice"]: r["n"] for r in ts.slice_counts(df, "ts", [("w1", "2024-01-01", "2024-01-08")]).collect()}
     assert c == {"w1": 2}
+
+
+def test_entry_independent_of_session_zone(spark):
+    import __spark_entry__ as E
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        a = sorted(tuple(r) for r in E.entry(spark).collect())
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        b = sorted(tuple(r) for r in E.entry(spark).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert a == b and len(a) > 0
