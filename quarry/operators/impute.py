@@ -25,11 +25,15 @@ SENTINEL = -999.0
 
 
 def peak_fill_values(long: DataFrame, keys: Sequence[str], x: str = "x", closed: bool = False,
-                     rule: str = "2.x") -> DataFrame:
-    """(keys..., fill, peak_lo, peak_hi, mean) per key from long-form values."""
+                     rule: str = "2.x", exact: bool = True) -> DataFrame:
+    """(keys..., fill, peak_lo, peak_hi, mean) per key from long-form values.
+
+    ``exact=False`` takes the IQR of the bin-width rule from percentile_approx
+    (bounded memory per key, for very large high-cardinality columns); the
+    default matches numpy exactly."""
     keys = list(keys)
     vals = long.where(F.col(x).isNotNull())
-    st = auto_bin_stats(vals, keys, x, rule)
+    st = auto_bin_stats(vals, keys, x, rule, exact)
     j = vals.join(st, keys)
     first, last, nb = F.col("first"), F.col("last"), F.col("nb")
     b = bin_index(F.col(x), first, last, nb)
@@ -85,11 +89,11 @@ def apply_fills(df: DataFrame, fills: DataFrame, cols: Sequence[str], group: str
 
 
 def peak_impute(df: DataFrame, cols: Sequence[str], group: str | None = None, closed: bool = False,
-                round_to: int | None = None) -> DataFrame:
+                round_to: int | None = None, exact: bool = True) -> DataFrame:
     """I1 (closed, ungrouped, rounded to 2) / I2 (half-open, optionally grouped)."""
     keys = ([group] if group else []) + ["feature"]
     long = long_form(df, [group] if group else [], cols)
-    fills = peak_fill_values(long, keys, closed=closed)
+    fills = peak_fill_values(long, keys, closed=closed, exact=exact)
     return apply_fills(df, fills, cols, group, round_to=round_to)
 
 

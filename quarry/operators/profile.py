@@ -223,7 +223,8 @@ def minmax_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     return _edge_cols(edges.join(counts, "bin", "left").na.fill(0, ["n"]), lo, hi, bins)
 
 
-def auto_bin_stats(long: DataFrame, keys: Sequence[str], x: str = "x", rule: str = "2.x") -> DataFrame:
+def auto_bin_stats(long: DataFrame, keys: Sequence[str], x: str = "x", rule: str = "2.x",
+                   exact: bool = True) -> DataFrame:
     """A18 bin geometry per key (numpy ``bins='auto'``) from one aggregation.
 
     n, min, max, IQR -> width = min(max(FD, sqrt/2), Sturges) (numpy 2.x) or
@@ -231,7 +232,7 @@ def auto_bin_stats(long: DataFrame, keys: Sequence[str], x: str = "x", rule: str
     1 when the width is 0; a constant column gets [v - .5, v + .5]."""
     st = long.where(F.col(x).isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx"),
-        F.percentile(x, 0.25).alias("q1"), F.percentile(x, 0.75).alias("q3"))
+        quantile(x, 0.25, exact).alias("q1"), quantile(x, 0.75, exact).alias("q3"))
     n = F.col("n").cast("double")
     rng = F.col("mx") - F.col("mn")
     fd = 2.0 * (F.col("q3") - F.col("q1")) * F.pow(n, -1.0 / 3.0)
@@ -262,11 +263,11 @@ def bin_edge(i: Column, first: Column, last: Column, nb: Column) -> Column:
     return F.when(i == nb, last).otherwise(i.cast("double") * ((last - first) / nb) + first)
 
 
-def auto_histogram(df: DataFrame, cols: Sequence[str], rule: str = "2.x") -> DataFrame:
+def auto_histogram(df: DataFrame, cols: Sequence[str], rule: str = "2.x", exact: bool = True) -> DataFrame:
     """Numpy 'auto' histogram per column: (column, bin, lo, hi, n) for
     non-empty bins.  Stats per column are a small table joined back by key."""
     long = long_form(df, [], cols, "feature", "x").where(F.col("x").isNotNull())
-    st = auto_bin_stats(long, ["feature"], rule=rule)
+    st = auto_bin_stats(long, ["feature"], rule=rule, exact=exact)
     j = long.join(st, "feature")
     b = bin_index(F.col("x"), F.col("first"), F.col("last"), F.col("nb"))
     cnt = j.groupBy("feature", "first", "last", "nb", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

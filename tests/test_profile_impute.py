@@ -73,3 +73,12 @@ def test_dedupe_names():
     from quarry.operators.columns import dedupe_names, unify_brackets
     assert dedupe_names(["x", "y", "x", "x"]) == ["x", "y", "x.1", "x.2"]
     assert unify_brackets(["a（b）"]) == ["a(b)"]
+
+
+def test_approximate_peak_fill_close_to_exact(spark):
+    rng = np.random.default_rng(9)
+    vals = [float(v) for v in rng.normal(50, 10, 3000)] + [None] * 50
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, x double")
+    a = im.peak_fill_values(long_form(df, [], ["x"]), ["feature"]).first()
+    b = im.peak_fill_values(long_form(df, [], ["x"]), ["feature"], exact=False).first()
+    assert abs(a["fill"] - b["fill"]) < 2.0
