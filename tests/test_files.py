@@ -21,3 +21,15 @@ def test_csv_json_text_roundtrip(spark):
     with open(f"{d}/map.json", "w") as fh:
         json.dump({"old": "new", "a": "b"}, fh)
     assert files.read_mapping(spark, f"{d}/map.json") == {"old": "new", "a": "b"}
+
+
+def test_model_sink_roundtrip(spark):
+    from pyspark.ml.clustering import KMeans, KMeansModel
+    from pyspark.ml.functions import array_to_vector
+    d = tempfile.mkdtemp(prefix="quarry-model-")
+    df = spark.createDataFrame([([0.0, 0.0],), ([0.1, 0.0],), ([5.0, 5.0],), ([5.1, 5.0],)], "v array<double>")
+    vdf = df.select(array_to_vector("v").alias("features"))
+    m = KMeans(k=2, seed=1).fit(vdf)
+    files.save_model(m, f"{d}/kmeans")
+    back = KMeansModel.load(f"{d}/kmeans")
+    assert sorted(map(tuple, back.clusterCenters())) == sorted(map(tuple, m.clusterCenters()))

@@ -84,3 +84,10 @@ def test_entry_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert a == b and len(a) > 0
+
+
+def test_unknown_attribute_rejected(spark):
+    import pytest
+    df = _series(spark, [1.0] * 10)
+    with pytest.raises(ValueError):
+        ts.sliding_windows(df, ["nope"])
