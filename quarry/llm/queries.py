@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from .pii import personal_data_digest
 from .piece_codec import encode_documents
 from .sharding import shard_documents
 from .simhash import near_duplicates
@@ -24,6 +25,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=4096)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_text=False)
 
@@ -33,5 +38,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_token_counts, op8_piece_codec, op9_simhash)}
+    f.__name__: f for f in (op1_sharding, op2_token_counts, op4_personal_data, op8_piece_codec, op9_simhash)}
 ORACLE: dict[str, str] = {}
