@@ -44,15 +44,20 @@ def _grams(hashes: Column, k: int) -> Column:
                        lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(k)], F.lit(k)))
 
 
-def _window_minima(grams: Column) -> Column:
-    """The smallest of every W consecutive gram hashes.  W is 8, so three
-    rounds that each double the width do it."""
-    out, n, width = grams, F.size(grams), 1
+def _with_window_minima(df: DataFrame) -> DataFrame:
+    """``minima``: the smallest of every W consecutive ``grams``.  W is 8, so
+    three rounds that each double the width do it; every round is a column of
+    its own, since an expression inside a lambda is evaluated per element."""
+    prev, width = "grams", 1
     while width < W:
-        step = width
-        out = F.transform(out, lambda x, i, step=step, prev=out: F.least(x, F.get(prev, i + step)))
-        width *= 2
-    return F.slice(out, F.lit(1), F.greatest(n - (W - 1), F.lit(0)))
+        df = df.withColumn(f"min{2 * width}", _least_of(F.col(prev), width))
+        prev, width = f"min{2 * width}", 2 * width
+    full = F.greatest(F.size("grams") - (W - 1), F.lit(0))
+    return df.withColumn("minima", F.slice(prev, F.lit(1), full))
+
+
+def _least_of(values: Column, step: int) -> Column:
+    return F.transform(values, lambda x, i: F.least(x, F.get(values, i + step)))
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -105,7 +110,8 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     coarse = (docs.select("doc_id", *key, F.lower(text).alias("text"))
               .withColumn("hashes", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
               .withColumn("grams", _grams(F.col("hashes"), K)))
-    prints = F.array_distinct(_window_minima(F.col("grams")))
+    coarse = _with_window_minima(coarse)
+    prints = F.array_distinct("minima")
     for k in shorts:
         prints = F.array_union(prints, F.col("grams") if k == K else _grams(F.col("hashes"), k))
     coarse = written(coarse.select("doc_id", "text_hash", "text_crc", F.size("hashes").cast("long").alias("n_words"),
@@ -141,6 +147,7 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     # places of the item (and its end) at which the two differ
     breaks = F.filter(F.sequence(F.lit(0), F.size("item_words")), lambda j: ~F.coalesce(
         (j < F.size("item_words")) & (j + F.col("diagonal") >= 0)
+        & (j + F.col("diagonal") - F.col("first") < F.size("near"))
         & (F.get("item_words", j) == F.get("near", j + F.col("diagonal") - F.col("first"))), F.lit(False)))
     least = F.least(F.size("item_words"), F.lit(SPAN))
     runs = F.filter(F.transform("breaks", lambda b, i: F.struct(
