@@ -21,8 +21,8 @@ from .tables import written
 SPAN = 13
 K = 6
 W = SPAN - K + 1
-# Fixed value: what a word is made of once A-Z are lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: what stands between words once A-Z are lower-cased.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Most rows of a table that is broadcast (a few longs each); larger ones join
 # by shuffle.
@@ -30,7 +30,9 @@ BROADCAST_ROWS = 100_000
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The words of a lower-cased text: the pieces between what is no word,
+    without the empty piece before a first or behind a last such run."""
+    return F.array_remove(F.split(text, BETWEEN, -1), "")
 
 
 def _positions(n: Column) -> Column:
@@ -44,6 +46,17 @@ def _grams(hashes: Column, k: int) -> Column:
                        lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(k)], F.lit(k)))
 
 
+def _with_grams(df: DataFrame) -> DataFrame:
+    """``hashes`` of ``words`` and ``grams``, the hash of every K of them.  K
+    is 6: hashes of pairs, and of three pairs in a row.  Steps are columns of
+    their own, since an expression inside a lambda is evaluated per element."""
+    df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    df = df.withColumn("pairs", F.transform("hashes", lambda x, i: F.xxhash64(x, F.get("hashes", i + 1))))
+    df = df.withColumn("triples", F.transform("pairs", lambda x, i: F.xxhash64(
+        x, F.get("pairs", i + 2), F.get("pairs", i + 4))))
+    return df.withColumn("grams", F.slice("triples", F.lit(1), F.greatest(F.size("hashes") - (K - 1), F.lit(0))))
+
+
 def _with_window_minima(df: DataFrame) -> DataFrame:
     """``minima``: the smallest of every W consecutive ``grams``.  W is 8, so
     three rounds that each double the width do it; every round is a column of
@@ -66,20 +79,23 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 def _item_grams(items: DataFrame) -> DataFrame:
     """(k, gram, item, at): an item's fingerprints and where they are in it."""
-    hashed = items.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    long = hashed.where(F.size("words") >= SPAN).withColumn("grams", _grams(F.col("hashes"), K))
+    hashed = _with_grams(items)
+    long = hashed.where(F.size("words") >= SPAN)
 
     def smallest(i: Column) -> Column:
         return F.array_min(F.transform(F.sequence(i, i + (W - 1)), lambda p: F.struct(
             F.get(F.col("grams"), p).alias("gram"), (-p).alias("place"))))
 
-    long = (long.select("item", F.explode(F.array_distinct(F.transform(
+    # explode_outer, here and below: the filter that Spark infers from explode
+    # is pushed down with the whole expression in it, lambdas inside lambdas
+    long = (long.select("item", F.explode_outer(F.array_distinct(F.transform(
         _positions(F.size("grams") - (W - 1)), smallest))).alias("f"))
         .select(F.lit(K).alias("k"), F.col("f.gram").alias("gram"), "item", (-F.col("f.place")).alias("at")))
     short = hashed.where(F.size("words") < SPAN)
     whole = F.lit(None).cast("bigint")
     for k in range(1, SPAN):
-        gram = F.xxhash64(*[F.get("hashes", F.lit(j)) for j in range(k)], F.lit(k))
+        gram = F.get("grams", F.lit(0)) if k == K else F.xxhash64(*[F.get("hashes", F.lit(j)) for j in range(k)],
+                                                                  F.lit(k))
         whole = F.when(F.size("words") == k, gram).otherwise(whole)
     return long.unionByName(short.select(F.size("words").alias("k"), whole.alias("gram"), "item",
                                          F.lit(0).alias("at")))
@@ -107,10 +123,7 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = [F.xxhash64(text).alias("text_hash"), F.crc32(text.cast("binary")).alias("text_crc")]
     # Coarse pass.  lower() also folds letters beyond A-Z; it keeps the number
     # of words and whatever is equal, so it only adds candidates here.
-    coarse = (docs.select("doc_id", *key, F.lower(text).alias("text"))
-              .withColumn("hashes", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)))
-              .withColumn("grams", _grams(F.col("hashes"), K)))
-    coarse = _with_window_minima(coarse)
+    coarse = _with_window_minima(_with_grams(docs.select("doc_id", *key, _words(F.lower(text)).alias("words"))))
     prints = F.array_distinct("minima")
     for k in shorts:
         prints = F.array_union(prints, F.col("grams") if k == K else _grams(F.col("hashes"), k))
@@ -128,12 +141,10 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     fine = docs.select(*key, text.alias("text")).join(_small(found, n_found), ["text_hash", "text_crc"], "left_semi")
     fine = written(fine.dropDuplicates(["text_hash", "text_crc"]).select(
         "text_hash", "text_crc", _words(F.translate("text", UPPER, LOWER)).alias("words")), "words")
-    hashes = fine.select("text_hash", "text_crc", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
-    lengths = sorted({K, *shorts})
-    grams = None
-    for k in lengths:
-        part = hashes.select("text_hash", "text_crc", F.lit(k).alias("k"),
-                             F.posexplode(_grams(F.col("hashes"), k)).alias("p", "gram"))
+    hashes, grams = _with_grams(fine), None
+    for k in sorted({K, *shorts}):
+        part = hashes.select("text_hash", "text_crc", F.lit(k).alias("k"), F.posexplode_outer(
+            F.col("grams") if k == K else _grams(F.col("hashes"), k)).alias("p", "gram"))
         grams = part if grams is None else grams.unionByName(part)
     diagonals = (grams.join(_small(marks, n_marks), ["k", "gram"])
                  .select("text_hash", "text_crc", "item", (F.col("p") - F.col("at")).alias("diagonal")).distinct())
@@ -154,7 +165,8 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(i == 0, 0).otherwise(F.get("breaks", i - 1) + 1).alias("start"), b.alias("stop"))),
         lambda r: r["stop"] - r["start"] >= F.col("least"))
     hits = (pairs.select("text_hash", "text_crc", "ids", "diagonal", least.alias("least"), breaks.alias("breaks"))
-            .select("text_hash", "text_crc", "ids", "diagonal", F.explode(runs).alias("run"))
+            .select("text_hash", "text_crc", "ids", "diagonal", F.explode_outer(runs).alias("run"))
+            .where("run is not null")
             .select("text_hash", "text_crc", "ids", (F.col("run.start") + F.col("diagonal")).alias("start"),
                     (F.col("run.stop") + F.col("diagonal")).alias("stop")))
     hits = written(hits, "hits")

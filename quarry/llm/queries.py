@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from .decontaminate import contamination
 from .pii import personal_data_digest
 from .piece_codec import encode_documents
+from .quality import classify_quality
 from .sharding import shard_documents
 from .simhash import near_duplicates
 from .token_counts import count_tokens
+from .toxicity import classify_toxicity
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -25,10 +28,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), limit=4096)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=5, held=0)
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digest(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held=1)
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_text=False)
 
@@ -37,6 +48,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sharding, op2_token_counts, op4_personal_data, op8_piece_codec, op9_simhash)}
+    f.__name__: f for f in (
+        op1_sharding, op2_token_counts, op3_toxicity, op4_personal_data, op6_quality, op8_piece_codec, op9_simhash,
+        op10_decontamination)}
 ORACLE: dict[str, str] = {}
