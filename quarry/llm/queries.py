@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .decontaminate import contamination
+from .line_dedup import DIGEST_SQL, line_dedup_digest
 from .pii import personal_data_digest
 from .piece_codec import encode_documents
 from .quality import classify_quality
@@ -40,6 +41,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held=1)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup_digest(table(spark, sf_dir, "documents"), min_sites=5)
+
+
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), with_text=False)
 
@@ -54,6 +59,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_token_counts, op3_toxicity, op4_personal_data, op6_quality, op8_piece_codec, op9_simhash,
-        op10_decontamination)}
-ORACLE: dict[str, str] = {}
+        op1_sharding, op2_token_counts, op3_toxicity, op4_personal_data, op6_quality, op7_line_dedup, op8_piece_codec,
+        op9_simhash, op10_decontamination)}
+ORACLE: dict[str, str] = {"op7_line_dedup": DIGEST_SQL}

@@ -1,19 +1,21 @@
 """Toxicity classifier with counterfactual regularisation.
 
-A logistic model over the words of a text.  For every labelled text that names
+A logistic model over the words of a text and how often their stems (first
+letters) come up in it.  For every labelled text that names
 a group of people, a counterfactual copy is made in which each such identity
 term is swapped for another one of its kind; beside the usual loss, fitting
 penalises the squared change of the score between the two.  Words that merely
 name a group then carry no weight of their own, so neutral mentions are not
 taken for toxic.
 
-Fitting runs on a bounded sample of labelled documents (``FIT_ROWS``) as word
-hashes; scoring is one pass over all texts.
+Fitting runs on a bounded sample of labelled documents (``FIT_ROWS``) as
+feature hashes; scoring is one pass over all texts.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +29,7 @@ from .labelled import crc_mod, labelled_sample
 from .tables import batch_of, text_slices
 
 FIT_ROWS = 12_000
+STEM = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
 # Identity terms by kind; a counterfactual takes the next of its kind.
@@ -45,35 +48,51 @@ IDENTITY_TERMS = (
 _SWAP = {w: kind[(i + 1) % len(kind)] for kind in IDENTITY_TERMS for i, w in enumerate(kind)}
 
 
-def words_of(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+def words_of(text: str) -> Counter[str]:
+    return Counter(_WORD.findall(text.lower()))
 
 
-def counterfactual(words: set[str]) -> set[str]:
+def counterfactual(words: Counter[str]) -> Counter[str]:
     """The words with every identity term swapped for the next of its kind."""
-    return {_SWAP.get(w, w) for w in words}
+    out: Counter[str] = Counter()
+    for w, n in words.items():
+        out[_SWAP.get(w, w)] += n
+    return out
+
+
+def features(words: Counter[str]) -> set[int]:
+    """Hashes of what a text has: each word, and each stem found at least 1,
+    2 or 4 times (a stem is marked by its end, a word by none)."""
+    stems: Counter[str] = Counter()
+    for w, n in words.items():
+        if len(w) >= STEM:
+            stems[w[:STEM]] += n
+    out = set(map(word_hash, words))
+    for s, n in stems.items():
+        out.update(word_hash(f"{s}-{k}") for k in (1, 2, 4) if n >= k)
+    return out
 
 
 def word_hash(word: str) -> int:
     """64 bits as a signed number."""
-    h = xxhash.xxh64_intdigest(word.encode())
+    h = xxhash.xxh64_intdigest(word)
     return h - (1 << 64) if h >> 63 else h
 
 
 @dataclass
 class ToxicityModel:
     start: float
-    weights: dict[int, float]  # by word hash
+    weights: dict[int, float]  # by feature hash
 
     def score(self, texts: list[str]) -> np.ndarray:
         w, out = self.weights, np.empty(len(texts))
         for i, t in enumerate(texts):
-            out[i] = self.start + sum(w[h] for h in map(word_hash, words_of(t)) if h in w)
+            out[i] = self.start + sum(w[h] for h in sorted(w.keys() & features(words_of(t))))
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 def _select(ids: np.ndarray, row: np.ndarray, y: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Word hashes whose share differs most between the labels (by z value),
+    """Feature hashes whose share differs most between the labels (by z value),
     found in at least ``least`` rows; every identity term that occurs."""
     names, col = np.unique(ids, return_inverse=True)
     n, k = len(y), max(1.0, y.sum())
@@ -88,10 +107,10 @@ def _select(ids: np.ndarray, row: np.ndarray, y: np.ndarray, least: int, most: i
 
 
 def fit_logistic(rows: list[np.ndarray], swapped: list[np.ndarray], y: np.ndarray, penalty: float = 5.0,
-                 ridge: float = 1e-4, steps: int = 400, step: float = 0.1, least: int = 3,
-                 most: int = 4000) -> ToxicityModel:
+                 ridge: float = 5e-4, steps: int = 400, step: float = 0.1, least: int = 3,
+                 most: int = 400) -> ToxicityModel:
     """Adam on mean log loss + ridge + ``penalty`` times the mean squared score
-    change between a row's word hashes and its counterfactual's.
+    change between a row's feature hashes and its counterfactual's.
 
     Without both labels the model is constant: the share of label 1 (a half
     without any row)."""
@@ -149,10 +168,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, label: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            sets = [words_of(t) for t in texts]
-            x = [sorted(map(word_hash, s)) for s in sets]
-            z = [sorted(set(map(word_hash, counterfactual(s)))) if s & _SWAP.keys() else a
-                 for s, a in zip(sets, x, strict=True)]
+            words = [words_of(t) for t in texts]
+            x = [sorted(features(w)) for w in words]
+            z = [sorted(features(counterfactual(w))) if w.keys() & _SWAP.keys() else a
+                 for w, a in zip(words, x, strict=True)]
             yield batch_of(schema, [part.column("y"), x, z])
 
     got = labelled_sample(docs, labels, label, learn, max_rows).mapInArrow(
