@@ -1,7 +1,14 @@
 """A training-data pipeline over ``documents``, one operator per stage.
 
-Each stage takes (spark, docs, sf_dir) and returns what it keeps; ``run``
-writes every stage's result as Parquet and reads it back for the next one.
+Each stage takes (spark, docs, sf_dir) and returns what it keeps, with the
+columns of ``documents`` (the last one returns token digests); ``run`` writes
+every stage's result as Parquet and reads it back for the next one.
+
+Rows with a null in any column pass through: a null text is an empty one to
+every stage, and a document without a doc_id is never a group's first, so the
+near-dedup stage keeps it.  An empty table stays empty.  Columns beyond those
+of ``documents`` are carried along up to the last stage; they must not be
+called n_lines, n_removed, gone, text_hash or text_crc.
 """
 
 from __future__ import annotations
@@ -10,32 +17,60 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.decontaminate import decontaminate
+from quarry.llm.labelled import crc_mod
+from quarry.llm.line_dedup import remove_boilerplate
 from quarry.llm.piece_codec import encode_documents
+from quarry.llm.quality import fit_quality, keep_good
 from quarry.llm.simhash import near_duplicates
 from quarry.llm.tables import written
 from quarry.sources.tables import table
 
 TOKENIZER = "piece_bpe_32k.model"
+MIN_SITES = 5
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop what the classifier predicts to be of low quality.  It learns from
+    the labelled documents outside the held-out third."""
+    learn = crc_mod(F.col("doc_id"), 3) != 1
+    return keep_good(docs, fit_quality(docs, table(spark, sf_dir, "labels"), learn))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take boilerplate lines out of the texts; n_chars follows."""
+    out = remove_boilerplate(docs, MIN_SITES).drop("n_lines", "n_removed")
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the one whose id names the group."""
-    groups = near_duplicates(docs, shingle=4, bits=4)
-    first = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi")
+    """Keep one document of each group: the one whose id names the group.
+    Rows that repeat a kept one in doc_id and text go."""
+    first = near_duplicates(docs, shingle=4, bits=4).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").withColumn("_text", F.xxhash64("text"))
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text"]).select(docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents of which a twentieth or more is benchmark text."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, as digests with their number."""
+    """Encode and decode what is left: number of tokens and digests."""
     return encode_documents(docs, public_tokenizers.path(TOKENIZER), with_text=False)
 
 
 STAGES = [
+    ("quality classifier", quality_filter),
+    ("line dedup", line_dedup),
     ("simhash near-dedup", simhash_near_dedup),
-    ("sentencepiece encoding", piece_encoding),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("sentencepiece encoding and decoding", piece_encoding),
 ]
 
-# Model fits and fingerprints have no SQL form; tests hold run() against plain Python.
+# A fitted model and fingerprints have no SQL form; a test holds run() against plain Python.
 ORACLE_SQL = None
 
 

@@ -173,6 +173,16 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return coarse, hits.withColumn("item_id", F.explode_outer("ids")).drop("ids")
 
 
+def _hit_words(hits: DataFrame) -> DataFrame:
+    """(text_hash, text_crc, n_hit, ids): the size of the union of a text's
+    hit spans, and the items that hit it."""
+    by_text = Window.partitionBy("text_hash", "text_crc").orderBy("start", "stop")
+    reached = F.max("stop").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.greatest(F.col("stop") - F.greatest(F.col("start"), F.coalesce(reached, F.lit(0))), F.lit(0))
+    return (hits.withColumn("new", new).groupBy("text_hash", "text_crc")
+            .agg(F.sum("new").alias("n_hit"), F.collect_set(F.col("item_id").cast("string")).alias("ids")))
+
+
 def contamination(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit (words inside an occurrence
     of an item's window), n_items, items_sha256 (of the item_ids as sorted
@@ -184,11 +194,7 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFra
     repeated rows get a row each; an empty ``docs`` gives no rows and an empty
     ``items`` no hits; other columns are ignored."""
     coarse, hits = _prepare(docs, items)
-    by_text = Window.partitionBy("text_hash", "text_crc").orderBy("start", "stop")
-    reached = F.max("stop").over(by_text.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.greatest(F.col("stop") - F.greatest(F.col("start"), F.coalesce(reached, F.lit(0))), F.lit(0))
-    per_text = (hits.withColumn("new", new).groupBy("text_hash", "text_crc")
-                .agg(F.sum("new").alias("n_hit"), F.collect_set(F.col("item_id").cast("string")).alias("ids")))
+    per_text = _hit_words(hits)
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     ids = F.coalesce(F.col("ids"), F.array().cast("array<string>"))
     return (coarse.select("doc_id", "text_hash", "text_crc", "n_words")
@@ -196,3 +202,16 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFra
             .select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
                     F.sha2(F.array_join(F.array_sort(ids), ","), 256).alias("items_sha256"),
                     ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated")))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated: whether a
+    row goes depends on its text alone."""
+    coarse, hits = _prepare(docs, items)
+    sizes = coarse.select("text_hash", "text_crc", "n_words").distinct()
+    bad = written(_hit_words(hits).join(sizes, ["text_hash", "text_crc"])
+                  .where((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+                  .select(F.col("text_hash").alias("_hash"), F.col("text_crc").alias("_crc")), "contaminated")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    same = (F.xxhash64(text) == F.col("_hash")) & (F.crc32(text.cast("binary")) == F.col("_crc"))
+    return docs.join(_small(bad, bad.count()), same, "left_anti")

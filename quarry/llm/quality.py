@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -215,6 +216,15 @@ def score_quality(docs: DataFrame, model: AdditiveModel, held_out: Column) -> Da
         run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def keep_good(docs: DataFrame, model: AdditiveModel) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text the model predicts 1 for."""
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.array([features(t or "") for t in texts]).reshape(-1, len(FEATURES))))
+
+    return docs.where(score("text") >= 0.5)
+
+
 def classify_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,
                      max_rows: int = FIT_ROWS) -> DataFrame:
     """Fit without the rows whose crc32(doc_id as text) modulo ``folds`` is

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
 from .decontaminate import contamination
+from .embed_dedup import link_vectors
 from .line_dedup import DIGEST_SQL, line_dedup_digest
 from .pii import personal_data_digest
 from .piece_codec import encode_documents
@@ -37,6 +38,10 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), folds=3, held=1)
 
@@ -59,6 +64,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_token_counts, op3_toxicity, op4_personal_data, op6_quality, op7_line_dedup, op8_piece_codec,
-        op9_simhash, op10_decontamination)}
+        op1_sharding, op2_token_counts, op3_toxicity, op4_personal_data, op5_embedding_dedup, op6_quality,
+        op7_line_dedup, op8_piece_codec, op9_simhash, op10_decontamination)}
 ORACLE: dict[str, str] = {"op7_line_dedup": DIGEST_SQL}
