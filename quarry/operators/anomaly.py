@@ -1,15 +1,14 @@
 """Isolation forest (N1) and the anomaly jobs built on it.
 
 Training (Liu, Ting & Zhou 2008): each of ``n_trees`` trees isolates
-``psi`` = min(256, n) rows drawn without replacement.  A uniform sample of
-about ``oversample * psi * n_trees`` rows (independent of the data size) is
-drawn first; each tree takes the ``psi`` rows of that sample with the
-smallest seeded hash, so the per-tree selection is a bounded top-k.  Trees
+``psi`` = min(256, n) rows drawn without replacement: of the (row, tree) pairs
+below a hash threshold - about ``oversample * psi`` a tree, whatever the data
+size - each tree takes the ``psi`` with the smallest hash, a bounded top-k.  Trees
 are grown in parallel, one ``applyInPandas`` group per tree, and come back as
 a node table (at most 2*psi - 1 nodes per tree).  Scoring ships that bounded
 table to the executors once and walks all trees for a whole Arrow batch at a
 time in ``mapInPandas``: score = 2^(-E[h(x)] / c(psi)).  The label is -1 for
-the ``contamination`` share of highest scores (cut = exact percentile of
+the ``contamination`` share of highest scores (cut = exact quantile of
 the scores), 1 otherwise.
 """
 
@@ -23,7 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import top_k
+from .quantile import quantile_row
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "size long, leaf boolean")
@@ -64,22 +65,26 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return [tuple(n) for n in nodes]
 
 
-def iforest_fit(df: DataFrame, features: str, n_trees: int = 100, psi: int = 256, seed: int = 42,
+def iforest_fit(df: DataFrame, features: str, keys: Sequence[str], n_trees: int = 100, psi: int = 256, seed: int = 42,
                 oversample: float = 1.5) -> tuple[list, int]:
     """Grow the forest; returns (node rows, effective psi)."""
     n = df.count()
     psi = int(min(psi, n))
-    frac = min(1.0, oversample * psi * n_trees / max(n, 1))
-    sample = df.select(F.col(features).alias("x")).sample(fraction=frac, seed=seed) \
-               .withColumn("_rid", F.monotonically_increasing_id())
-    per_tree = sample.select("_rid", "x", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    per_tree = per_tree.withColumn("_h", F.xxhash64("_rid", "tree", F.lit(seed)))
-    chosen = top_k(per_tree, ["tree"], [F.col("_h"), F.col("_rid")], psi, salt_on=["_rid"])
+    # (row, tree) pairs by a hash threshold, with a margin; each tree then keeps
+    # the psi smallest.  The hash is of the row's keys, so the forest does not
+    # depend on how the rows are partitioned.
+    keys, span = list(keys), 1 << 40
+    below = int(min(1.0, oversample * psi / max(n, 1)) * span)
+    drawn = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
+        t.alias("tree"), F.pmod(F.xxhash64(*keys, t, F.lit(seed)), F.lit(span)).alias("_h"))),
+        lambda p: p["_h"] < below)
+    per_tree = df.select(*keys, F.col(features).alias("x"), F.explode(drawn).alias("p")).select(*keys, "x", "p.*")
+    chosen = top_k(per_tree, ["tree"], [F.col("_h"), *map(F.col, keys)], psi, salt_on=keys)
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
-        x = np.array(pdf["x"].tolist(), dtype=float)
+        x = np.stack(pdf["x"].to_numpy()).astype(float)
         rows = _grow(x, np.random.default_rng(seed * 1000003 + t), max_depth)
         out = pd.DataFrame(rows, columns=["node", "feature", "threshold", "left", "right", "size", "leaf"])
         out.insert(0, "tree", t)
@@ -126,7 +131,7 @@ def iforest_score(df: DataFrame, features: str, nodes: list, psi: int, keep: Seq
     def score(batches):
         tr = bc.value
         for pdf in batches:
-            x = np.array(pdf[features].tolist(), dtype=float)
+            x = np.stack(pdf[features].to_numpy()).astype(float) if len(pdf) else np.zeros((0, 1))
             h = _path_lengths(x, tr) if len(x) else np.zeros(0)
             out = pdf[keep].copy()
             out["score"] = np.power(2.0, -h / cpsi) if cpsi > 0 else 0.5
@@ -140,9 +145,10 @@ def iforest_score(df: DataFrame, features: str, nodes: list, psi: int, keep: Seq
 def iforest(df: DataFrame, features: str, keep: Sequence[str], contamination: float = 0.01,
             n_trees: int = 100, psi: int = 256, seed: int = 42) -> DataFrame:
     """Fit + score + label (-1 for the top ``contamination`` share)."""
-    nodes, psi_eff = iforest_fit(df, features, n_trees, psi, seed)
+    nodes, psi_eff = iforest_fit(df, features, keep, n_trees, psi, seed)
     scored = iforest_score(df, features, nodes, psi_eff, keep)
-    cut = scored.select(F.percentile("score", 1.0 - contamination)).first()[0]
+    scored = cut_lineage(scored)
+    cut = quantile_row(scored, "score", [1.0 - contamination])[0]
     return scored.withColumn("label", F.when(F.col("score") > F.lit(cut), F.lit(-1)).otherwise(F.lit(1)))
 
 
@@ -175,7 +181,7 @@ def rff_features(df: DataFrame, features: str, dim: int, n_components: int = 100
     def fn(batches):
         ww, bb = bc.value
         for pdf in batches:
-            x = np.array(pdf[features].tolist(), dtype=float).reshape(len(pdf), dim)
+            x = (np.stack(pdf[features].to_numpy()).astype(float) if len(pdf) else np.zeros((0, dim)))
             z = scale * np.cos(x @ ww.T + bb)
             res = pdf.copy()
             res[out] = list(z)
@@ -186,10 +192,12 @@ def rff_features(df: DataFrame, features: str, dim: int, n_components: int = 100
 
 
 def ocsvm(df: DataFrame, features: str, dim: int, keep: Sequence[str], nu: float = 0.05,
-          n_components: int = 100, iters: int = 15, seed: int = 42) -> DataFrame:
+          n_components: int = 100, tol: float = 1e-3, max_steps: int = 500, seed: int = 42) -> DataFrame:
     """One-class SVM on random Fourier features.  Minimises
     1/2 |w|^2 + 1/(nu n) sum max(0, rho - w.z_i) - rho by full-batch
-    subgradient steps (one distributed vector sum per step); afterwards rho is
+    subgradient steps (one distributed vector sum per step) until the best
+    objective has improved by less than ``tol`` of itself over ten steps; more
+    than ``max_steps`` raise an error.  The best w is kept; afterwards rho is
     set to the nu-quantile of the scores w.z_i, so the flagged share is nu.
     Label -1 when w.z < rho (sklearn's convention), score = w.z - rho."""
     from pyspark import StorageLevel
@@ -197,23 +205,33 @@ def ocsvm(df: DataFrame, features: str, dim: int, keep: Sequence[str], nu: float
         .persist(StorageLevel.MEMORY_AND_DISK)
     n = z.count()
     w = np.full(n_components, 1.0 / math.sqrt(n_components))
-    rho = 0.0
-    for t in range(iters):
+    rho, best, history = 0.0, (math.inf, w), []
+    for t in range(max_steps + 1):
         lit_w = F.array(*[F.lit(float(v)) for v in w])
         s = F.aggregate(F.zip_with("rff", lit_w, lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v)
-        viol = z.where(s < F.lit(rho)).select(F.posexplode("rff").alias("pos", "v"))
-        parts = viol.groupBy("pos").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("c")).collect()
-        vsum = np.zeros(n_components)
-        cnt = 0
+        short = z.withColumn("_gap", F.lit(rho) - s).where("_gap > 0")
+        viol = short.select("_gap", F.posexplode("rff").alias("pos", "v"))
+        parts = viol.groupBy("pos").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("c"),
+                                        F.sum("_gap").alias("g")).collect()
+        vsum, cnt, gap = np.zeros(n_components), 0, 0.0
         for row in parts:                      # at most n_components rows
             vsum[row["pos"]] = row["s"]
-            cnt = row["c"]
+            cnt, gap = row["c"], row["g"]
+        best = min(best, (0.5 * float(w @ w) + gap / (nu * n) - rho, w), key=lambda b: b[0])
+        history.append(best[0])
+        if len(history) > 10 and history[-11] - history[-1] <= tol * max(abs(history[-1]), tol):
+            break
         step = 1.0 / (t + 2)
         w = w - step * (w - vsum / (nu * n))
         rho = rho - step * (-1.0 + cnt / (nu * n))
+    else:
+        raise RuntimeError(f"no convergence in {max_steps} steps: objective {history[-1]:.6g}")
+    w = best[1]
     lit_w = F.array(*[F.lit(float(v)) for v in w])
     scored = z.withColumn("_s", F.aggregate(F.zip_with("rff", lit_w, lambda a, c: a * c), F.lit(0.0),
                                             lambda acc, v: acc + v))
-    cut = scored.select(F.percentile("_s", nu)).first()[0]
+    scored = cut_lineage(scored)
+    z.unpersist()
+    cut = quantile_row(scored, "_s", [nu])[0]
     return scored.select(*keep, (F.col("_s") - F.lit(cut)).alias("score"),
                          F.when(F.col("_s") < F.lit(cut), F.lit(-1)).otherwise(F.lit(1)).alias("label"))

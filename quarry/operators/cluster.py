@@ -26,7 +26,7 @@ def vectorise(df: DataFrame, vec: str = "v", out: str = "features") -> DataFrame
     return df.withColumn(out, array_to_vector(F.col(vec))).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def kmeans_best(vdf: DataFrame, k: int, n_init: int = 4, seed: int = 42, max_iter: int = 300,
+def kmeans_best(vdf: DataFrame, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300,
                 tol: float = 1e-2):
     """K-means|| fitted with ``n_init`` seeds, the lowest training cost wins
     (the reference restarts 10 times, trap B24).  sklearn stops when the summed
@@ -50,15 +50,18 @@ def assign(model, vdf: DataFrame, keep: Sequence[str], out: str = "cluster") ->
     return model.transform(vdf).select(*keep, F.col("prediction").cast("int").alias(out))
 
 
-def select_k(vdf: DataFrame, ks: Sequence[int], vec: str = "v", n_init: int = 2, seed: int = 42) -> DataFrame:
-    """C2 + C3: for each k the inertia (the fit's cost), silhouette (squared
+def select_k(vdf: DataFrame, ks: Sequence[int], vec: str = "v", n_init: int = 10, seed: int = 42) -> DataFrame:
+    """C2 + C3 (``ks`` below the number of rows): for each k the inertia (the fit's cost), silhouette (squared
     Euclidean, Spark's evaluator), Calinski-Harabasz (total SS from one pass)
     and Davies-Bouldin (per-cluster spreads from one pass with the k x d
-    centres inlined); ``best`` marks the silhouette winner."""
+    centres inlined); ``best``, ``best_ch`` and ``best_db`` mark the
+    winners by silhouette, Calinski-Harabasz and Davies-Bouldin (lowest)."""
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     st = vdf.select(F.posexplode(vec).alias("dim", "x")).groupBy("dim").agg(
         F.var_pop("x").alias("v"), F.count(F.lit(1)).alias("n")).collect()
     n = st[0]["n"] if st else 0
+    if max(ks) >= n:
+        raise ValueError(f"k must be below the number of rows, {n}")
     total_ss = float(sum(r["v"] * r["n"] for r in st))
 
     def score_k(k: int):
@@ -80,12 +83,14 @@ def select_k(vdf: DataFrame, ks: Sequence[int], vec: str = "v", n_init: int = 2,
         return (int(k), w, float(sil), float(ch), db)
 
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=max(1, len(ks))) as pool:     # one concurrent job chain per k
+    with ThreadPoolExecutor(max_workers=2) as pool:     # two k at a time, each with concurrent restarts
         rows = list(pool.map(score_k, ks))
-    best = max(rows, key=lambda r: r[2])[0]
-    out = [(*r, r[0] == best) for r in rows]
+    best, best_ch = (max(rows, key=lambda r: r[i])[0] for i in (2, 3))
+    best_db = min(rows, key=lambda r: r[4])[0]
+    out = [(*r, r[0] == best, r[0] == best_ch, r[0] == best_db) for r in rows]
     return vdf.sparkSession.createDataFrame(
-        out, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double, best boolean")
+        out, "k int, inertia double, silhouette double, calinski_harabasz double, davies_bouldin double, best boolean, "
+             "best_ch boolean, best_db boolean")
 
 
 def gmm_assign(vdf: DataFrame, k: int, keep: Sequence[str], seed: int = 42) -> DataFrame:
@@ -133,10 +138,14 @@ def ward_on_centroids(cent: np.ndarray, weights: np.ndarray, k: int) -> np.ndarr
 
 
 def ward_two_phase(vdf: DataFrame, k: int, keep: Sequence[str], micro: int = 100, seed: int = 42) -> DataFrame:
-    """C4: k-means micro-clusters on Spark, Ward on their weighted centroids
-    (at most ``micro`` points on the driver), labels joined back by micro id."""
+    """C4: ``micro`` k-means micro-clusters on Spark, Ward on their weighted
+    centroids (so many points on the driver, whatever the data size), labels
+    joined back by micro id.  ``micro`` is a parameter of the result: at most
+    the number of rows, or an error is raised."""
     n = vdf.count()
-    m = KMeans(k=min(micro, max(k, n)), seed=seed, featuresCol="features").fit(vdf)
+    if not k <= micro <= n:
+        raise ValueError(f"micro must be between k = {k} and the number of rows, {n}")
+    m = KMeans(k=micro, seed=seed, featuresCol="features").fit(vdf)
     pred = m.transform(vdf)
     sizes = {r["prediction"]: r["count"] for r in pred.groupBy("prediction").count().collect()}
     centers = np.array(m.clusterCenters())

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 # Salt buckets for top-k inside possibly hot groups: the first ranking pass runs
 # per (group, salt) so that one group never lands in one sort task.
 TOPK_SALT = 64
+# Most rows of a statistics table that is broadcast.
+BROADCAST_ROWS = 20_000
 
 
 def long_form(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str = "feature",
@@ -35,6 +37,15 @@ def top_k(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
     return pre.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
 
 
+def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
+               rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join a table of statistics (a row per key) to ``big``.  Broadcast where a
+    count shows at most ``rows`` rows, so that the rows of ``big`` stay where
+    they are however few keys there are; else a join by shuffle, which AQE
+    splits where it is skewed."""
+    return big.join(F.broadcast(small) if small.count() <= rows else small, list(on), how)
+
+
 def scalar(df: DataFrame, expr: Column) -> Column:
     """A whole-table statistic as a scalar-subquery column (no cross join, no
     driver round trip): ``df.select(expr).scalar()``."""

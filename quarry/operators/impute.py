@@ -18,32 +18,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import long_form
+from .common import join_small, long_form
+from .quantile import counted, modes
 from .profile import auto_bin_stats, bin_edge, bin_index, missing_tier
 
 SENTINEL = -999.0
 
 
 def peak_fill_values(long: DataFrame, keys: Sequence[str], x: str = "x", closed: bool = False,
-                     rule: str = "2.x", exact: bool = True) -> DataFrame:
-    """(keys..., fill, peak_lo, peak_hi, mean) per key from long-form values.
-
-    ``exact=False`` takes the IQR of the bin-width rule from percentile_approx
-    (bounded memory per key, for very large high-cardinality columns); the
-    default matches numpy exactly."""
+                     rule: str = "2.x") -> DataFrame:
+    """(keys..., fill, peak_lo, peak_hi, mean) per key from long-form values,
+    all from one count per (keys, value)."""
     keys = list(keys)
-    vals = long.where(F.col(x).isNotNull())
-    st = auto_bin_stats(vals, keys, x, rule, exact)
-    j = vals.join(st, keys)
+    counts = counted(long, keys, x, "n")
+    st = cut_lineage(auto_bin_stats(counts, keys, x, rule).drop("n"))
+    j = join_small(counts, st, keys)
     first, last, nb = F.col("first"), F.col("last"), F.col("nb")
     b = bin_index(F.col(x), first, last, nb)
     j = j.withColumn("bin", b)
     hi = bin_edge(F.col("bin") + 1, first, last, nb)
     lo = bin_edge(F.col("bin"), first, last, nb)
+    n, total = F.col("n"), F.col(x) * F.col("n")
     per_bin = j.groupBy(*keys, "first", "last", "nb", "bin").agg(
-        F.count(F.lit(1)).alias("cnt"), F.sum(x).alias("s"),
-        F.sum(F.when(F.col(x) < hi, F.col(x))).alias("hs"), F.count_if(F.col(x) < hi).alias("hn"),
-        F.sum(F.when(F.col(x) == lo, F.col(x))).alias("es"), F.count_if(F.col(x) == lo).alias("en"))
+        F.sum(n).alias("cnt"), F.sum(total).alias("s"),
+        F.sum(F.when(F.col(x) < hi, total)).alias("hs"),
+        F.coalesce(F.sum(F.when(F.col(x) < hi, n)), F.lit(0)).alias("hn"),
+        F.sum(F.when(F.col(x) == lo, total)).alias("es"),
+        F.coalesce(F.sum(F.when(F.col(x) == lo, n)), F.lit(0)).alias("en"))
     # small (keys x bins) and read twice below: materialise instead of re-scanning the data
     per_bin = cut_lineage(per_bin)
     pk = per_bin.groupBy(*keys).agg(
@@ -81,7 +82,7 @@ def apply_fills(df: DataFrame, fills: DataFrame, cols: Sequence[str], group: str
         return df.withColumns(exprs)
     wide = fills.groupBy(group).pivot("feature", cols).agg(F.first(value))
     wide = wide.select(group, *[F.col(c).alias(f"_fill_{c}") for c in cols])
-    out = df.join(wide, group, "left")
+    out = join_small(df, cut_lineage(wide), [group], "left")
     for c in cols:
         v = F.coalesce(F.col(c), F.col(f"_fill_{c}"))
         out = out.withColumn(c, F.bround(v, round_to) if round_to is not None else v)
@@ -89,17 +90,20 @@ def apply_fills(df: DataFrame, fills: DataFrame, cols: Sequence[str], group: str
 
 
 def peak_impute(df: DataFrame, cols: Sequence[str], group: str | None = None, closed: bool = False,
-                round_to: int | None = None, exact: bool = True) -> DataFrame:
+                round_to: int | None = None) -> DataFrame:
     """I1 (closed, ungrouped, rounded to 2) / I2 (half-open, optionally grouped)."""
     keys = ([group] if group else []) + ["feature"]
     long = long_form(df, [group] if group else [], cols)
-    fills = peak_fill_values(long, keys, closed=closed, exact=exact)
+    fills = peak_fill_values(long, keys, closed=closed)
     return apply_fills(df, fills, cols, group, round_to=round_to)
 
 
 def mode_impute(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """NULL <- most frequent value (smallest on ties), as scalar subqueries."""
-    return df.withColumns({c: F.coalesce(F.col(c), df.select(F.mode(c, True)).scalar()) for c in cols})
+    """NULL <- most frequent value (smallest on ties).  One count over the
+    unpivoted columns gives all modes (a bounded row each), inlined as literals."""
+    found = modes(counted(long_form(df, [], cols), ["feature"]), ["feature"])
+    mode = {r["feature"]: r["mode"] for r in found.collect()}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(mode.get(c)).cast(df.schema[c].dataType)) for c in cols})
 
 
 def sentinel_impute(df: DataFrame, cols: Sequence[str], value: float = SENTINEL) -> DataFrame:

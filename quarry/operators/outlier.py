@@ -71,17 +71,17 @@ def bands_from_bins(pdf: pd.DataFrame) -> pd.DataFrame:
     for start in range(0, len(c), 4096):                      # bounded memory per chunk
         z = (x[:, None] - c[None, start:start + 4096]) / h
         dens += (np.exp(-0.5 * z * z) * w[None, start:start + 4096]).sum(axis=1)
-    peaks = [x[i] for i in range(1, GRID - 1) if dens[i] > dens[i - 1] and dens[i] > dens[i + 1]]
+    # strict local maxima: the density's slope turns from up to down
+    slope = np.sign(np.diff(dens))
+    peaks = x[1:-1][(slope[:-1] > 0) & (slope[1:] < 0)]
     if len(peaks) <= 1:
         return empty
-    bands = []
-    for i, ctr in enumerate(ward_merge_1d(peaks)):
-        lo, hi = ctr - 0.5, ctr + 0.5
-        if i > 0:
-            lo = max(lo, bands[-1][1] + 0.1)
-        bands.append((lo, hi))
-    return pd.DataFrame({"feature": feat, "band": np.arange(len(bands), dtype="int32"),
-                         "lo": [b[0] for b in bands], "hi": [b[1] for b in bands]})
+    # a band reaches half an order to either side of its centre, but starts no
+    # sooner than 0.1 above the band before, which ends at its centre + 0.5
+    mid = np.array(ward_merge_1d(peaks))
+    floor = np.concatenate([[-np.inf], mid[:-1] + 0.6])
+    return pd.DataFrame({"feature": feat, "band": np.arange(len(mid), dtype="int32"),
+                         "lo": np.maximum(mid - 0.5, floor), "hi": mid + 0.5})
 
 
 def log_values(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:

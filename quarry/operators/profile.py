@@ -3,10 +3,8 @@
 Every per-column loop of the reference is one wide aggregation or one unpivot
 followed by a grouped aggregation; statistics are joined back as small
 per-(group, feature) tables, never collected and re-broadcast by hand.
-Exact quantiles use ``percentile`` (linear interpolation, equal to numpy's
-default and DuckDB's ``quantile_cont``); it keeps a value->count map per
-group, so pass ``exact=False`` for high-cardinality columns at scale
-(``percentile_approx``).
+Exact quantiles (linear interpolation, equal to numpy's default and DuckDB's
+``quantile_cont``) come from counts per value, see ``quantile``.
 """
 
 from __future__ import annotations
@@ -17,11 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import long_form, stats_row
-
-
-def quantile(c: Column | str, q: float, exact: bool = True, accuracy: int = 100000) -> Column:
-    return F.percentile(c, q) if exact else F.percentile_approx(c, q, accuracy)
+from ..session import cut_lineage
+from .common import join_small, long_form, stats_row
+from .quantile import counted, exact_quantiles, quantile_row
 
 
 # ---------------------------------------------------------------- counts
@@ -136,52 +132,43 @@ def feature_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return rows.select("feature", "nunique", kind.alias("type"))
 
 
-def column_profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75),
-                   exact: bool = True) -> DataFrame:
+def column_profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Shared per-column profile (A13, and the input of D1 / D2): n, zero
-    count, min, max and the requested quantiles from ONE aggregate over the
-    unpivoted values, and n_unique from a grouped (feature, value) count.
-    Quantiles come from a single percentile-array aggregate per column."""
-    long = long_form(df, [], cols, "feature", "x").where(F.col("x").isNotNull())
-    qs = F.percentile("x", list(quantiles)) if exact else F.percentile_approx("x", list(quantiles), 100000)
-    main = long.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") == 0).alias("zero_count"),
-        F.min("x").alias("min"), F.max("x").alias("max"), qs.alias("q"))
-    uniq = long.select("feature", "x").distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"))
-    return main.join(uniq, "feature")
-
-
-def dist_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+    count, min, max, n_unique and the requested exact quantiles, all from one
+    count per (feature, value)."""
+    counts = counted(long_form(df, [], cols, "feature", "x"), ["feature"])
+    main = counts.groupBy("feature").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("x") == 0, F.col("n"))), F.lit(0)).alias("zero_count"),
+        F.min("x").alias("min"), F.max("x").alias("max"), F.count(F.lit(1)).alias("n_unique"))
+    return main.join(exact_quantiles(counts, ["feature"], quantiles).drop("total"), "feature")
+
+
+def dist_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column n (non-null), n_unique, zero count, min, max, q25, median, q75."""
-    p = column_profile(df, cols, (0.25, 0.5, 0.75), exact)
+    p = column_profile(df, cols, (0.25, 0.5, 0.75))
     return p.select("feature", "n", "n_unique", "zero_count", "min", "max",
                     F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q75"))
 
 
-def box_stats(df: DataFrame, value: str, group: Sequence[str] = (), exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences)
-    and outlier count per group; the quartile table (one row per group) is
-    joined back by key, or inlined as literals when there is no group."""
+    and outlier count per group.  Everything comes from the counts per (group,
+    value): the rows themselves are never shuffled by group."""
     g = list(group)
-    x = F.col(value)
+    counts = counted(df.select(*g, F.col(value).alias("x")), g)
     if not g:
-        st = stats_row(df, q1=quantile(value, 0.25, exact), median=quantile(value, 0.5, exact),
-                       q3=quantile(value, 0.75, exact), n=F.count(value))
-        lo_f, hi_f = st["q1"] - 1.5 * (st["q3"] - st["q1"]), st["q3"] + 1.5 * (st["q3"] - st["q1"])
-        inside = (x >= lo_f) & (x <= hi_f)
-        return df.agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
-                      F.count_if(~inside).alias("outliers")).select(
-            st["q1"].alias("q1"), st["median"].alias("median"), st["q3"].alias("q3"), st["n"].alias("n"),
-            lo_f.alias("lo_fence"), hi_f.alias("hi_fence"), "whisker_lo", "whisker_hi", "outliers")
-    q = df.groupBy(*g).agg(quantile(value, 0.25, exact).alias("q1"), quantile(value, 0.5, exact).alias("median"),
-                           quantile(value, 0.75, exact).alias("q3"), F.count(value).alias("n"))
-    q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
+        g, counts = ["_all"], counts.withColumn("_all", F.lit(0))
+    q = exact_quantiles(counts, g, (0.25, 0.5, 0.75)).select(
+        *g, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
+        F.col("total").alias("n"))
+    q = cut_lineage(q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
+                    .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
+    x = F.col("x")
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    j = df.select(*g, value).join(q.select(*g, "lo_fence", "hi_fence"), g)
+    j = join_small(counts, q.select(*g, "lo_fence", "hi_fence"), g)
     w = j.groupBy(*g).agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
-                          F.count_if(~inside).alias("outliers"))
-    return q.join(w, g)
+                          F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"))
+    return q.join(w, g).drop("_all")
 
 
 # ---------------------------------------------------------------- histograms
@@ -204,7 +191,7 @@ def _edge_cols(df: DataFrame, lo: Column, hi: Column, bins) -> DataFrame:
 
 def percentile_histogram(df: DataFrame, value: str, q: float = 0.99, bins: int = 49) -> DataFrame:
     """``bins`` equal bins on [0, p_q]: the reference's linspace(0, p99, 50)."""
-    hi = stats_row(df, hi=F.percentile(value, q))["hi"]
+    hi = F.lit(quantile_row(df, value, [q])[0])
     x = F.col(value)
     b = F.least(F.floor(x * bins / hi), F.lit(bins - 1)).cast("int")
     counts = df.where((x >= 0) & (x <= hi)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -223,16 +210,16 @@ def minmax_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     return _edge_cols(edges.join(counts, "bin", "left").na.fill(0, ["n"]), lo, hi, bins)
 
 
-def auto_bin_stats(long: DataFrame, keys: Sequence[str], x: str = "x", rule: str = "2.x",
-                   exact: bool = True) -> DataFrame:
-    """A18 bin geometry per key (numpy ``bins='auto'``) from one aggregation.
+def auto_bin_stats(counts: DataFrame, keys: Sequence[str], x: str = "x", rule: str = "2.x") -> DataFrame:
+    """A18 bin geometry per key (numpy ``bins='auto'``) from counted values.
 
     n, min, max, IQR -> width = min(max(FD, sqrt/2), Sturges) (numpy 2.x) or
     FD > 0 ? min(FD, Sturges) : Sturges (numpy 1.x); bins = ceil(R / width),
     1 when the width is 0; a constant column gets [v - .5, v + .5]."""
-    st = long.where(F.col(x).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx"),
-        quantile(x, 0.25, exact).alias("q1"), quantile(x, 0.75, exact).alias("q3"))
+    keys = list(keys)
+    q = exact_quantiles(counts, keys, (0.25, 0.75), x).select(
+        *keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    st = counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx")).join(q, keys)
     n = F.col("n").cast("double")
     rng = F.col("mx") - F.col("mn")
     fd = 2.0 * (F.col("q3") - F.col("q1")) * F.pow(n, -1.0 / 3.0)
@@ -263,14 +250,14 @@ def bin_edge(i: Column, first: Column, last: Column, nb: Column) -> Column:
     return F.when(i == nb, last).otherwise(i.cast("double") * ((last - first) / nb) + first)
 
 
-def auto_histogram(df: DataFrame, cols: Sequence[str], rule: str = "2.x", exact: bool = True) -> DataFrame:
+def auto_histogram(df: DataFrame, cols: Sequence[str], rule: str = "2.x") -> DataFrame:
     """Numpy 'auto' histogram per column: (column, bin, lo, hi, n) for
-    non-empty bins.  Stats per column are a small table joined back by key."""
-    long = long_form(df, [], cols, "feature", "x").where(F.col("x").isNotNull())
-    st = auto_bin_stats(long, ["feature"], rule=rule, exact=exact)
-    j = long.join(st, "feature")
+    non-empty bins, from the counts per (column, value)."""
+    counts = counted(long_form(df, [], cols, "feature", "x"), ["feature"])
+    st = cut_lineage(auto_bin_stats(counts, ["feature"], rule=rule).drop("n"))
+    j = join_small(counts, st, ["feature"])
     b = bin_index(F.col("x"), F.col("first"), F.col("last"), F.col("nb"))
-    cnt = j.groupBy("feature", "first", "last", "nb", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    cnt = j.groupBy("feature", "first", "last", "nb", b.alias("bin")).agg(F.sum("n").alias("n"))
     return cnt.select("feature", "bin", bin_edge(F.col("bin"), F.col("first"), F.col("last"), F.col("nb")).alias("lo"),
                       bin_edge(F.col("bin") + 1, F.col("first"), F.col("last"), F.col("nb")).alias("hi"), "n")
 
@@ -305,16 +292,16 @@ def top_variance(df: DataFrame, vec: str, k: int = 20) -> DataFrame:
 def crosstab_pct(df: DataFrame, row: str, col: str) -> DataFrame:
     """Row-normalised crosstab in long form including empty cells (0).
 
-    The column values are discovered by ``pivot`` (bounded by
-    spark.sql.pivotMaxValues); empty cells are filled with 0 and the matrix is
-    unpivoted back to (row, col, n, pct)."""
-    wide = df.groupBy(row).pivot(col).agg(F.count(F.lit(1)))
-    vals = [c for c in wide.columns if c != row]
-    wide = wide.na.fill(0, vals)
-    long = wide.select(row, *[F.col(f"`{v}`").cast("bigint").alias(v) for v in vals]) \
-               .unpivot([row], vals, col, "n")
-    tot = Window.partitionBy(row)
-    return long.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(tot))
+    Cells are the distinct row values times the distinct column values, built
+    from the counted cells (each row gets the array of all column values,
+    which is as long as the crosstab is wide)."""
+    cells = cut_lineage(df.groupBy(row, col).agg(F.count(F.lit(1)).alias("n")))
+    values = cells.agg(F.collect_set(F.coalesce(F.col(col).cast("string"), F.lit("null"))).alias("v"))
+    grid = cells.select(row).distinct().select(row, F.explode(values.scalar()).alias(col))
+    found = cells.select(row, F.coalesce(F.col(col).cast("string"), F.lit("null")).alias(col), "n")
+    same = found[row].eqNullSafe(grid[row]) & (found[col] == grid[col])
+    long = grid.join(found, same, "left").select(grid[row], grid[col], F.coalesce("n", F.lit(0)).alias("n"))
+    return long.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(row)))
 
 
 def rate_by_group(df: DataFrame, group: str, label: str) -> DataFrame:
@@ -340,8 +327,9 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return base.select(F.explode(F.array(*entries)).alias("p")).select("p.*")
 
 
-def indicator_sums(df: DataFrame, cols: Sequence[str], k: int = 10) -> DataFrame:
-    """Count of 1 per indicator column with percent, first ``k`` columns."""
+def indicator_sums(df: DataFrame, cols: Sequence[str], k: int | None = None) -> DataFrame:
+    """Count of 1 per indicator column with percent; ``k`` asks for the
+    first so many columns only."""
     cols = list(cols)[:k]
     one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).cast("bigint").alias(c) for c in cols])
     return one.unpivot(["_n"], cols, "feature", "ones").select(

@@ -141,7 +141,7 @@ def two_group_pvalues(spark, sf_dir):
     one row per feature), ordered by |mean_diff| as in the reference (T7)."""
     lab = fx.lab(spark, sf_dir).withColumn("g", (F.col("grp") == "R").cast("int"))
     t = ev.two_group_compare(lab, "g", TG_COLS, with_p=True)
-    return t.orderBy(F.abs("mean_diff").desc(), "feature").limit(10)
+    return t.orderBy(F.abs("mean_diff").desc(), "feature")
 
 
 @register("cluster_quality", """

@@ -53,18 +53,14 @@ def kmeans_profile(spark, sf_dir):
 
 @register("k_select")
 def k_select(spark, sf_dir):
-    """C2 + C3: k from 2 to min(6, n // 10 - 1) scored by silhouette, CH and DB."""
-    v = zvectors(spark, sf_dir)
-    n = v.count()
-    ks = list(range(2, max(3, min(6, n // 10 - 1) + 1)))
-    return cu.select_k(v, ks, vec="v")
+    """C2 + C3: k from 2 to 10 scored by silhouette, CH and DB, a winner each."""
+    return cu.select_k(zvectors(spark, sf_dir), range(2, 11), vec="v")
 
 
 @register("gmm_assign")
 def gmm_assign(spark, sf_dir):
-    """Gaussian-mixture hard labels (k=4) on the first 8 z-scored dimensions."""
-    v = cu.vectorise(cu.subset_vectors(zscore_array(fx.vectors(spark, sf_dir), "v", DIM), "v", 0, 8))
-    return cu.gmm_assign(v, K_OVERALL, ["vec_id", "label"])
+    """Gaussian-mixture hard labels (k=4) on all z-scored dimensions."""
+    return cu.gmm_assign(zvectors(spark, sf_dir), K_OVERALL, ["vec_id", "label"])
 
 
 @register("pca_2d")
@@ -84,12 +80,12 @@ def ward_two_phase(spark, sf_dir):
 
 @register("subset_cluster")
 def subset_cluster(spark, sf_dir):
-    """Per feature subset (four 16-dimension slices) k selection (2..6)."""
+    """Per feature subset (four 16-dimension slices) k selection (2..10)."""
     base = zscore_array(fx.vectors(spark, sf_dir), "v", DIM)
     out = None
     for i in range(4):
         v = cu.vectorise(cu.subset_vectors(base, "v", 16 * i, 16 * (i + 1)))
-        s = cu.select_k(v, list(range(2, 7)), vec="v", n_init=1).withColumn("subset", F.lit(f"dims_{16 * i}_{16 * i + 15}"))
+        s = cu.select_k(v, range(2, 11), vec="v").withColumn("subset", F.lit(f"dims_{16 * i}_{16 * i + 15}"))
         out = s if out is None else out.unionByName(s)
         v.unpersist()
     return out

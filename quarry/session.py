@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,9 +41,25 @@ def get_spark(master: str | None = None, app: str = "quarry",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that do not have it:
+    functions in pandas steps are pickled by reference.  The archive holds the
+    package's sources only and goes out once per session."""
+    root = Path(__file__).resolve().parent
+    sc = spark.sparkContext
+    if any(Path(f).name == "quarry.zip" for f in getattr(sc, "_python_includes", [])):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="quarry-")) / "quarry.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, setting it on the context.
 

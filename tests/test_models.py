@@ -56,7 +56,7 @@ def test_ocsvm_flag_share(spark):
     rng = np.random.default_rng(2)
     pts = [(i, [float(x), float(y)]) for i, (x, y) in enumerate(rng.normal(0, 1, size=(400, 2)))]
     df = spark.createDataFrame(pts, "id long, x array<double>")
-    r = an.ocsvm(df, "x", 2, ["id"], nu=0.05, iters=5)
+    r = an.ocsvm(df, "x", 2, ["id"], nu=0.05)
     share = r.where("label = -1").count() / 400
     assert 0.03 <= share <= 0.07
 

@@ -75,10 +75,24 @@ def test_dedupe_names():
     assert unify_brackets(["a（b）"]) == ["a(b)"]
 
 
-def test_approximate_peak_fill_close_to_exact(spark):
+def test_exact_quantiles_against_numpy(spark):
+    """Hot values, one value, one row, hot keys; more distinct values than buckets."""
+    from quarry.operators.quantile import counted, exact_quantiles, modes, order_statistic
     rng = np.random.default_rng(9)
-    vals = [float(v) for v in rng.normal(50, 10, 3000)] + [None] * 50
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id int, x double")
-    a = im.peak_fill_values(long_form(df, [], ["x"]), ["feature"]).first()
-    b = im.peak_fill_values(long_form(df, [], ["x"]), ["feature"], exact=False).first()
-    assert abs(a["fill"] - b["fill"]) < 2.0
+    data = {"many": rng.normal(50, 10, 3000).tolist(), "hot": [1.0] * 2000 + rng.uniform(0, 2, 500).tolist(),
+            "same": [7.0] * 40, "one": [3.5], "two": [1.0, 2.0], "none": [None, None]}
+    rows = [(k, v) for k, vs in data.items() for v in [*vs, None]]
+    df = spark.createDataFrame(rows, "k string, x double")
+    qs = (0.0, 0.01, 0.25, 1 / 3, 0.5, 0.9, 1.0)
+    counts = counted(df, ["k"])
+    got = {r["k"]: r for r in exact_quantiles(counts, ["k"], qs).collect()}
+    assert "none" not in got
+    for k, vs in data.items():
+        if k != "none":
+            assert got[k]["total"] == len(vs)
+            np.testing.assert_allclose(got[k]["q"], np.quantile(vs, qs), rtol=1e-12)
+    mode = {r["k"]: r["mode"] for r in modes(counts, ["k"]).collect()}
+    assert mode["hot"] == 1.0 and mode["two"] == 1.0
+    for share in (0.0, 0.5, 0.95, 1.0):
+        value = order_statistic(df.where("k = 'many'"), "x", share).first()["value"]
+        assert value == sorted(data["many"])[min(int(share * 3000), 2999)]
