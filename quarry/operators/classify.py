@@ -86,6 +86,7 @@ def fold_metrics(data: DataFrame, fold_col: str = "fold", params: dict | None =
     # folds are independent fits: submitted as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=len(folds)) as pool:
         done = list(pool.map(one, folds))
+    data.unpersist()
     aucs = {f: a for f, a, _ in done}
     preds = None
     for _, _, p in done:
@@ -122,4 +123,15 @@ def grid_search(data: DataFrame, grid: dict, fold_col: str = "fold", parallelism
 def importance(model, cols: Sequence[str], spark) -> DataFrame:
     """Impurity importance per feature (descending)."""
     imp = model.featureImportances.toArray()
-    return spark.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)], "feature string, importance double")
+    rows = sorted(((c, float(v)) for c, v in zip(cols, imp)), key=lambda r: (-r[1], r[0]))
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+def importance_top(imp: DataFrame, k: int) -> DataFrame:
+    """The ``k`` most important features."""
+    return imp.orderBy(F.col("importance").desc(), "feature").limit(k)
+
+
+def band_counts(pred: DataFrame, level: str = "risk_level") -> DataFrame:
+    """Rows per risk band."""
+    return pred.groupBy(level).agg(F.count(F.lit(1)).alias("n"))

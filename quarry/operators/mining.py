@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import top_k
+from .common import join_small, top_k
 
 RULE_METRICS = ("support", "confidence", "lift", "leverage", "conviction", "zhang")
 
@@ -69,39 +69,53 @@ def apriori(b: DataFrame, min_support: float, max_len: int = 3, tid: str = "tid"
     """M1 (and M10 with ``group``): frequent itemsets
     ``([group,] items array<string> sorted, count, support, length)``.
 
-    With ``group`` every key gains the group column and support is relative
-    to the group's basket count (a one-row-per-group table joined by key), so
-    several modules are mined in the same level-wise pass.  Each level's
-    frequent itemsets (small, bounded as above) are checkpointed eagerly: the
-    next level and the rule generation read them several times, and without
-    the cut every read would re-plan the whole level chain."""
+    A basket stays one row: its items are cut to the frequent ones, its sets of
+    the next length are made in the row from its frequent sets, and only their
+    counts are shuffled, once per level.  With ``group`` every key gains the
+    group column and support is relative to the group's basket count, so
+    several modules are mined in the same pass.  A level's frequent sets (a
+    number set by ``min_support`` and the basket length, not by the data) go
+    back to the baskets as one array per group."""
     from ..session import cut_lineage
     g = [group] if group else []
-    long = b.select(*g, tid, F.explode("items").alias("item"))
     if group:
-        n_tab = b.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        n_tab = cut_lineage(b.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n")))
         n = F.col("_n")
 
         def with_n(df: DataFrame) -> DataFrame:
-            return df.join(n_tab, group)
+            return join_small(df, n_tab, [group])
     else:
         n = F.lit(float(n_baskets if n_baskets is not None else b.count()))
 
         def with_n(df: DataFrame) -> DataFrame:
             return df
-    l1 = cut_lineage(with_n(long.groupBy(*g, "item").agg(F.count(F.lit(1)).alias("count")))
-                     .where(F.col("count") / n >= min_support).select(*g, "item", "count"))
-    fitems = long.join(l1.select(*g, "item"), [*g, "item"])               # restrict to frequent items
+
+    def keep(df: DataFrame, sets: Column, frequent: DataFrame, value: str) -> DataFrame:
+        """``sets`` without what is not frequent."""
+        known = F.collect_list(value)
+        if group:
+            df = join_small(df, cut_lineage(frequent.groupBy(group).agg(known.alias("_known"))), [group])
+            return df.withColumn("_sets", F.array_intersect(sets, "_known")).drop("_known")
+        return df.withColumn("_sets", F.array_intersect(sets, frequent.select(known).scalar()))
+
+    def count(df: DataFrame, value: str) -> DataFrame:
+        # explode_outer: explode would add a filter that evaluates the sets again
+        found = df.select(*g, F.explode_outer("_sets").alias(value)).where(F.col(value).isNotNull())
+        return cut_lineage(with_n(found.groupBy(*g, value).agg(F.count(F.lit(1)).alias("count")))
+                           .where(F.col("count") / n >= min_support).select(*g, value, "count"))
+
+    rows = b.select(*g, F.col("items").alias("_sets"))
+    l1 = count(rows, "item")
+    rows = keep(rows, F.col("_sets"), l1, "item").withColumnRenamed("_sets", "_items")
+    rows = rows.withColumn("_sets", F.transform("_items", lambda x: F.array(x)))
     levels = [l1.select(*g, F.array("item").alias("items"), "count")]
-    occ = fitems.select(*g, tid, F.array("item").alias("items"), F.col("item").alias("last"))
-    for _ in range(2, max_len + 1):
-        ext = (occ.join(fitems.withColumnRenamed("item", "nxt"), [*g, tid])
-               .where(F.col("nxt") > F.col("last"))
-               .select(*g, tid, F.concat("items", F.array("nxt")).alias("items"), F.col("nxt").alias("last")))
-        lk = cut_lineage(with_n(ext.groupBy(*g, "items").agg(F.count(F.lit(1)).alias("count")))
-                         .where(F.col("count") / n >= min_support).select(*g, "items", "count"))
-        levels.append(lk)
-        occ = ext.join(lk.select(*g, "items"), [*g, "items"], "left_semi")
+    for k in range(2, max_len + 1):
+        longer = F.flatten(F.transform("_sets", lambda s: F.transform(
+            F.filter("_items", lambda y: y > F.element_at(s, -1)), lambda y: F.concat(s, F.array(y)))))
+        rows = rows.withColumn("_sets", F.when(F.size("_items") >= k, longer).otherwise(F.slice("_sets", 1, 0)))
+        levels.append(count(rows, "items"))
+        if k < max_len:
+            rows = keep(rows, F.col("_sets"), levels[-1], "items")
     out = levels[0]
     for lk in levels[1:]:
         out = out.unionByName(lk)
@@ -109,6 +123,26 @@ def apriori(b: DataFrame, min_support: float, max_len: int = 3, tid: str = "tid"
                               F.size("items").alias("length"))
 
 
+def adaptive_itemsets(b: DataFrame, max_len: int = 3) -> DataFrame:
+    """M3: Apriori at the adaptive support, run again at the fallback support
+    if it finds no set of two or more items."""
+    n = b.count()
+    first, second = adaptive_min_support(n)
+    out = apriori(b, first, max_len, n_baskets=n)
+    return out if not out.where("length >= 2").isEmpty() else apriori(b, second, max_len, n_baskets=n)
+
+
+def strong_rules(r: DataFrame, min_lift: float = 1.2, min_support: float = 0.05) -> DataFrame:
+    """Rules by lift and support."""
+    return r.where((F.col("lift") >= min_lift) & (F.col("support") >= min_support))
+
+
+def top_itemsets(fi: DataFrame, k: int = 20) -> DataFrame:
+    """T5: the ``k`` itemsets of highest support over all lengths."""
+    t = fi.withColumn("itemset", F.concat_ws(", ", "items"))
+    return t.orderBy(F.col("support").desc(), "itemset").limit(k)
+
+
 def fpgrowth(b: DataFrame, min_support: float, max_len: int | None = None) -> DataFrame:
     """M2: Spark ML FP-Growth (parallel FP-growth), same output layout as
     ``apriori``; ``max_len`` is applied afterwards (FPGrowth has no such knob,

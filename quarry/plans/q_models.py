@@ -19,9 +19,8 @@ from .registry import register
 
 DIM = 64
 K_OVERALL = 4
-# Spark's GBT costs a few jobs per tree whatever the data size; the validation
-# queries (5-fold CV, 3-fold grid) use 20 trees, the final model keeps 100.
-CV_TREES = 20
+# Trees of the models inside the grid search (see README on its size).
+GRID_TREES = 20
 
 
 def _r(c, n=6):
@@ -124,10 +123,10 @@ def gbt_importance(spark, sf_dir):
 
 @register("gbt_cv")
 def gbt_cv(spark, sf_dir):
-    """K2 + K4: 5 stratified folds on the training part; per-fold and mean/std metrics."""
+    """K2 + K4: 10 stratified folds on the training part; per-fold and mean/std metrics."""
     d = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
-    f = ev.stratified_folds(d, "y", "doc_id", k=5)
-    return cl.fold_metrics(f, params={"maxIter": CV_TREES})
+    f = ev.stratified_folds(d, "y", "doc_id", k=10)
+    return cl.fold_metrics(f)
 
 
 @register("grid_search")
@@ -135,7 +134,7 @@ def grid_search(spark, sf_dir):
     """K3: cross-validated grid over depth and learning rate (3 folds)."""
     d = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
     f = ev.stratified_folds(d, "y", "doc_id", k=3)
-    cv = cl.grid_search(f, {"maxDepth": [3, 5], "stepSize": [0.1, 0.3]}, params={"maxIter": CV_TREES})
+    cv = cl.grid_search(f, {"maxDepth": [3, 5], "stepSize": [0.1, 0.3]}, params={"maxIter": GRID_TREES})
     rows = [(int(pm[cv.getEstimator().getParam("maxDepth")]), float(pm[cv.getEstimator().getParam("stepSize")]),
              float(m)) for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
     best = max(rows, key=lambda r: r[2])
@@ -168,23 +167,37 @@ def _window_vectors(spark, sf_dir, joint: bool):
     return p.join(q, keys).withColumn("x", F.concat("power_filled", "generation_filled"))
 
 
-def _window_anomalies(spark, sf_dir, joint: bool):
-    win = cut_lineage(_window_vectors(spark, sf_dir, joint))
-    out = None
-    for w, s in ts.WINDOW_CONFIGS:
+def _per_config(win, dim_of, models, keys=("series", "w", "step", "k", "first_z")):
+    """Each model on the windows of each configuration, z-scored per
+    configuration; the fits are independent and run as concurrent jobs.
+    Output (W10): model, window, first standardised value, score, label."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(job):
+        model, (w, s) = job
         d = win.where((F.col("w") == w) & (F.col("step") == s))
-        dim = w * (2 if joint else 1)
-        z = zscore_array(d, "x", dim, "z").withColumn("first_z", F.col("z")[0])
-        r = an.iforest(z, "z", ["series", "w", "step", "k", "first_z"], contamination=0.01)
-        r = r.select("series", "w", "step", "k", "first_z", "score", "label")   # W10
-        out = r if out is None else out.unionByName(r)
+        z = zscore_array(d, "x", dim_of(w), "z").withColumn("first_z", F.col("z")[0])
+        r = (an.iforest(z, "z", list(keys), contamination=0.01) if model == "iforest"
+             else an.ocsvm(z, "z", dim_of(w), list(keys), nu=0.05))
+        return r.select(F.lit(model).alias("model"), *keys, "score", "label")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        parts = list(pool.map(one, [(m, c) for m in models for c in ts.WINDOW_CONFIGS]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out.withColumn("first_z", _r(F.col("first_z"))).withColumn("score", _r(F.col("score")))
 
 
+def _window_anomalies(spark, sf_dir, joint: bool):
+    win = cut_lineage(_window_vectors(spark, sf_dir, joint))
+    return _per_config(win, lambda w: w * (2 if joint else 1), ("iforest", "svm"))
+
+
 @register("window_anomalies")
 def window_anomalies(spark, sf_dir):
-    """N4 + W10: per window configuration, isolation forest on z-scored
-    gap-filled power windows: (window, first standardised value, score, label)."""
+    """N4 + W10: per window configuration, isolation forest and one-class SVM on
+    z-scored gap-filled power windows."""
     return _window_anomalies(spark, sf_dir, joint=False)
 
 
@@ -196,10 +209,22 @@ def joint_anomalies(spark, sf_dir):
 
 @register("anomaly_counts")
 def anomaly_counts(spark, sf_dir):
-    """Anomalies per model input and window configuration."""
-    a = _window_anomalies(spark, sf_dir, joint=False).withColumn("input", F.lit("power"))
-    return a.groupBy("input", "w", "step").agg(F.count_if(F.col("label") == -1).alias("anomalies"),
-                                                F.count(F.lit(1)).alias("windows"))
+    """Anomalies per input, model and window configuration: points (no
+    configuration), power windows, joint windows, and windows with their
+    periodic feature."""
+    one = F.count_if(F.col("label") == -1).alias("anomalies"), F.count(F.lit(1)).alias("rows")
+    none = F.lit(None).cast("int")
+    out = None
+    for name, model, df in (("points", "iforest", iforest_points(spark, sf_dir)),
+                            ("points", "svm", ocsvm_points(spark, sf_dir)),
+                            ("power", None, window_anomalies(spark, sf_dir)),
+                            ("joint", None, joint_anomalies(spark, sf_dir)),
+                            ("period", None, period_anomalies(spark, sf_dir))):
+        if model:
+            df = df.select(F.lit(model).alias("model"), none.alias("w"), none.alias("step"), "label")
+        part = df.groupBy(F.lit(name).alias("input"), "model", "w", "step").agg(*one)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("ocsvm_points")
@@ -221,13 +246,7 @@ def period_anomalies(spark, sf_dir):
                                ["power_filled"])
     win = ts.attach_window_end(win, g, ["periodic"]).where(F.col("periodic").isNotNull())
     win = cut_lineage(win.withColumn("x", F.concat("power_filled", F.array("periodic"))))
-    out = None
-    for w, s in ts.WINDOW_CONFIGS:
-        d = win.where((F.col("w") == w) & (F.col("step") == s))
-        z = zscore_array(d, "x", w + 1, "z").withColumn("first_z", F.col("z")[0])
-        r = an.ocsvm(z, "z", w + 1, ["series", "w", "step", "k", "first_z"], nu=0.05)
-        out = r if out is None else out.unionByName(r)
-    return out.withColumn("first_z", _r(F.col("first_z"))).withColumn("score", _r(F.col("score")))
+    return _per_config(win, lambda w: w + 1, ("svm",))
 
 
 # Feature modules of the documents (K17): named subsets of the text features.
@@ -248,7 +267,7 @@ def module_classification(spark, sf_dir):
     def one(item):
         name, cols = item
         data = cl.assemble(d.drop("features", "label", "weight"), cols, "y")
-        m = cl.gbt({"maxIter": CV_TREES}).fit(data.where(F.col("split") == "train"))
+        m = cl.gbt().fit(data.where(F.col("split") == "train"))
         p = m.transform(data.where(F.col("split") == "test"))
         c = ev.confusion(p.withColumn("yhat", F.col("prediction").cast("int")), "y", "yhat")
         met = ev.binary_metrics(c).first()
