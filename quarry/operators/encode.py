@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stats_row
+from .common import join_small, stats_row
 
 # ---------------------------------------------------------------- recodes
 
@@ -52,12 +52,13 @@ def map_encode(c: Column, mapping: Mapping) -> Column:
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Sorted distinct values (lexicographic) -> 0..n-1.
 
-    The ranking runs on the distinct values only (bounded by the column's
-    cardinality) and is joined back by value."""
+    The distinct values are sorted by range and numbered part by part, and the
+    codes are joined back by value."""
+    from .profile import sorted_rows
     out = out or f"{col}_encoded"
-    codes = (df.select(col).where(F.col(col).isNotNull()).distinct()
-             .withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int")))
-    return df.join(codes, col, "left")
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    codes = sorted_rows(values, [F.col(col)]).select(col, (F.col("place") - 1).cast("int").alias(out))
+    return join_small(df, codes, [col], "left")
 
 
 # ---------------------------------------------------------------- scaling

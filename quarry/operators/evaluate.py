@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import long_form, running_totals, stats_row
 
 
@@ -24,8 +25,8 @@ from .common import long_form, running_totals, stats_row
 def score_curve(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """Per distinct score (descending): pos, neg, cum_pos / cum_neg (score >= s),
     and the class totals P, N as columns."""
-    d = df.groupBy(score).agg(F.sum(F.col(y)).cast("bigint").alias("pos"),
-                              F.sum(1 - F.col(y)).cast("bigint").alias("neg"))
+    d = cut_lineage(df.groupBy(score).agg(F.sum(F.col(y)).cast("bigint").alias("pos"),
+                                          F.sum(1 - F.col(y)).cast("bigint").alias("neg")))
     tot = stats_row(d, P=F.sum("pos"), N=F.sum("neg"))
     c = running_totals(d, score, ["pos", "neg"], descending=True)
     return c.withColumn("P", tot["P"]).withColumn("N", tot["N"])
@@ -67,6 +68,47 @@ def best_f1_threshold(curve: DataFrame, score: str = "score") -> DataFrame:
                  F.struct(F.col("f1"), -F.col(score))).alias("b")).select("b.*")
 
 
+def fold_roc(df: DataFrame, fold: str, y: str = "y", score: str = "score") -> DataFrame:
+    """(fold, x, v): false- and true-positive rates of every fold, one curve
+    after the other (folds are few), each with its start (0, 0)."""
+    out = None
+    for f in sorted(r[0] for r in df.select(fold).distinct().collect()):
+        c = roc_points(score_curve(df.where(F.col(fold) == f), y, score), score)
+        c = c.select(F.lit(f).alias(fold), F.col("fpr").alias("x"), F.col("tpr").alias("v"))
+        c = c.unionByName(df.sparkSession.createDataFrame([(f, 0.0, 0.0)], c.schema))
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def interpolate(points: DataFrame, fold: str, n: int) -> DataFrame:
+    """X11: (fold, i, v) of curves at x = i / (n - 1), linear between the last
+    point at or before x and the first one after it (numpy's ``interp``).
+
+    Points are first reduced to one per (fold, grid cell) from either side, so
+    the windows see at most ``n`` rows per fold however long a curve is."""
+    last, x = n - 1, F.col("x")
+    p = F.struct("x", "v")
+    # the first grid place at or after a point, and the last one before it
+    after = F.ceil(x * last).cast("int")
+    after = F.when((after > 0) & ((after - 1) / last >= x), after - 1).when(after / last < x, after + 1).otherwise(after)
+    lo = points.groupBy(fold, after.alias("i")).agg(F.max(p).alias("lo"))
+    hi = points.groupBy(fold, (after - 1).alias("i")).agg(F.min(p).alias("hi"))
+    grid = points.select(fold).distinct().select(fold, F.explode(F.sequence(F.lit(0), F.lit(last))).alias("i"))
+    both = grid.join(lo, [fold, "i"], "left").join(hi, [fold, "i"], "left")
+    w = Window.partitionBy(fold).orderBy("i")
+    both = both.select(fold, "i", F.max("lo").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("lo"),
+                       F.min("hi").over(w.rowsBetween(0, Window.unboundedFollowing)).alias("hi"))
+    slope = (F.col("hi.v") - F.col("lo.v")) / (F.col("hi.x") - F.col("lo.x"))
+    v = F.when(F.col("hi").isNull(), F.col("lo.v")).otherwise(
+        F.col("lo.v") + slope * (F.col("i") / last - F.col("lo.x")))
+    return both.select(fold, "i", v.alias("v"))
+
+
+def mean_curve(points: DataFrame, fold: str, n: int = 100) -> DataFrame:
+    """K4: (i, mean, std) over the folds' interpolated curves."""
+    return interpolate(points, fold, n).groupBy("i").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+
+
 # ---------------------------------------------------------------- thresholded metrics
 
 def confusion(df: DataFrame, y: str, yhat: str) -> DataFrame:

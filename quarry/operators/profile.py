@@ -29,6 +29,19 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
     return src.groupBy(col).agg(F.count(F.lit(1)).alias("n")).withColumn("pct", F.col("n") * 100.0 / total)
 
 
+def sorted_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """A profile (a row per column or per distinct value) in order,
+    with each row's ``place``: sorted by range, numbered within each part, with
+    the sizes of the parts before as offsets."""
+    parts = cut_lineage(df.orderBy(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    start = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (join_small(parts, start, ["_part"]).withColumn("place", F.col("_start") + rank)
+            .drop("_part", "_start").orderBy("place"))
+
+
 def count_of_counts(df: DataFrame, key: str) -> DataFrame:
     """A3: how many keys have n records."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("n_records"))

@@ -11,6 +11,8 @@ series' span (the batch grid also counts days before the first event).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +45,13 @@ def daily_availability(events: DataFrame, watermark: str = "1 day") -> DataFrame
 
 def run_available_now(spark: SparkSession, directory: str, query_name: str = "daily_availability") -> DataFrame:
     """Drive the stream over the files present now (availableNow trigger) into
-    a memory table and return it; the checkpoint lives under the shared
-    checkpoint directory."""
+    a Parquet file sink and read it back.  Result and checkpoint are in a new
+    folder of the shared checkpoint directory, so a second run starts afresh
+    and nothing is held in the driver."""
     from ..session import checkpoint_dir
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-{query_name}"
-    q = (daily_availability(event_stream(spark, directory)).writeStream.outputMode("append")
-         .format("memory").queryName(query_name).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{query_name}-{uuid.uuid4().hex}"
+    days = daily_availability(event_stream(spark, directory))
+    q = (days.writeStream.outputMode("append").format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(query_name)
+    return spark.read.schema(days.schema).parquet(f"{base}/out")
