@@ -4,18 +4,23 @@ Encoding keeps an agenda of adjacent symbol pairs ordered by the score of the
 piece they would form, best first and leftmost among equals; the best pair is
 merged, its neighbours' pairs enter the agenda, and entries whose symbols have
 changed meanwhile are passed over.  Symbols left that are no piece become
-their UTF-8 bytes.  Each distinct pre-token of a slice is encoded once, and
+their UTF-8 bytes.  Short pre-tokens are encoded together: their agendas are
+parts of one array of ranks, and each round takes the best entry of every
+agenda that has one.  Each distinct pre-token of a slice is encoded once, and
 the sentencepiece library encodes and decodes the same pre-tokens beside it,
 plus one whole text per slice; a difference ends the job.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -75,34 +80,164 @@ def encode_word(model: PieceModel, word: str) -> list[int]:
     return out
 
 
+class WordBatch:
+    """The agenda for many short pre-tokens at once.
+
+    A symbol is a piece's id, or a character that is no piece (its code point
+    beyond the ids).  ``rank`` of a pair is the place of the merged piece in
+    the order of scores; words that hold a piece whose score another one shares
+    are left to ``encode_word``."""
+
+    LONGEST = 48
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        self.v = len(model.pieces)
+        merged = [p for p in model.ids if len(p) > 1]
+        shared = Counter(model.scores[p] for p in merged)
+        tied = sorted((p for p in merged if shared[model.scores[p]] > 1), key=len)
+        self.tied: list[str] = []
+        for p in tied:
+            if not any(t in p for t in self.tied):
+                self.tied.append(p)
+        order = sorted(set(merged) - set(tied), key=lambda p: -model.scores[p])
+        self.by_rank = np.array([model.ids[p] for p in order], np.int64)
+        self.none = len(order)
+        table = {}
+        for rank, p in enumerate(order):
+            for k in range(1, len(p)):
+                a, b = self._symbol(p[:k]), self._symbol(p[k:])
+                if a is not None and b is not None:
+                    table[a << 32 | b] = rank
+        self.keys = np.array(sorted(table), np.int64)
+        self.ranks = np.array([table[k] for k in self.keys.tolist()], np.int64)
+        points = np.arange(0x110000, dtype=np.int64) + self.v
+        for p, i in model.ids.items():
+            if len(p) == 1:
+                points[ord(p)] = i
+        self.points = points
+
+    def takes(self, word: str) -> bool:
+        return len(word) <= self.LONGEST and not any(t in word for t in self.tied)
+
+    def _symbol(self, s: str) -> int | None:
+        return self.model.ids.get(s, self.v + ord(s) if len(s) == 1 else None)
+
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], self.none)
+
+    def encode(self, words: list[str]) -> list[list[int]]:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        sym = self.points[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        name = np.arange(len(words))
+        rank = np.full(len(sym), self.none)
+        ends = np.cumsum(size) - 1
+        rank[:-1] = self._rank(sym[:-1], sym[1:])
+        rank[ends] = self.none
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(name):
+            start = np.cumsum(size) - size
+            n = len(sym)
+            best = np.minimum.reduceat(rank * n + np.arange(n), start)
+            open_ = best < self.none * n
+            if not open_.all():
+                mine = np.repeat(open_, size)
+                done.append((name[~open_], size[~open_], sym[~mine]))
+                rank_, at = best[open_] // n, best[open_] % n
+                at = (np.cumsum(mine) - 1)[at]
+                name, size, sym, rank = name[open_], size[open_], sym[mine], rank[mine]
+                if not len(name):
+                    break
+            else:
+                rank_, at = best // n, best % n
+            sym[at] = self.by_rank[rank_]
+            keep = np.ones(len(sym), bool)
+            keep[at + 1] = False
+            sym, rank = sym[keep], rank[keep]
+            at = at - np.arange(len(at))
+            size = size - 1
+            start = np.cumsum(size) - size
+            last = at == start + size - 1
+            rank[at] = np.where(last, self.none, self._rank(sym[at], sym[np.minimum(at + 1, len(sym) - 1)]))
+            left = at[at > start]
+            rank[left - 1] = self._rank(sym[left - 1], sym[left])
+        out: list[list[int]] = [[]] * len(words)
+        for name, size, sym in done:
+            sym, size = self._bytes(sym, size)
+            flat, to = sym.tolist(), np.cumsum(size).tolist()
+            at = 0
+            for w, end in zip(name.tolist(), to, strict=True):
+                out[w] = flat[at:end]
+                at = end
+        return out
+
+    def _bytes(self, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Characters that are no piece, as their UTF-8 byte pieces."""
+        odd = np.flatnonzero(sym >= self.v)
+        if not len(odd):
+            return sym, size
+        raw = [[self.model.byte_ids[b] for b in chr(c).encode()] for c in (sym[odd] - self.v).tolist()]
+        width = np.ones(len(sym), np.int64)
+        width[odd] = [len(r) for r in raw]
+        out = np.repeat(sym, width)
+        out[np.repeat(sym >= self.v, width)] = np.concatenate(raw)
+        return out, np.add.reduceat(width, np.cumsum(size) - size)
+
+
+@functools.lru_cache(maxsize=4)
+def word_batch(model: PieceModel) -> WordBatch:
+    return WordBatch(model)
+
+
+def encode_words(model: PieceModel, words: list[str]) -> list[list[int]]:
+    """Ids of pre-tokens: short ones together, long ones by ``encode_word``."""
+    batch = word_batch(model)
+    short = [i for i, w in enumerate(words) if batch.takes(w)]
+    out: list[list[int] | None] = [None] * len(words)
+    if short:
+        for i, ids in zip(short, batch.encode([words[i] for i in short]), strict=True):
+            out[i] = ids
+    return [encode_word(model, w) if ids is None else ids for w, ids in zip(words, out, strict=True)]
+
+
+@functools.lru_cache(maxsize=4)
+def _id_texts(model: PieceModel) -> list[str]:
+    """What each id reads as; a byte from 128 on as its "surrogateescape"."""
+    out = [p.replace(SPACE, " ") for p in model.pieces]
+    for i, b in model.id_bytes.items():
+        out[i] = bytes([b]).decode("utf-8", "surrogateescape")
+    return out
+
+
 def decode_ids(model: PieceModel, ids: list[int]) -> str:
     """Text of ids: pieces joined, byte pieces read as UTF-8 (a byte that is
-    part of no character becomes U+FFFD), U+2581 as space.  Without the first
-    space that encoding has added: that one is taken off a whole text only."""
-    out, run = [], bytearray()
-    for i in [*ids, None]:
-        b = model.id_bytes.get(i)
-        if b is not None:
-            run.append(b)
-            continue
-        if run:
-            out.append(_NO_CHARACTER.sub("\ufffd", run.decode("utf-8", "surrogateescape")))
-            run.clear()
-        if i is not None:
-            out.append(model.pieces[i])
-    return "".join(out).replace(SPACE, " ")
+    part of no character becomes U+FFFD), U+2581 as space.  With the first
+    space that encoding has added: it is taken off a whole text only."""
+    text = "".join(map(_id_texts(model).__getitem__, ids))
+    if _NO_CHARACTER.search(text):
+        text = text.encode("utf-8", "surrogateescape").decode("utf-8", "surrogateescape")
+        text = _NO_CHARACTER.sub("\ufffd", text)
+    return text
+
+
+@functools.lru_cache(maxsize=4)
+def _id_names(n: int) -> list[str]:
+    return list(map(str, range(n)))
 
 
 def _checked(model: PieceModel, words: list[str]) -> dict[str, tuple[str, str]]:
     """Pre-token -> (decimal ids joined by commas, decoded text), each held
     against the library."""
-    own = [encode_word(model, w) for w in words]
+    own = encode_words(model, words)
     if own != model.library_ids(words):
         raise AssertionError("an encoding differs from the library's")
     text = [decode_ids(model, ids) for ids in own]
     if [t[1:] for t in text] != model.lib.decode(own):
         raise AssertionError("a decoding differs from the library's")
-    return {w: (",".join(map(str, ids)), t) for w, ids, t in zip(words, own, text, strict=True)}
+    names = _id_names(len(model.pieces))
+    return {w: (",".join(map(names.__getitem__, ids)), t) for w, ids, t in zip(words, own, text, strict=True)}
 
 
 def encode_texts(model: PieceModel, texts: list[str], known: dict) -> list[tuple[str, str]]:
