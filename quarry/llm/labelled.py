@@ -14,9 +14,11 @@ def crc_mod(key: Column, n: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_rows: int) -> DataFrame:
     """(text, y): documents with a label 0 or 1 among the label rows for which
     ``learn`` holds; at most ``max_rows`` label rows, those with the smallest
-    hash of their doc_id, and at most ``max_rows`` documents.  The sample is
-    small by that bound, so it is broadcast to the documents."""
+    hash of their doc_id, and one document for each (the first text in order
+    where a doc_id repeats).  The rows chosen are few by that bound, so they
+    are broadcast to the documents."""
     rows = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learn)
             .select("doc_id", F.col(label).cast("int").alias("y")))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("text", "y").limit(max_rows)
+    rows = rows.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
+    return (docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y"))

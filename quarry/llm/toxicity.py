@@ -8,8 +8,8 @@ penalises the squared change of the score between the two.  Words that merely
 name a group then carry no weight of their own, so neutral mentions are not
 taken for toxic.
 
-Fitting runs on a bounded sample of labelled documents (``FIT_ROWS``) as
-feature hashes; scoring is one pass over all texts.
+Fitting runs on a bounded sample of labelled documents (``FIT_ROWS``): counts
+over it choose the features, and those come to the driver as hashes.  Scoring is one pass over all texts.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import crc_mod, labelled_sample
-from .tables import batch_of, text_slices
+from .tables import batch_of, text_slices, written
 
-FIT_ROWS = 12_000
+FIT_ROWS = 20_000
 STEM = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -91,50 +91,39 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def _select(ids: np.ndarray, row: np.ndarray, y: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Feature hashes whose share differs most between the labels (by z value),
-    found in at least ``least`` rows; every identity term that occurs."""
-    names, col = np.unique(ids, return_inverse=True)
-    n, k = len(y), max(1.0, y.sum())
-    count = np.bincount(col, minlength=len(names))
-    toxic = np.bincount(col, y[row], len(names))
-    p = np.clip(count / n, 1e-9, 1 - 1e-9)
-    z = np.abs(toxic / k - (count - toxic) / max(1.0, n - k)) / np.sqrt(p * (1 - p) * (1 / k + 1 / max(1.0, n - k)))
-    z[count < least] = -1
-    z[np.isin(names, [word_hash(w) for w in _SWAP])] = np.inf
-    top = np.lexsort((names, -z))[:most]
-    return np.sort(names[top[z[top] > 0]])
-
-
-def fit_logistic(rows: list[np.ndarray], swapped: list[np.ndarray], y: np.ndarray, penalty: float = 5.0,
-                 ridge: float = 5e-4, steps: int = 400, step: float = 0.1, least: int = 3,
-                 most: int = 400) -> ToxicityModel:
+def _cut(s: np.ndarray, y: np.ndarray) -> float:
+    """Where to cut scores for the best F1 of label 1: half-way between the
+    two neighbouring scores.  Few rows have label 1, so a score of a half by
+    itself comes late."""
+    order = np.argsort(-s, kind="stable")
+    s, hits = s[order], np.cumsum(y[order])
+    last = np.append(s[1:] != s[:-1], True)
+    f1 = np.where(last, 2 * hits / (np.arange(1, len(s) + 1) + y.sum()), -1)
+    i = int(np.argmax(f1))
+    return float(s[i] if i + 1 == len(s) else (s[i] + s[i + 1]) / 2)
+
+
+def fit_logistic(rows: list[np.ndarray], swapped: list[np.ndarray], y: np.ndarray, names: np.ndarray,
+                 penalty: float = 5.0, ridge: float = 1e-4, steps: int = 400, step: float = 0.1) -> ToxicityModel:
     """Adam on mean log loss + ridge + ``penalty`` times the mean squared score
-    change between a row's feature hashes and its counterfactual's.
+    change between a row's features and its counterfactual's, for the features
+    in ``names`` (sorted hashes; others are passed over).
 
     Without both labels the model is constant: the share of label 1 (a half
     without any row)."""
     n = len(y)
     p = float(np.clip(y.mean(), 1e-4, 1 - 1e-4)) if n else 0.5
     start = float(np.log(p / (1 - p)))
-    if n == 0 or y.min() == y.max():
-        return ToxicityModel(start, {})
-
-    def flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-
-    ids, row = flat(rows)
-    other, other_row = flat(swapped)
-    names = _select(np.concatenate([ids, other]), np.concatenate([row, other_row]), y, least, most) if len(ids) else ids
-    if not len(names):
+    if n == 0 or y.min() == y.max() or not len(names):
         return ToxicityModel(start, {})
 
-    def known(i: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(names, i), len(names) - 1)
-        hit = names[at] == i
-        return at[hit], r[hit]
+    def known(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        ids, row = np.concatenate(lists), np.repeat(np.arange(n), [len(x) for x in lists])
+        at = np.minimum(np.searchsorted(names, ids), len(names) - 1)
+        hit = names[at] == ids
+        return at[hit], row[hit]
 
-    (col, row), (ocol, orow) = known(ids, row), known(other, other_row)
+    (col, row), (ocol, orow) = known(rows), known(swapped)
     # rows of a counterfactual differ from the text in their identity terms only
     paired = np.flatnonzero([not np.array_equal(a, b) for a, b in zip(rows, swapped, strict=True)])
     is_pair = np.zeros(n, bool)
@@ -157,34 +146,58 @@ def fit_logistic(rows: list[np.ndarray], swapped: list[np.ndarray], y: np.ndarra
         move = step * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8) / np.sqrt(t)
         w, b = w - move[:-1], b - move[-1]
     used = np.abs(w) > 1e-6
+    b -= _cut(b + np.bincount(row, w[col], n), y)
     return ToxicityModel(float(b), dict(zip(names[used].tolist(), w[used].tolist(), strict=True)))
 
 
+def select_features(sample: DataFrame, least: int = 3, most: int = 400) -> np.ndarray:
+    """Hashes of the features whose share differs most between the labels (by
+    z value) among those in at least ``least`` rows of ``sample`` (text, y),
+    ``most`` of them, and of every identity term."""
+    schema = pa.schema([("feature", pa.int64()), ("n0", pa.int64()), ("n1", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches):
+            count: tuple[Counter[int], Counter[int]] = (Counter(), Counter())
+            for t, y in zip(texts, part.column("y").to_pylist(), strict=True):
+                count[y].update(features(words_of(t)))
+            names = list(count[0].keys() | count[1].keys())
+            yield batch_of(schema, [names, [count[0][f] for f in names], [count[1][f] for f in names]])
+
+    size = sample.groupBy().agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("k")).first()
+    n, k = int(size.n), int(size.k)
+    if not 0 < k < n:
+        return np.empty(0, np.int64)
+    both = F.col("n0") + F.col("n1")
+    share = both / n
+    z = F.abs(F.col("n1") / k - F.col("n0") / (n - k)) / F.sqrt(share * (1 - share) * (1 / k + 1 / (n - k)))
+    top = (sample.mapInArrow(run, "feature long, n0 long, n1 long").groupBy("feature")
+           .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where((both >= least) & (both < n))
+           .orderBy(z.desc(), "feature").limit(most).select("feature").collect())
+    return np.unique([r.feature for r in top] + [word_hash(w) for w in _SWAP])
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
                  max_rows: int = FIT_ROWS) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled documents for which ``learn``, a
-    condition on the label rows, holds."""
+    condition on the label rows, holds.  Only the selected features of each
+    come to the driver."""
+    sample = written(labelled_sample(docs, labels, label, learn, max_rows), "labelled")
+    names = select_features(sample)
+    chosen = frozenset(names.tolist())
     schema = pa.schema([("y", pa.int32()), ("x", pa.list_(pa.int64())), ("z", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
             words = [words_of(t) for t in texts]
-            x = [sorted(features(w)) for w in words]
-            z = [sorted(features(counterfactual(w))) if w.keys() & _SWAP.keys() else a
-                 for w, a in zip(words, x, strict=True)]
-            yield batch_of(schema, [part.column("y"), x, z])
-
-    got = labelled_sample(docs, labels, label, learn, max_rows).mapInArrow(
-        run, "y int, x array<bigint>, z array<bigint>").toArrow().combine_chunks()
-
-    def lists(name: str) -> list[np.ndarray]:
-        col = got.column(name).combine_chunks()
-        values, at = col.values.to_numpy(), col.offsets.to_numpy()
-        return [values[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-
-    x, z, y = lists("x"), lists("z"), got.column("y").to_numpy().astype(float)
-    order = sorted(range(len(y)), key=lambda i: (y[i], len(x[i]), x[i].tobytes()))
-    return fit_logistic([x[i] for i in order], [z[i] for i in order], y[order])
+            yield batch_of(schema, [part.column("y"), [sorted(chosen & features(w)) for w in words],
+                                    [sorted(chosen & features(counterfactual(w))) for w in words]])
+
+    got = sample.mapInArrow(run, "y int, x array<bigint>, z array<bigint>").toArrow()
+    x, z = ([np.array(r, np.int64) for r in got.column(c).to_pylist()] for c in ("x", "z"))
+    y = got.column("y").to_numpy().astype(float)
+    order = sorted(range(len(y)), key=lambda i: (y[i], x[i].tolist(), z[i].tolist()))
+    return fit_logistic([x[i] for i in order], [z[i] for i in order], y[order], names)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, held_out: Column) -> DataFrame:
