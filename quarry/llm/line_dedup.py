@@ -54,11 +54,12 @@ def mark_boilerplate(docs: DataFrame, min_sites: int) -> DataFrame:
     key = ["line", "line_crc"]
     lines = written(_lines(docs), "lines")
     boiler = written(boilerplate_lines(lines, min_sites), "boilerplate")
-    small = F.broadcast(boiler) if boiler.count() <= BROADCAST_ROWS else boiler
-    places = written(lines.join(small, key).select(
+    few = boiler.count() <= BROADCAST_ROWS
+    places = written(lines.join(F.broadcast(boiler) if few else boiler, key).select(
         *key, F.struct("doc_id", "text_hash", "text_crc", "line_no").alias("place")), "places")
     first = places.groupBy(*key).agg(F.min("place").alias("first"))
-    return (places.join(first, key).where(~F.col("place").eqNullSafe(F.col("first")))
+    # a row per boilerplate line: broadcast, the places of a line stay spread
+    return (places.join(F.broadcast(first) if few else first, key).where(~F.col("place").eqNullSafe(F.col("first")))
             .groupBy("place.doc_id", "place.text_hash", "place.text_crc")
             .agg(F.collect_set("place.line_no").alias("gone")))
 
