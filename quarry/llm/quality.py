@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .labelled import crc_mod, labelled_sample
-from .tables import batch_of, text_slices
+from .tables import batch_of, text_slices, written
 
 FIT_ROWS = 20_000
 FEATURES = ("log_words", "word_length", "letters", "capitals", "digits", "symbols", "bangs", "bars", "distinct_words",
@@ -189,7 +189,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, label: str =
         for part, texts in text_slices(batches):
             yield batch_of(schema, [part.column("y"), [features(t) for t in texts]])
 
-    rows = labelled_sample(docs, labels, label, learn, max_rows).mapInArrow(run, "y int, x array<double>").toArrow()
+    # written first: gathering the sample and the Python step then do not share an executor's memory
+    sample = written(labelled_sample(docs, labels, label, learn, max_rows), "labelled")
+    rows = sample.mapInArrow(run, "y int, x array<double>").toArrow()
     x = np.array(rows.column("x").to_pylist(), float).reshape(rows.num_rows, len(FEATURES))
     y = rows.column("y").to_numpy().astype(float)
     order = np.lexsort((*x.T, y))  # the order in which rows arrive must not matter
