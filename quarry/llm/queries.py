@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from . import collocations as phrases
+from . import fim, line_dedup, warc
 from .decontaminate import contamination
 from .embed_dedup import link_vectors
-from .line_dedup import DIGEST_SQL, line_dedup_digest
+from .line_dedup import line_dedup_digest
 from .pii import personal_data_digest
 from .piece_codec import encode_documents
 from .quality import classify_quality
@@ -62,8 +64,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rate=100, spm=50, with_text=False)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_token_counts, op3_toxicity, op4_personal_data, op5_embedding_dedup, op6_quality,
-        op7_line_dedup, op8_piece_codec, op9_simhash, op10_decontamination)}
-ORACLE: dict[str, str] = {"op7_line_dedup": DIGEST_SQL}
+        op7_line_dedup, op8_piece_codec, op9_simhash, op10_decontamination, op11_fill_in_middle, op12_collocations,
+        op13_warc)}
+ORACLE: dict[str, str] = {"op7_line_dedup": line_dedup.DIGEST_SQL, "op11_fill_in_middle": fim.DIGEST_SQL,
+                          "op12_collocations": phrases.DIGEST_SQL, "op13_warc": warc.DIGEST_SQL}

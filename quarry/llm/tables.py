@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,23 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text"
             yield batch.slice(start), texts[start:]
 
 
+def cut_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS
+                ) -> Iterator[pa.RecordBatch]:
+    """Split Arrow batches, by the offsets of a text column alone, into parts
+    of about ``limit`` bytes of text (a longer text is a part of its own).
+    Nothing is converted or copied, so that only one part is worked on at a
+    time."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends = np.cumsum(size, dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)
