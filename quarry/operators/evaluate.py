@@ -183,13 +183,19 @@ def two_group_compare(df: DataFrame, group: str, cols: Sequence[str], with_p: bo
 
 # ---------------------------------------------------------------- folds and sampling
 
+def seeded_hash(key: Column, seed: int, digits: int = 12) -> Column:
+    """The first hex digits of the MD5 of ``key:seed`` as a number (48 bits):
+    an order that any engine can reproduce."""
+    text = F.concat_ws(":", key.cast("string"), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
+
+
 def stratified_rank(df: DataFrame, y: str, key: str, seed: int = 42) -> DataFrame:
     """0-based rank of each row inside its class in a seeded hash order,
     computed with the bucketed running count (a class holding most rows is
     still spread over many tasks)."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    # one sortable key: class first (classes 1e20 apart), then the seeded hash
-    d = df.withColumn("_h", (F.col(y).cast("double") * 1e20 + h.cast("double")))
+    # one sortable key, exact as a double: the class (a small integer), then 48 bits of the seeded hash
+    d = df.withColumn("_h", F.col(y).cast("double") * 2.0 ** 48 + seeded_hash(F.col(key), seed))
     d = d.withColumn("_one", F.lit(1))
     c = running_totals(d, "_h", ["_one"], tiebreak=[key])
     # class sizes and start offsets: one row per class

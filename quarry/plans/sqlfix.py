@@ -75,6 +75,31 @@ scale_errors AS (
          l_quantity AS quantity
   FROM lineitem)"""
 
+ZVECTORS = """
+u AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS dim FROM embeddings),
+st AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS s FROM u GROUP BY dim),
+z AS (SELECT vec_id, list(CASE WHEN s = 0 THEN 0.0 ELSE (x - m) / s END ORDER BY dim) AS v
+      FROM u JOIN st USING (dim) GROUP BY vec_id)"""
+
+# Text features of the labelled documents, and their stratified split.
+DOC_FEATURES = r"""
+doc_features AS (
+  SELECT d.doc_id, l.quality AS y, d.n_chars::DOUBLE AS n_chars,
+         len(string_split_regex(trim(text), '[ \t\n\x0B\f\r]+'))::DOUBLE AS n_words,
+         len(string_split(text, chr(10)))::DOUBLE AS n_lines,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) / greatest(length(text), 1)::DOUBLE AS upper_share,
+         length(regexp_replace(text, '[^0-9]', '', 'g')) / greatest(length(text), 1)::DOUBLE AS digit_share,
+         length(regexp_replace(text, '[^[:punct:]]', '', 'g')) / greatest(length(text), 1)::DOUBLE AS punct_share,
+         CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 WHEN 'fr' THEN 2 WHEN 'es' THEN 3 ELSE 4 END::DOUBLE AS lang_code
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
+DOC_SPLIT = DOC_FEATURES + """,
+doc_rank AS (SELECT *, count(*) OVER (PARTITION BY y) AS class_n,
+                    row_number() OVER (PARTITION BY y ORDER BY ('0x' || md5(doc_id || ':42')[1:12])::BIGINT, doc_id) - 1
+                        AS class_rank
+             FROM doc_features),
+doc_split AS (SELECT *, CASE WHEN class_rank < ceil(class_n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split
+              FROM doc_rank)"""
+
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
