@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,8 +28,10 @@ from pyspark.sql import DataFrame
 from .pieces import SPACE, PieceModel, piece_model
 from .tables import batch_of, text_slices
 
-# Encoded pre-tokens a worker remembers between slices (bounds memory only).
-REMEMBERED = 150_000
+# Bytes, about, of encoded pre-tokens that a worker remembers between slices,
+# and of the texts it works on at a time (both bound memory only).
+REMEMBERED = 48_000_000
+SLICE = 500_000
 # what "surrogateescape" makes of a byte that is part of no character
 _NO_CHARACTER = re.compile("[\udc80-\udcff]")
 
@@ -128,7 +131,8 @@ class WordBatch:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], self.none)
 
-    def encode(self, words: list[str]) -> list[list[int]]:
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words, one after the other; number of ids of each)."""
         size = np.fromiter(map(len, words), np.int64, len(words))
         sym = self.points[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
         name = np.arange(len(words))
@@ -163,15 +167,15 @@ class WordBatch:
             rank[at] = np.where(last, self.none, self._rank(sym[at], sym[np.minimum(at + 1, len(sym) - 1)]))
             left = at[at > start]
             rank[left - 1] = self._rank(sym[left - 1], sym[left])
-        out: list[list[int]] = [[]] * len(words)
-        for name, size, sym in done:
-            sym, size = self._bytes(sym, size)
-            flat, to = sym.tolist(), np.cumsum(size).tolist()
-            at = 0
-            for w, end in zip(name.tolist(), to, strict=True):
-                out[w] = flat[at:end]
-                at = end
-        return out
+        parts = [(name, *self._bytes(sym, size)) for name, size, sym in done]
+        lengths = np.zeros(len(words), np.int64)
+        for name, sym, size in parts:
+            lengths[name] = size
+        start = np.cumsum(lengths) - lengths
+        flat = np.empty(int(lengths.sum()), np.int32)
+        for name, sym, size in parts:  # where a word's ids go, in the order of the words
+            flat[np.repeat(start[name] - (np.cumsum(size) - size), size) + np.arange(len(sym))] = sym
+        return flat, lengths
 
     def _bytes(self, sym: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Characters that are no piece, as their UTF-8 byte pieces."""
@@ -191,15 +195,21 @@ def word_batch(model: PieceModel) -> WordBatch:
     return WordBatch(model)
 
 
-def encode_words(model: PieceModel, words: list[str]) -> list[list[int]]:
-    """Ids of pre-tokens: short ones together, long ones by ``encode_word``."""
+def encode_words(model: PieceModel, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all pre-tokens, one after the other; number of ids of each):
+    short ones together, long ones by ``encode_word``."""
     batch = word_batch(model)
-    short = [i for i, w in enumerate(words) if batch.takes(w)]
-    out: list[list[int] | None] = [None] * len(words)
-    if short:
-        for i, ids in zip(short, batch.encode([words[i] for i in short]), strict=True):
-            out[i] = ids
-    return [encode_word(model, w) if ids is None else ids for w, ids in zip(words, out, strict=True)]
+    short = np.fromiter(map(batch.takes, words), bool, len(words))
+    if short.all() and words:
+        return batch.encode(words)
+    at = np.flatnonzero(short)
+    flat, size = batch.encode([words[i] for i in at.tolist()]) if len(at) else (np.zeros(0, np.int32), np.zeros(0, int))
+    own: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+    for i, ids in zip(at.tolist(), np.split(flat, np.cumsum(size)[:-1]) if len(at) else (), strict=True):
+        own[i] = ids
+    for i in np.flatnonzero(~short).tolist():
+        own[i] = np.array(encode_word(model, words[i]), np.int32)
+    return (np.concatenate(own) if own else flat), np.fromiter(map(len, own), np.int64, len(own))
 
 
 @functools.lru_cache(maxsize=4)
@@ -227,42 +237,78 @@ def _id_names(n: int) -> list[str]:
     return list(map(str, range(n)))
 
 
-def _checked(model: PieceModel, words: list[str]) -> dict[str, tuple[str, str]]:
-    """Pre-token -> (decimal ids joined by commas, decoded text), each held
-    against the library."""
-    own = encode_words(model, words)
-    if own != model.library_ids(words):
-        raise AssertionError("an encoding differs from the library's")
-    text = [decode_ids(model, ids) for ids in own]
-    if [t[1:] for t in text] != model.lib.decode(own):
-        raise AssertionError("a decoding differs from the library's")
-    names = _id_names(len(model.pieces))
-    return {w: (",".join(map(names.__getitem__, ids)), t) for w, ids, t in zip(words, own, text, strict=True)}
-
-
-def encode_texts(model: PieceModel, texts: list[str], known: dict) -> list[tuple[str, str]]:
-    """Per whole text: its ids in decimal, joined by commas, and what they
-    decode to."""
-    split = [model.words(t) for t in texts]
-    need = set()
-    for words in split:
-        need.update(words)
-    new = [w for w in need if w not in known]
-    table = _checked(model, new) if new else {}
-    table.update((w, known[w]) for w in need if w in known)
-    free = REMEMBERED - len(known)
-    if free > 0:
-        known.update((w, table[w]) for w in new[:free])
-    ids_of = {w: x[0] for w, x in table.items()}
-    text_of = {w: x[1] for w, x in table.items()}
-    out = [(",".join(map(ids_of.__getitem__, words)), "".join(map(text_of.__getitem__, words))[1:])
-           for words in split]
-    if texts:  # the cut into pre-tokens, on one whole text
-        shortest = min(range(len(texts)), key=lambda i: (not texts[i], len(texts[i])))
-        ids = model.lib.encode(texts[shortest])
-        if out[shortest] != (",".join(map(str, ids)), model.lib.decode(ids)):
-            raise AssertionError("a whole text differs from the library's")
-    return out
+class Codec:
+    """Encodes and decodes whole texts; remembers pre-tokens between slices, up
+    to REMEMBERED bytes of them.
+
+    ``ids`` holds the decimal ids of a pre-token joined by commas, ``texts``
+    what they decode to where that is not the pre-token itself."""
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        self.ids: dict[str, str] = {}
+        self.texts: dict[str, str] = {}
+        self.size = 0
+        self.is_byte = np.zeros(len(model.pieces), bool)
+        self.is_byte[list(model.byte_ids.values())] = True
+        self.digits = np.array([len(str(i)) for i in range(len(model.pieces))])
+
+    def _checked(self, words: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+        """The two tables for new pre-tokens, each held against the library."""
+        flat, size = encode_words(self.model, words)
+        lib = self.model.library_ids(words)
+        if not np.array_equal(size, np.fromiter(map(len, lib), np.int64, len(lib))) or not np.array_equal(
+                flat, np.fromiter(itertools.chain.from_iterable(lib), np.int32, len(flat))):
+            raise AssertionError("an encoding differs from the library's")
+        del lib
+        every, to = flat.tolist(), np.cumsum(size)
+        whole = ",".join(map(_id_names(len(self.model.pieces)).__getitem__, every))
+        comma = np.cumsum(self.digits[flat] + 1)[to - 1]  # one place past each pre-token's ids and their commas
+        ids = {w: whole[i:j - 1] for w, i, j in zip(words, [0, *comma.tolist()], comma.tolist())}
+        decoded, texts = [w.replace(SPACE, " ") for w in words], {}
+        odd = np.logical_or.reduceat(self.is_byte[flat], to - size)
+        for i in np.flatnonzero(odd).tolist():
+            text = decode_ids(self.model, every[to[i] - size[i]:to[i]])
+            if text != decoded[i]:
+                decoded[i] = texts[words[i]] = text
+        plain = np.repeat(~odd, size)
+        if decode_ids(self.model, flat[plain].tolist()) != "".join(itertools.compress(decoded, ~odd)):
+            raise AssertionError("a decoding differs from its text")
+        # pre-tokens start with a space, so no character crosses from one to the next
+        if self.model.lib.decode(every) != "".join(decoded)[1:]:
+            raise AssertionError("a decoding differs from the library's")
+        return ids, texts
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Per whole text: its ids in decimal, joined by commas, and what they
+        decode to."""
+        split = [self.model.words(t) for t in texts]
+        need: set[str] = set()
+        for words in split:
+            need.update(words)
+        new = [w for w in need if w not in self.ids]
+        ids_of, text_of = self.ids, self.texts
+        if new:
+            ids, odd = self._checked(new)
+            if self.size < REMEMBERED:
+                self.size += sum(map(len, ids)) + sum(map(len, ids.values())) + 200 * len(ids)
+                self.ids.update(ids)
+                self.texts.update(odd)
+            else:
+                ids_of, text_of = ids, {**self.texts, **odd}
+                ids_of.update((w, self.ids[w]) for w in need.difference(new))
+        whole = min((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]), default=None)
+        for i, (text, words) in enumerate(zip(texts, split, strict=True)):
+            ids = ",".join(map(ids_of.__getitem__, words))
+            if text_of and not text_of.keys().isdisjoint(words):
+                back = "".join(text_of.get(w) or w.replace(SPACE, " ") for w in words)[1:]
+            else:
+                back = text.replace(SPACE, " ")
+            if i == whole:  # the cut into pre-tokens, on one whole text
+                lib = self.model.lib.encode(text)
+                if (ids, back) != (",".join(map(str, lib)), self.model.lib.decode(lib)):
+                    raise AssertionError("a whole text differs from the library's")
+            yield ids, back
 
 
 def encode_documents(docs: DataFrame, path: str, with_text: bool = True) -> DataFrame:
@@ -271,21 +317,22 @@ def encode_documents(docs: DataFrame, path: str, with_text: bool = True) -> Data
     (ids_sha256, decoded_sha256; lowercase hex).
 
     A null or empty text has no ids and decodes to ''.  U+2581 in a text is a
-    space to the library, and so it is here.  Repeated rows are encoded each; a
+    space to the library, and so it is here.  Very long texts are encoded whole,
+    one at a time.  Repeated rows, and rows that share a doc_id, are encoded each; a
     null doc_id is kept; an empty table gives no rows; other columns are
     ignored."""
     names = ("ids", "decoded") if with_text else ("ids_sha256", "decoded_sha256")
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), *((n, pa.string()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = piece_model(path), {}
-        for part, texts in text_slices(batches):
-            out = encode_texts(model, texts, known)
-            cols = [[x[i] for x in out] for i in (0, 1)]
-            n = [x.count(",") + 1 if x else 0 for x in cols[0]]
-            if not with_text:
-                cols = [[hashlib.sha256(x.encode()).hexdigest() for x in c] for c in cols]
-            yield batch_of(schema, [part.column("doc_id"), n, *cols])
+        codec = Codec(piece_model(path))
+        for part, texts in text_slices(batches, limit=SLICE):
+            n, first, second = [], [], []
+            for ids, text in codec.encode(texts):
+                n.append(ids.count(",") + 1 if ids else 0)
+                first.append(ids if with_text else hashlib.sha256(ids.encode()).hexdigest())
+                second.append(text if with_text else hashlib.sha256(text.encode()).hexdigest())
+            yield batch_of(schema, [part.column("doc_id"), n, first, second])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id long, n_tokens long, {names[0]} string, {names[1]} string")

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-# Text handed to Python is worked on in slices of about this many characters,
-# so that a batch of very long documents never multiplies in memory.
+# Text handed to Python is worked on in slices of about this many bytes, so
+# that a batch of very long documents never multiplies in memory.
 SLICE_CHARS = 4_000_000
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage like ``checkpoint()``: the files are in shared storage, so
@@ -26,7 +26,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     size is known to the planner."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/quarry-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -35,22 +35,6 @@ def utf8_bytes(col: Column) -> Column:
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text"
-                ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Split Arrow batches so that each part holds about SLICE_CHARS characters
-    (one longer text is a part of its own); null texts become ''."""
-    for batch in batches:
-        texts = [t if t is not None else "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > SLICE_CHARS:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
-
-
 def cut_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS
                 ) -> Iterator[pa.RecordBatch]:
     """Split Arrow batches, by the offsets of a text column alone, into parts
@@ -68,6 +52,13 @@ def cut_batches(batches: Iterator[pa.RecordBatch], column: str = "text", limit:
             start = stop
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_CHARS
+                ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The parts of ``cut_batches``, each with its texts; null texts become ''."""
+    for part in cut_batches(batches, column, limit):
+        yield part, ["" if t is None else t for t in part.column(column).to_pylist()]
+
+
 def batch_of(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c.cast(f.type) if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, f.type)

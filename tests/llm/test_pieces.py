@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -7,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm_cases import ODD
-from quarry.llm.piece_codec import decode_ids, encode_documents, encode_texts, encode_word, encode_words
+from quarry.llm import piece_codec
+from quarry.llm.piece_codec import Codec, decode_ids, encode_documents, encode_word, encode_words
 from quarry.llm.pieces import SPACE, PieceModel, piece_model
 from quarry.llm.token_counts import count_tokens, count_words, whole_tokens
 
@@ -20,8 +22,7 @@ TEXT = st.text(alphabet=st.sampled_from("abcdeé \t\n▁.,0中①😀ing  theTHE
 @settings(max_examples=150, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=5))
 def test_whole_texts_as_the_library(texts):
-    model = piece_model(PATH)
-    for t, (ids, back) in zip(texts, encode_texts(model, texts, {}), strict=True):
+    for t, (ids, back) in zip(texts, Codec(piece_model(PATH)).encode(texts), strict=True):
         want = LIB.encode(t)
         assert ids == ",".join(map(str, want))
         assert back == LIB.decode(want)
@@ -33,7 +34,18 @@ def test_whole_texts_as_the_library(texts):
 def test_one_agenda_and_many(word):
     model = piece_model(PATH)
     word = SPACE + word.replace(SPACE, "")
-    assert [encode_word(model, word)] == encode_words(model, [word]) == model.library_ids([word])
+    flat, size = encode_words(model, [word, SPACE, word * 9, word])
+    many = [x.tolist() for x in np.split(flat, np.cumsum(size)[:-1])]
+    assert many[0] == many[3] == encode_word(model, word) and many[2] == encode_word(model, word * 9)
+    assert many == model.library_ids([word, SPACE, word * 9, word])
+
+
+def test_nothing_remembered_gives_the_same(monkeypatch):
+    texts = ["one two three", "", "é中😀 two", "three " * 50, "a▁b  c", "one four"] * 3
+    want = list(Codec(piece_model(PATH)).encode(texts))
+    monkeypatch.setattr(piece_codec, "REMEMBERED", 0)
+    codec = Codec(piece_model(PATH))
+    assert [x for t in texts for x in codec.encode([t])] == want and not codec.ids
 
 
 def test_bytes_of_no_character():
