@@ -27,6 +27,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Most rows of a table that is broadcast (a few longs each); larger ones join
 # by shuffle.
 BROADCAST_ROWS = 100_000
+# Most bytes of item texts that are broadcast.
+BROADCAST_BYTES = 32_000_000
 
 
 def _words(text: Column) -> Column:
@@ -149,9 +151,11 @@ def _prepare(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     diagonals = (grams.join(_small(marks, n_marks), ["k", "gram"])
                  .select("text_hash", "text_crc", "item", (F.col("p") - F.col("at")).alias("diagonal")).distinct())
     # extend along each diagonal
-    n_items = bench.count()
+    held = bench.agg(F.coalesce(F.sum(F.octet_length(F.array_join("words", " "))), F.lit(0))
+                     + F.coalesce(F.sum(16 * (F.size("words") + F.size("ids"))), F.lit(0))).first()[0]
+    known = bench.select("item", "ids", F.col("words").alias("item_words"))
     pairs = (diagonals.join(fine, ["text_hash", "text_crc"])
-             .join(_small(bench.select("item", "ids", F.col("words").alias("item_words")), n_items), "item"))
+             .join(F.broadcast(known) if held <= BROADCAST_BYTES else known, "item"))
     at = F.greatest(F.col("diagonal"), F.lit(0))
     pairs = pairs.select("text_hash", "text_crc", "ids", "item_words", "diagonal",
                          at.alias("first"), F.slice("words", at + 1, F.size("item_words")).alias("near"))
@@ -205,13 +209,15 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFra
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFrame:
-    """The rows of ``docs``, all columns, that are not contaminated: whether a
-    row goes depends on its text alone."""
+    """The rows of ``docs``, all columns whatever their names, that are not
+    contaminated: whether a row goes depends on its text alone."""
     coarse, hits = _prepare(docs, items)
     sizes = coarse.select("text_hash", "text_crc", "n_words").distinct()
     bad = written(_hit_words(hits).join(sizes, ["text_hash", "text_crc"])
                   .where((F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
                   .select(F.col("text_hash").alias("_hash"), F.col("text_crc").alias("_crc")), "contaminated")
     text = F.coalesce(F.col("text"), F.lit(""))
-    same = (F.xxhash64(text) == F.col("_hash")) & (F.crc32(text.cast("binary")) == F.col("_crc"))
-    return docs.join(_small(bad, bad.count()), same, "left_anti")
+    # the row itself is one column, so no name in it can meet one used here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.xxhash64(text).alias("_hash"), F.crc32(text.cast("binary")).alias("_crc"))
+    return rows.join(_small(bad, bad.count()), ["_hash", "_crc"], "left_anti").select("_row.*")

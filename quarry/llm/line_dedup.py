@@ -11,7 +11,7 @@ at its first place, so no text is lost altogether.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import written
@@ -27,13 +27,13 @@ def _lines(docs: DataFrame) -> DataFrame:
     that are not blank; a line's hash leaves out white space at its ends."""
     text = F.coalesce(F.col("text"), F.lit(""))
     line = F.regexp_replace("raw", r"^[\t\r ]+|[\t\r ]+$", "")
-    parts = docs.select("doc_id", "source", F.xxhash64(text).alias("text_hash"),
+    site = F.coalesce(F.xxhash64("source"), F.lit(0)) if "source" in docs.columns else F.lit(0).cast("long")
+    parts = docs.select("doc_id", site.alias("site"), F.xxhash64(text).alias("text_hash"),
                         F.crc32(text.cast("binary")).alias("text_crc"), F.posexplode_outer(F.split(text, "\n", -1))
                         .alias("line_no", "raw"))
-    site = F.coalesce(F.xxhash64("source"), F.lit(0)) if "source" in docs.columns else F.lit(0)
     return (parts.withColumn("line", line).where("line <> ''")
             .select("doc_id", "text_hash", "text_crc", "line_no", F.xxhash64("line").alias("line"),
-                    F.crc32(F.col("line").cast("binary")).alias("line_crc"), site.alias("site")))
+                    F.crc32(F.col("line").cast("binary")).alias("line_crc"), "site"))
 
 
 def boilerplate_lines(lines: DataFrame, min_sites: int) -> DataFrame:
@@ -64,29 +64,44 @@ def mark_boilerplate(docs: DataFrame, min_sites: int) -> DataFrame:
             .agg(F.collect_set("place.line_no").alias("gone")))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = 5) -> DataFrame:
-    """``docs`` with its columns, ``text`` without boilerplate lines, and
-    n_lines (of the text as it came) and n_removed beside them.
+def without_lines(lines: Column, gone: Column) -> Column:
+    """The lines whose numbers are not in ``gone``, joined again: the stretches
+    between the numbers, so the work is linear in the lines."""
+    marks = F.sort_array(gone)
+    start = F.concat(F.array(F.lit(0)), F.transform(marks, lambda x: x + 1))
+    stretches = F.filter(F.zip_with(start, F.concat(marks, F.array(F.size(lines))), lambda a, b: F.struct(
+        a.alias("a"), b.alias("b"))), lambda r: r["b"] > r["a"])
+    return F.array_join(F.transform(stretches, lambda r: F.array_join(
+        F.slice(lines, r["a"] + 1, r["b"] - r["a"]), "\n")), "\n")
+
+
+def remove_boilerplate(docs: DataFrame, min_sites: int = 5, counts: bool = True) -> DataFrame:
+    """``docs`` with its columns, ``text`` without boilerplate lines, and with
+    ``counts`` n_lines (of the text as it came) and n_removed after them.
 
     A line is boilerplate if it stands, but for white space at its ends, in
     documents of at least ``min_sites`` sources; its place with the smallest
     (doc_id, text hashes, line number) stays.  Blank lines stay and are not
-    counted as repeated; a null source is one site of its own.  A null text
-    stays null with no lines; rows equal in doc_id and text are handled alike,
-    as one; an empty table gives no rows.  Other columns are carried along, so
-    they must not be called n_lines or n_removed."""
+    counted as repeated; a null source is one site of its own, and so are all
+    documents of a table without that column.  A null text stays null with no
+    lines; a very long text is handled whole, in time linear in its lines; rows
+    equal in doc_id and text are handled alike, as one; an empty table gives no
+    rows.  Other columns are carried along whatever their names, but columns
+    called n_lines or n_removed make way for those of ``counts``."""
     marks = written(mark_boilerplate(docs, min_sites), "marks")
     marks = marks.select(F.col("doc_id").alias("_id"), "text_hash", "text_crc", "gone")
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select("*", F.xxhash64(text).alias("_hash"), F.crc32(text.cast("binary")).alias("_crc"))
-    joined = keyed.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash"))
+    # the row itself is one column, so no name in it can meet one used here
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_doc"),
+                        F.xxhash64(text).alias("_hash"), F.crc32(text.cast("binary")).alias("_crc"))
+    joined = keyed.join(marks, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("text_hash"))
                         & (F.col("_crc") == F.col("text_crc")), "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(
-        F.filter(lines, lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n"))
-    return joined.select(*[kept.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-                         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+    joined = joined.select("_row", "gone", F.split("_row.text", "\n", -1).alias("_lines"))
+    kept = F.when(F.col("gone").isNull(), F.col("_row.text")).otherwise(without_lines(F.col("_lines"), F.col("gone")))
+    own = [F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
+           F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed")] if counts else []
+    return joined.select(*[kept.alias("text") if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns
+                           if not (own and c in ("n_lines", "n_removed"))], *own)
 
 
 def line_dedup_digest(docs: DataFrame, min_sites: int = 5) -> DataFrame:

@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -220,11 +219,11 @@ def score_quality(docs: DataFrame, model: AdditiveModel, held_out: Column) -> Da
 
 def keep_good(docs: DataFrame, model: AdditiveModel) -> DataFrame:
     """The rows of ``docs``, all columns, whose text the model predicts 1 for."""
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([features(t or "") for t in texts]).reshape(-1, len(FEATURES))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches):
+            yield part.filter(pa.array(model.score(np.array([features(t) for t in texts])) >= 0.5))
 
-    return docs.where(score("text") >= 0.5)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1,

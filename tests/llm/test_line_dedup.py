@@ -58,3 +58,26 @@ def test_odd_rows_and_repeats(make_docs):
 
 def test_empty(make_docs):
     assert line_dedup_digest(make_docs([])).collect() == []
+
+
+def test_clashing_names_and_no_source(make_docs):
+    """Columns called like those the operator works with come through."""
+    names = ["gone", "text_hash", "text_crc", "_hash", "_crc", "_id", "_row", "_doc", "_lines", "place", "a", "b"]
+    rows = [(i, "one\ntwo", f"s{i}") for i in range(6)]
+    docs = make_docs(rows, extra=[*names, "n_lines", "n_removed"])
+    plain_out = remove_boilerplate(docs, 5, counts=False)
+    assert plain_out.columns == docs.columns
+    assert all(r[c] == "x" for r in plain_out.collect() for c in (*names, "n_lines", "n_removed"))
+    counted = remove_boilerplate(docs, 5)
+    assert sorted(counted.columns) == sorted(docs.columns) and {r.n_lines for r in counted.collect()} == {2}
+    bare = make_docs(rows).drop("source")
+    assert sorted(r.text for r in remove_boilerplate(bare, 1).collect()) == [""] * 5 + ["one\ntwo"]
+
+
+def test_many_shared_lines_take_linear_time(make_docs):
+    import time
+    text = "\n".join(f"line {i}" for i in range(100_000))
+    rows = [(i, text if i % 2 else text + "\nown\n", f"s{i}") for i in range(6)]
+    start = time.time()
+    got = {r.doc_id: r for r in remove_boilerplate(make_docs(rows), 5).collect()}
+    assert got[0].n_removed == 0 and got[1].text == "" and got[2].text == "own\n" and time.time() - start < 90
