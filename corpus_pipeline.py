@@ -7,8 +7,7 @@ every stage's result as Parquet and reads it back for the next one.
 Rows with a null in any column pass through: a null text is an empty one to
 every stage, and a document without a doc_id is never a group's first, so the
 near-dedup stage keeps it.  An empty table stays empty.  Columns beyond those
-of ``documents`` are carried along up to the last stage; they must not be
-called n_lines, n_removed, gone, text_hash or text_crc.
+of ``documents`` are carried along up to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +38,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take boilerplate lines out of the texts; n_chars follows."""
-    out = remove_boilerplate(docs, MIN_SITES).drop("n_lines", "n_removed")
+    out = remove_boilerplate(docs, MIN_SITES, counts=False)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -47,8 +46,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keep one document of each group: the one whose id names the group.
     Rows that repeat a kept one in doc_id and text go."""
     first = near_duplicates(docs, shingle=4, bits=4).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").withColumn("_text", F.xxhash64("text"))
-    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text"]).select(docs.columns)
+    # the row itself is one column, so no name in it can meet one used here
+    named = docs.where("doc_id is not null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                                                    "doc_id", F.xxhash64("text").alias("_text"))
+    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text"]).select("_row.*")
     return kept.unionByName(docs.where("doc_id is null"))
 
 
