@@ -1,21 +1,14 @@
-"""Boosted-tree classification and its evaluation.
+"""Features of whole texts for classification, and small result tables (K14,
+K16); the models are in ``boosting``.
 
-Features are computed from whole texts with JVM built-ins (lengths, token and
-line counts, character-class shares); the model is Spark ML's GBTClassifier
-(XGBoost's L1/L2 leaf penalties have no counterpart; scale_pos_weight becomes
-a weight column, colsample a feature-subset fraction).
+Features are computed with JVM built-ins (lengths, token and line counts,
+character-class shares).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +19,6 @@ LANG_CODES = {"en": 0, "de": 1, "fr": 2, "es": 3}
 
 TEXT_FEATURES = ["n_chars", "n_words", "n_lines", "upper_share", "digit_share", "punct_share", "lang_code"]
 
-# The reference's model parameters (100 trees, depth 5, rate 0.1, subsample 0.8,
-# colsample 0.8, positive weight 3).
-GBT_PARAMS = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8,
-              "featureSubsetStrategy": "0.8"}
-POS_WEIGHT = 3.0
-
-
 def text_features(docs: DataFrame) -> DataFrame:
     """Per document numeric features over the whole text."""
     t = F.col("text")
@@ -47,86 +33,6 @@ def text_features(docs: DataFrame) -> DataFrame:
         F.coalesce(map_encode(F.col("lang"), LANG_CODES), F.lit(len(LANG_CODES))).cast("double").alias("lang_code"))
 
 
-def assemble(df: DataFrame, cols: Sequence[str], label: str = "y") -> DataFrame:
-    va = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="keep")
-    out = va.transform(df).withColumn("label", F.col(label).cast("double"))
-    return out.withColumn("weight", F.when(F.col("label") == 1, F.lit(POS_WEIGHT)).otherwise(F.lit(1.0)))
-
-
-def gbt(params: dict | None = None, seed: int = 42) -> GBTClassifier:
-    p = dict(GBT_PARAMS, **(params or {}))
-    return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed, **p)
-
-
-def predictions(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Id, truth, predicted label, probability of class 1, correctness, risk band."""
-    p = model.transform(df).withColumn("p1", vector_to_array("probability")[1])
-    return p.select(*keep, F.col("label").cast("int").alias("true_label"),
-                    F.col("prediction").cast("int").alias("predicted_label"),
-                    F.col("p1").alias("probability"),
-                    (F.col("label") == F.col("prediction")).alias("correct"),
-                    risk_band(F.col("p1")).alias("risk_level"))
-
-
-def fold_metrics(data: DataFrame, fold_col: str = "fold", params: dict | None = None) -> DataFrame:
-    """K4: per fold accuracy / precision / recall / F1 (one grouped aggregate
-    over the unioned out-of-fold predictions) and ROC / PR AUC, plus mean and
-    population std rows."""
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
-    from concurrent.futures import ThreadPoolExecutor
-    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
-
-    def one(f):
-        m = gbt(params).fit(data.where(F.col(fold_col) != f))
-        p = m.transform(data.where(F.col(fold_col) == f)).withColumn("fold", F.lit(int(f)))
-        a = (auc.evaluate(p, {auc.metricName: "areaUnderROC"}), auc.evaluate(p, {auc.metricName: "areaUnderPR"}))
-        return f, a, p.select("fold", "label", "prediction")
-
-    # folds are independent fits: submitted as concurrent Spark jobs
-    with ThreadPoolExecutor(max_workers=len(folds)) as pool:
-        done = list(pool.map(one, folds))
-    data.unpersist()
-    aucs = {f: a for f, a, _ in done}
-    preds = None
-    for _, _, p in done:
-        preds = p if preds is None else preds.unionByName(p)
-    t, y = F.col("label") == 1, F.col("prediction") == 1
-    g = preds.groupBy("fold").agg(F.count_if(t & y).alias("tp"), F.count_if(~t & y).alias("fp"),
-                                  F.count_if(t & ~y).alias("fn"), F.count_if(~t & ~y).alias("tn"))
-    sd = lambda a, b: F.when(b == 0, F.lit(0.0)).otherwise(a / b)
-    prec, rec = sd(F.col("tp"), F.col("tp") + F.col("fp")), sd(F.col("tp"), F.col("tp") + F.col("fn"))
-    per = g.select(F.col("fold").cast("string").alias("fold"),
-                   ((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))).alias("accuracy"),
-                   prec.alias("precision"), rec.alias("recall"), sd(2 * prec * rec, prec + rec).alias("f1"))
-    au = data.sparkSession.createDataFrame([(str(f), a[0], a[1]) for f, a in aucs.items()],
-                                           "fold string, roc_auc double, pr_auc double")
-    per = per.join(au, "fold")
-    cols = ["accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc"]
-    mean = per.agg(*[F.avg(c).alias(c) for c in cols]).withColumn("fold", F.lit("mean"))
-    std = per.agg(*[F.stddev_pop(c).alias(c) for c in cols]).withColumn("fold", F.lit("std"))
-    return per.unionByName(mean).unionByName(std)
-
-
-def grid_search(data: DataFrame, grid: dict, fold_col: str = "fold", parallelism: int = 4,
-                params: dict | None = None):
-    """K3: CrossValidator over a parameter grid with the stratified folds."""
-    est = gbt(params)
-    b = ParamGridBuilder()
-    for name, values in grid.items():
-        b = b.addGrid(est.getParam(name), values)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=b.build(), foldCol=fold_col,
-                        evaluator=BinaryClassificationEvaluator(labelCol="label"), parallelism=parallelism)
-    return cv.fit(data.withColumn(fold_col, F.col(fold_col).cast("int")))
-
-
-def importance(model, cols: Sequence[str], spark) -> DataFrame:
-    """Impurity importance per feature (descending)."""
-    imp = model.featureImportances.toArray()
-    rows = sorted(((c, float(v)) for c, v in zip(cols, imp)), key=lambda r: (-r[1], r[0]))
-    return spark.createDataFrame(rows, "feature string, importance double")
-
-
 def importance_top(imp: DataFrame, k: int) -> DataFrame:
     """The ``k`` most important features."""
     return imp.orderBy(F.col("importance").desc(), "feature").limit(k)

@@ -109,6 +109,59 @@ def mean_curve(points: DataFrame, fold: str, n: int = 100) -> DataFrame:
     return interpolate(points, fold, n).groupBy("i").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
 
 
+def grouped_curve(df: DataFrame, keys: Sequence[str], y: str = "y", score: str = "score", digits: int = 6) -> DataFrame:
+    """``score_curve`` of many groups at once (models, folds): per group and
+    distinct score, rounded to ``digits`` decimals, so that a group of
+    probabilities has 10^digits + 1 points at most however many rows."""
+    keys = list(keys)
+    d = df.groupBy(*keys, F.round(score, digits).alias(score)).agg(
+        F.sum(F.col(y)).cast("bigint").alias("pos"), F.sum(1 - F.col(y)).cast("bigint").alias("neg"))
+    down = Window.partitionBy(*keys).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
+    return d.select("*", F.sum("pos").over(down).alias("cum_pos"), F.sum("neg").over(down).alias("cum_neg"),
+                    F.sum("pos").over(whole).alias("P"), F.sum("neg").over(whole).alias("N"))
+
+
+def grouped_metrics(df: DataFrame, keys: Sequence[str], y: str = "y", score: str = "score") -> DataFrame:
+    """Per group: accuracy, precision, recall and f1 at 0.5, ROC and PR AUC
+    (trapezoids), and the largest F1 (2pr / (p + r + 1e-8)) with its threshold,
+    the smallest one on ties."""
+    keys = list(keys)
+    t, p = F.col(y) == 1, F.col(score) >= 0.5
+    cells = df.groupBy(*keys).agg(F.count_if(t & p).alias("tp"), F.count_if(~t & p).alias("fp"),
+                                  F.count_if(t & ~p).alias("fn"), F.count_if(~t & ~p).alias("tn"))
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    prec, rec = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn)
+    at_half = cells.select(*keys, ((tp + tn) / (tp + tn + fp + fn)).alias("accuracy"), prec.alias("precision"),
+                           rec.alias("recall"), _safe_div(2 * prec * rec, prec + rec).alias("f1"))
+    up, down = F.col("cum_pos"), F.col("cum_neg")
+    precise, called = up / (up + down), _safe_div(up, F.col("P"))
+    tp0, fp0 = up - F.col("pos"), down - F.col("neg")
+    before = F.when(tp0 + fp0 == 0, F.lit(1.0)).otherwise(tp0 / (tp0 + fp0))
+    f1 = 2 * precise * called / (precise + called + 1e-8)
+    curve = grouped_curve(df, keys, y, score).groupBy(*keys).agg(
+        F.sum(_safe_div(F.col("neg") * (2 * up - F.col("pos")), 2 * F.col("P") * F.col("N"))).alias("roc_auc"),
+        F.sum(_safe_div(F.col("pos"), F.col("P")) * (precise + before) / 2).alias("pr_auc"),
+        F.max(F.struct(f1.alias("f1"), (-F.col(score)).alias("s"))).alias("_b"))
+    return at_half.join(curve, keys).select(*at_half.columns, "roc_auc", "pr_auc", F.col("_b.f1").alias("max_f1"),
+                                            (-F.col("_b.s")).alias("threshold"))
+
+
+def permuted(df: DataFrame, key: str, cols: Sequence[str], seed: int = 42) -> DataFrame:
+    """``df`` with a column <c>_permuted beside each of ``cols``: the values in
+    a seeded order of the keys, turned by a distance of the column's own.  The
+    order is a rank over hashes, so no task holds all rows; each column is one
+    join by rank."""
+    ranked = cut_lineage(stratified_rank(df.withColumn("_class", F.lit(0)), "_class", key, seed).drop("_class"))
+    n = ranked.count()
+    out = ranked
+    for i, c in enumerate(cols):
+        turn = 1 + (i * 7919 + seed) % max(1, n - 1)
+        other = ranked.select(((F.col("rank") + turn) % max(1, n)).alias("rank"), F.col(c).alias(f"{c}_permuted"))
+        out = out.join(other, "rank")
+    return out.drop("rank", "_n")
+
+
 # ---------------------------------------------------------------- thresholded metrics
 
 def confusion(df: DataFrame, y: str, yhat: str) -> DataFrame:

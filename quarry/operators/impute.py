@@ -27,18 +27,17 @@ SENTINEL = -999.0
 
 def peak_fill_values(long: DataFrame, keys: Sequence[str], x: str = "x", closed: bool = False,
                      rule: str = "2.x") -> DataFrame:
-    """(keys..., fill, peak_lo, peak_hi, mean) per key from long-form values,
-    all from one count per (keys, value)."""
+    """(keys..., fill, peak_lo, peak_hi, mean) per key from long-form values."""
     keys = list(keys)
-    counts = counted(long, keys, x, "n")
-    st = cut_lineage(auto_bin_stats(counts, keys, x, rule).drop("n"))
-    j = join_small(counts, st, keys)
+    long = long.where(F.col(x).isNotNull())
+    st = cut_lineage(auto_bin_stats(long, keys, x, rule).drop("n"))
+    j = join_small(long, st, keys)
     first, last, nb = F.col("first"), F.col("last"), F.col("nb")
     b = bin_index(F.col(x), first, last, nb)
     j = j.withColumn("bin", b)
     hi = bin_edge(F.col("bin") + 1, first, last, nb)
     lo = bin_edge(F.col("bin"), first, last, nb)
-    n, total = F.col("n"), F.col(x) * F.col("n")
+    n, total = F.lit(1), F.col(x)
     per_bin = j.groupBy(*keys, "first", "last", "nb", "bin").agg(
         F.sum(n).alias("cnt"), F.sum(total).alias("s"),
         F.sum(F.when(F.col(x) < hi, total)).alias("hs"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import join_small, long_form, stats_row
-from .quantile import counted, exact_quantiles, quantile_row
+from .quantile import quantile_row, row_quantiles
 
 
 # ---------------------------------------------------------------- counts
@@ -147,13 +147,12 @@ def feature_types(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def column_profile(df: DataFrame, cols: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Shared per-column profile (A13, and the input of D1 / D2): n, zero
-    count, min, max, n_unique and the requested exact quantiles, all from one
-    count per (feature, value)."""
-    counts = counted(long_form(df, [], cols, "feature", "x"), ["feature"])
-    main = counts.groupBy("feature").agg(
+    count, min, max, n_unique and the requested exact quantiles."""
+    long = long_form(df, [], cols, "feature", "x").where("x is not null")
+    main = long.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(
         F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("x") == 0, F.col("n"))), F.lit(0)).alias("zero_count"),
         F.min("x").alias("min"), F.max("x").alias("max"), F.count(F.lit(1)).alias("n_unique"))
-    return main.join(exact_quantiles(counts, ["feature"], quantiles).drop("total"), "feature")
+    return main.join(row_quantiles(long, ["feature"], quantiles).drop("total", "mn", "mx"), "feature")
 
 
 def dist_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -165,22 +164,22 @@ def dist_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def box_stats(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (most extreme values inside the fences)
-    and outlier count per group.  Everything comes from the counts per (group,
-    value): the rows themselves are never shuffled by group."""
+    and outlier count per group.  The rows are never shuffled by group: they are
+    only aggregated where they are."""
     g = list(group)
-    counts = counted(df.select(*g, F.col(value).alias("x")), g)
+    long = df.select(*g, F.col(value).cast("double").alias("x")).where("x is not null")
     if not g:
-        g, counts = ["_all"], counts.withColumn("_all", F.lit(0))
-    q = exact_quantiles(counts, g, (0.25, 0.5, 0.75)).select(
+        g, long = ["_all"], long.withColumn("_all", F.hash("x") * 0)
+    q = row_quantiles(long, g, (0.25, 0.5, 0.75)).select(
         *g, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"),
         F.col("total").alias("n"))
     q = cut_lineage(q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")))
                     .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))))
     x = F.col("x")
     inside = (x >= F.col("lo_fence")) & (x <= F.col("hi_fence"))
-    j = join_small(counts, q.select(*g, "lo_fence", "hi_fence"), g)
+    j = join_small(long, q.select(*g, "lo_fence", "hi_fence"), g)
     w = j.groupBy(*g).agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
-                          F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"))
+                          F.count_if(~inside).alias("outliers"))
     return q.join(w, g).drop("_all")
 
 
@@ -223,16 +222,15 @@ def minmax_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     return _edge_cols(edges.join(counts, "bin", "left").na.fill(0, ["n"]), lo, hi, bins)
 
 
-def auto_bin_stats(counts: DataFrame, keys: Sequence[str], x: str = "x", rule: str = "2.x") -> DataFrame:
-    """A18 bin geometry per key (numpy ``bins='auto'``) from counted values.
+def auto_bin_stats(long: DataFrame, keys: Sequence[str], x: str = "x", rule: str = "2.x") -> DataFrame:
+    """A18 bin geometry per key (numpy ``bins='auto'``) from long-form values.
 
     n, min, max, IQR -> width = min(max(FD, sqrt/2), Sturges) (numpy 2.x) or
     FD > 0 ? min(FD, Sturges) : Sturges (numpy 1.x); bins = ceil(R / width),
     1 when the width is 0; a constant column gets [v - .5, v + .5]."""
     keys = list(keys)
-    q = exact_quantiles(counts, keys, (0.25, 0.75), x).select(
-        *keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-    st = counts.groupBy(*keys).agg(F.sum("n").alias("n"), F.min(x).alias("mn"), F.max(x).alias("mx")).join(q, keys)
+    st = row_quantiles(long, keys, (0.25, 0.75), x).select(
+        *keys, F.col("total").alias("n"), "mn", "mx", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     n = F.col("n").cast("double")
     rng = F.col("mx") - F.col("mn")
     fd = 2.0 * (F.col("q3") - F.col("q1")) * F.pow(n, -1.0 / 3.0)
@@ -265,28 +263,18 @@ def bin_edge(i: Column, first: Column, last: Column, nb: Column) -> Column:
 
 def auto_histogram(df: DataFrame, cols: Sequence[str], rule: str = "2.x") -> DataFrame:
     """Numpy 'auto' histogram per column: (column, bin, lo, hi, n) for
-    non-empty bins, from the counts per (column, value)."""
-    counts = counted(long_form(df, [], cols, "feature", "x"), ["feature"])
-    st = cut_lineage(auto_bin_stats(counts, ["feature"], rule=rule).drop("n"))
-    j = join_small(counts, st, ["feature"])
+    non-empty bins."""
+    long = long_form(df, [], cols, "feature", "x").where("x is not null")
+    st = cut_lineage(auto_bin_stats(long, ["feature"], rule=rule).drop("n"))
+    j = join_small(long, st, ["feature"])
     b = bin_index(F.col("x"), F.col("first"), F.col("last"), F.col("nb"))
-    cnt = j.groupBy("feature", "first", "last", "nb", b.alias("bin")).agg(F.sum("n").alias("n"))
+    cnt = j.groupBy("feature", "first", "last", "nb", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return cnt.select("feature", "bin", bin_edge(F.col("bin"), F.col("first"), F.col("last"), F.col("nb")).alias("lo"),
                       bin_edge(F.col("bin") + 1, F.col("first"), F.col("last"), F.col("nb")).alias("hi"), "n")
 
 
 # ---------------------------------------------------------------- group profiles
 
-def group_profile(long: DataFrame, group: str, feature: str = "feature", x: str = "x") -> DataFrame:
-    """Per (group, feature) mean and sample std, plus group size and share."""
-    sizes = long.groupBy(group).agg(F.count_distinct("_row").alias("size")) if "_row" in long.columns else None
-    prof = long.groupBy(group, feature).agg(F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                                            F.count(x).alias("n"))
-    if sizes is not None:
-        prof = prof.join(sizes, group)
-    return prof
-
-
 def array_profile(df: DataFrame, group: str, vec: str) -> DataFrame:
     """A20 on an array<double> column: (group, dim, mean, std) + (size, pct)."""
     long = df.select(group, F.posexplode(vec).alias("dim", "x"))
@@ -347,13 +335,3 @@ def indicator_sums(df: DataFrame, cols: Sequence[str], k: int | None = None) ->
     one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).cast("bigint").alias(c) for c in cols])
     return one.unpivot(["_n"], cols, "feature", "ones").select(
         "feature", "ones", (F.col("ones") * 100.0 / F.col("_n")).alias("pct"))
-
-
-def auto_bins_count(n: int, mn: float, mx: float, q1: float, q3: float) -> int:
-    """Driver-side mirror of ``auto_bin_stats`` for tests."""
-    rng = mx - mn
-    if n == 0:
-        return 1
-    fd = 2.0 * (q3 - q1) * n ** (-1.0 / 3.0)
-    w = min(max(fd, rng / math.sqrt(n) / 2), rng / (math.log2(n) + 1.0))
-    return max(1, math.ceil(rng / w)) if w > 0 else 1

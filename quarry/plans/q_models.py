@@ -1,5 +1,5 @@
-"""Model queries: clustering, boosted trees, isolation forest (C1-C10, K1-K5,
-K14, K16, N1, N3-N5, A34, W10).  Fits are randomised or iterative, so these
+"""Model queries: clustering, isolation forest, one-class SVM (C1-C10, N1-N6,
+A34, W10).  Fits are randomised or iterative, so these
 carry no SQL oracle; their invariants are tested in tests/test_models.py."""
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from .registry import register
 
 DIM = 64
 K_OVERALL = 4
-# Trees of the models inside the grid search (see README on its size).
-GRID_TREES = 20
 
 
 def _r(c, n=6):
@@ -93,8 +91,7 @@ def subset_cluster(spark, sf_dir):
 def _doc_data(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("y"))
-    feats = cl.text_features(docs.join(lab, "doc_id", "left_semi"))
-    return cl.assemble(feats.join(lab, "doc_id"), cl.TEXT_FEATURES, "y")
+    return cl.text_features(docs.join(lab, "doc_id", "left_semi")).join(lab, "doc_id")
 
 
 def _split(spark, sf_dir):
@@ -103,45 +100,6 @@ def _split(spark, sf_dir):
     return cut_lineage(ev.stratified_split(d, "y", "doc_id", 0.2))
 
 
-@register("gbt_predictions")
-def gbt_predictions(spark, sf_dir):
-    """K1 + K16: boosted trees trained on the stratified 80 %, predictions with
-    probability, correctness and risk band on the held-out 20 %."""
-    d = _split(spark, sf_dir)
-    m = cl.gbt().fit(d.where(F.col("split") == "train"))
-    p = cl.predictions(m, d.where(F.col("split") == "test"), ["doc_id"])
-    return p.withColumn("probability", _r(F.col("probability")))
-
-
-@register("gbt_importance")
-def gbt_importance(spark, sf_dir):
-    """Feature importances of the trained model."""
-    d = _split(spark, sf_dir)
-    m = cl.gbt().fit(d.where(F.col("split") == "train"))
-    return cl.importance(m, cl.TEXT_FEATURES, spark)
-
-
-@register("gbt_cv")
-def gbt_cv(spark, sf_dir):
-    """K2 + K4: 10 stratified folds on the training part; per-fold and mean/std metrics."""
-    d = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
-    f = ev.stratified_folds(d, "y", "doc_id", k=10)
-    return cl.fold_metrics(f)
-
-
-@register("grid_search")
-def grid_search(spark, sf_dir):
-    """K3: cross-validated grid over depth and learning rate (3 folds)."""
-    d = _split(spark, sf_dir).where(F.col("split") == "train").drop("split")
-    f = ev.stratified_folds(d, "y", "doc_id", k=3)
-    cv = cl.grid_search(f, {"maxDepth": [3, 5], "stepSize": [0.1, 0.3]}, params={"maxIter": GRID_TREES})
-    rows = [(int(pm[cv.getEstimator().getParam("maxDepth")]), float(pm[cv.getEstimator().getParam("stepSize")]),
-             float(m)) for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
-    best = max(rows, key=lambda r: r[2])
-    return spark.createDataFrame([(*r, r == best) for r in rows],
-                                 "max_depth int, step_size double, roc_auc double, best boolean")
-
-
 def _points(spark, sf_dir):
     g = fx.pv_grid(spark, sf_dir).na.drop(subset=["power", "generation"])
     z = zscore(g, ["power", "generation"])
@@ -247,33 +205,3 @@ def period_anomalies(spark, sf_dir):
     win = ts.attach_window_end(win, g, ["periodic"]).where(F.col("periodic").isNotNull())
     win = cut_lineage(win.withColumn("x", F.concat("power_filled", F.array("periodic"))))
     return _per_config(win, lambda w: w + 1, ("svm",))
-
-
-# Feature modules of the documents (K17): named subsets of the text features.
-MODULES = {"length": ["n_chars", "n_words", "n_lines"],
-           "characters": ["upper_share", "digit_share", "punct_share"],
-           "language": ["lang_code", "n_chars"]}
-
-
-@register("module_classification")
-def module_classification(spark, sf_dir):
-    """One boosted-tree model per feature module on the same stratified
-    split; held-out accuracy / precision / recall / F1 and ROC AUC per module."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from concurrent.futures import ThreadPoolExecutor
-    d = _split(spark, sf_dir)
-    auc = BinaryClassificationEvaluator(labelCol="label")
-
-    def one(item):
-        name, cols = item
-        data = cl.assemble(d.drop("features", "label", "weight"), cols, "y")
-        m = cl.gbt().fit(data.where(F.col("split") == "train"))
-        p = m.transform(data.where(F.col("split") == "test"))
-        c = ev.confusion(p.withColumn("yhat", F.col("prediction").cast("int")), "y", "yhat")
-        met = ev.binary_metrics(c).first()
-        return (name, met["accuracy"], met["precision"], met["recall"], met["f1"], auc.evaluate(p))
-
-    with ThreadPoolExecutor(max_workers=len(MODULES)) as pool:      # independent fits, concurrent jobs
-        rows = list(pool.map(one, MODULES.items()))
-    return spark.createDataFrame(rows, "module string, accuracy double, precision double, recall double, "
-                                       "f1 double, roc_auc double")

@@ -24,7 +24,7 @@ from ..sources.tables import table
 from .q_mining import TYPE_FI_SQL, TYPE_RULES_SQL, type_baskets, type_itemsets, type_rules
 from .q_timeseries import FILL_SQL
 from .registry import register
-from .sqlfix import DEMO, LAB, OUTCOME, PV_GRID, SCORES, with_
+from .sqlfix import DEMO, DOC_FEATURES, LAB, OUTCOME, PV_GRID, SCORES, with_
 
 LAB_COLS = ["quantity", "price", "discount", "tax", "ship_days"]
 # A header mapping in the form the reference keeps as a JSON file.
@@ -140,12 +140,16 @@ def iforest_check(spark, sf_dir):
                  ((F.min("score") > 0) & (F.max("score") < 1)).alias("scores_in_range"))
 
 
-@register("importance_check", "SELECT 7 AS features, 1.0 AS total, true AS sorted")
+@register("importance_check", with_(DOC_FEATURES) + """
+SELECT len(list_distinct(flatten(list(map_keys(m))))) AS features, 1.0 AS total, true AS sorted
+FROM (SELECT map {'n_chars': n_chars, 'n_words': n_words, 'n_lines': n_lines, 'upper_share': upper_share,
+                  'digit_share': digit_share, 'punct_share': punct_share, 'lang_code': lang_code} AS m
+      FROM doc_features)""")
 def importance_check(spark, sf_dir):
     """Importances sum to 1 and come sorted; the top three are the
     three largest."""
     from ..operators import classify as cl
-    from .q_models import gbt_importance
+    from .q_boost import gbt_importance
     imp = gbt_importance(spark, sf_dir)
     values = [r["importance"] for r in imp.collect()]  # a row per feature
     top = [r["importance"] for r in cl.importance_top(imp, 3).collect()]

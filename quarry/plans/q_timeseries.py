@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import timeseries as ts
@@ -165,42 +166,55 @@ SELECT series, w, step, k, w AS j, round(periodic, 6) AS value FROM ends""")
 def trend_period_windows(spark, sf_dir):
     """Gap-filled window of power_filled ++ periodic feature at the window end;
     windows whose feature is NULL are dropped (trap B6: aligned by k, not position)."""
-    g = cut_lineage(ts.periodic_feature(filled_grid(spark, sf_dir), "power_filled"))
-    win = ts.window_gap_fill(ts.sliding_windows(g, ["power_filled"]), "power_filled")
+    g = ts.periodic_feature(filled_grid(spark, sf_dir), "power_filled")
+    win = ts.window_gap_fill(ts.sliding_windows(g, ["power_filled", "periodic"]), "power_filled")
     keys = ["series", "w", "step", "k"]
-    ends = (win.select(*keys).distinct()
-            .withColumn("slot", F.col("k") * F.col("step") + F.col("w") - 1)
-            .join(g.select("series", "slot", "periodic"), ["series", "slot"])
-            .where(F.col("periodic").isNotNull()).drop("slot"))
-    body = win.join(ends.select(*keys), keys).select(*keys, "j", F.col("power_filled").alias("value"))
-    tail = ends.select(*keys, F.col("w").cast("long").alias("j"), F.col("periodic").alias("value"))
-    return body.unionByName(tail).withColumn("value", _r(F.col("value")))
+    last = F.col("j") == F.col("w") - 1
+    win = win.withColumn("_end", F.max(F.when(last, F.col("periodic"))).over(Window.partitionBy(*keys)))
+    body = F.struct("j", F.col("power_filled").alias("value"))
+    tail = F.struct(F.col("w").cast("long").alias("j"), F.col("_end").alias("value"))
+    rows = F.when(last, F.array(body, tail)).otherwise(F.array(body))
+    win = win.where(F.col("_end").isNotNull()).select(*keys, F.explode(rows).alias("_r"))
+    return win.select(*keys, "_r.j", _r(F.col("_r.value")).alias("value"))
+
+
+def _around(v: str) -> str:
+    """What a gap of column ``v`` is filled from, within its window."""
+    at = f"CASE WHEN {v} IS NOT NULL THEN j END"
+    return f"""
+            last_value({v} IGNORE NULLS) OVER before AS p{v}, last_value({at} IGNORE NULLS) OVER before AS pj{v},
+            first_value({v} IGNORE NULLS) OVER after AS n{v}, first_value({at} IGNORE NULLS) OVER after AS nj{v},
+            count({v}) OVER whole AS has{v}"""
+
+
+def _gap(v: str) -> str:
+    return (f"CASE WHEN {v} IS NOT NULL THEN {v} WHEN p{v} IS NULL THEN n{v} WHEN n{v} IS NULL THEN p{v} "
+            f"ELSE p{v} + (n{v} - p{v}) * (j - pj{v}) / (nj{v} - pj{v}) END")
 
 
 @register("joint_windows", with_(PV_GRID) + FILL_SQL + """,
-win AS (""" + _win_sql("power_filled") + """),
-""" + GAP_SQL.lstrip(",").replace("gap AS", "gap_p AS") + """,
-win2 AS (""" + _win_sql("generation_filled") + """),
-""" + GAP_SQL.lstrip(",").replace("FROM win)", "FROM win2)").replace("nb AS", "nb2 AS").replace("FROM nb ", "FROM nb2 ")
-    .replace("gap AS", "gap_g AS") + """
-SELECT p.series, p.w, p.step, p.k, p.j, round(p.v, 6) AS value FROM gap_p p
-  WHERE EXISTS (SELECT 1 FROM gap_g g WHERE g.series = p.series AND g.w = p.w AND g.step = p.step AND g.k = p.k)
-UNION ALL
-SELECT g.series, g.w, g.step, g.k, g.j + g.w AS j, round(g.v, 6) AS value FROM gap_g g
-  WHERE EXISTS (SELECT 1 FROM gap_p p WHERE g.series = p.series AND g.w = p.w AND g.step = p.step AND g.k = p.k)""")
+win AS MATERIALIZED (""" + _win_sql("power_filled AS a, generation_filled").replace("AS v", "AS b") + """),
+nb AS MATERIALIZED (
+  SELECT *, """ + _around("a") + ", " + _around("b") + """
+  FROM win
+  WINDOW before AS (PARTITION BY series, w, step, k ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         after AS (PARTITION BY series, w, step, k ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+         whole AS (PARTITION BY series, w, step, k)),
+both_filled AS MATERIALIZED (
+  SELECT series, w, step, k, j, """ + _gap("a") + " AS a, " + _gap("b") + """ AS b FROM nb WHERE hasa > 0 AND hasb > 0)
+SELECT series, w, step, k, j, round(a, 6) AS value FROM both_filled
+UNION ALL SELECT series, w, step, k, j + w AS j, round(b, 6) AS value FROM both_filled""")
 def joint_windows(spark, sf_dir):
     """Power window ++ generation window, each gap-filled on its own, joined on
-    the window key (trap B7: not zipped by position).  Generation occupies j in [w, 2w)."""
-    g = filled_grid(spark, sf_dir)
+    the window key (trap B7: not zipped by position).  Generation occupies j in
+    [w, 2w).  Both values go through one window group."""
     keys = ["series", "w", "step", "k"]
-    p = ts.window_gap_fill(ts.sliding_windows(g, ["power_filled"]), "power_filled")
-    q = ts.window_gap_fill(ts.sliding_windows(g, ["generation_filled"]), "generation_filled")
-    pk, qk = p.select(*keys).distinct(), q.select(*keys).distinct()
-    both = pk.join(qk, keys)
-    pp = p.join(both, keys, "left_semi").select(*keys, "j", F.col("power_filled").alias("value"))
-    qq = q.join(both, keys, "left_semi").select(*keys, (F.col("j") + F.col("w")).alias("j"),
-                                                 F.col("generation_filled").alias("value"))
-    return pp.unionByName(qq).withColumn("value", _r(F.col("value")))
+    win = ts.sliding_windows(filled_grid(spark, sf_dir), ["power_filled", "generation_filled"])
+    win = ts.window_gap_fill(ts.window_gap_fill(win, "power_filled"), "generation_filled")
+    rows = F.array(F.struct("j", F.col("power_filled").alias("value")),
+                   F.struct((F.col("j") + F.col("w")).alias("j"), F.col("generation_filled").alias("value")))
+    win = win.select(*keys, F.explode(rows).alias("_r"))
+    return win.select(*keys, "_r.j", _r(F.col("_r.value")).alias("value"))
 
 
 # Six half-open slices, in the spirit of the reference's H1/H2/year/month/day cuts,
