@@ -112,49 +112,94 @@ def pca_2d(vdf: DataFrame, keep: Sequence[str]) -> DataFrame:
     return out.select(*keep, (F.col("_pc")[0] * signs[0]).alias("pc1"), (F.col("_pc")[1] * signs[1]).alias("pc2"))
 
 
-def ward_on_centroids(cent: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Weighted Ward agglomeration of micro-cluster centroids down to ``k``
-    groups (merge cost n_a n_b / (n_a + n_b) * |c_a - c_b|^2)."""
-    groups = [[i] for i in range(len(cent))]
-    c = [cent[i].astype(float) for i in range(len(cent))]
-    w = [float(x) for x in weights]
-    while len(groups) > k:
-        best, bi = None, None
-        for i in range(len(groups)):
-            for j in range(i + 1, len(groups)):
-                d = w[i] * w[j] / (w[i] + w[j]) * float(np.sum((c[i] - c[j]) ** 2))
-                if best is None or d < best:
-                    best, bi = d, (i, j)
-        i, j = bi
-        c[i] = (c[i] * w[i] + c[j] * w[j]) / (w[i] + w[j])
+def ward_linkage(cent: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """C4: (left, right, height, size) per merge of weighted points, lowest
+    first, clusters numbered on from the points: Ward's agglomeration along
+    nearest-neighbour chains, distances updated by the Lance-Williams rule, so
+    the work is quadratic in the points.  A height is sqrt(2 n_a n_b / (n_a +
+    n_b)) times the distance of the two centroids."""
+    n = len(cent)
+    w = np.array(weights, float)
+    square = ((cent[:, None] - cent[None]) ** 2).sum(axis=2) * (2 * w[:, None] * w[None] / (w[:, None] + w[None]))
+    np.fill_diagonal(square, np.inf)
+    alive = np.ones(n, bool)
+    chain: list[int] = []
+    merges = []
+    for _ in range(n - 1):
+        if not chain:
+            chain = [int(np.flatnonzero(alive)[0])]
+        while True:
+            top = chain[-1]
+            near = int(np.argmin(np.where(alive, square[top], np.inf)))
+            if len(chain) > 1 and square[top, chain[-2]] <= square[top, near]:
+                near = chain[-2]  # the two are each other's nearest
+                break
+            chain.append(near)
+        chain = chain[:-2]
+        i, j = min(top, near), max(top, near)
+        merges.append((square[i, j], i, j))
+        both = ((w + w[i]) * square[i] + (w + w[j]) * square[j] - w * square[i, j]) / (w + w[i] + w[j])
+        square[i] = square[:, i] = both
+        square[i, i] = np.inf
+        square[j] = square[:, j] = np.inf
+        alive[j] = False
         w[i] += w[j]
-        groups[i] += groups[j]
-        del groups[j], c[j], w[j]
-    label = np.zeros(len(cent), dtype=int)
-    order = sorted(range(len(groups)), key=lambda g: min(groups[g]))
-    for new, g in enumerate(order):
-        label[groups[g]] = new
+    name, size, out = np.arange(n), np.array(weights, float), []
+    parent = np.arange(n)
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for step, (d, i, j) in enumerate(sorted(merges, key=lambda m: (m[0], m[1], m[2]))):
+        a, b = root(i), root(j)
+        left, right = sorted((int(name[a]), int(name[b])))
+        parent[b], size[a], name[a] = a, size[a] + size[b], n + step
+        out.append((left, right, float(np.sqrt(max(d, 0.0))), float(size[a])))
+    return np.array(out).reshape(-1, 4)
+
+
+def cut_linkage(links: np.ndarray, points: int, k: int) -> np.ndarray:
+    """Labels 0 to k - 1 of the points where the tree has ``k`` clusters left,
+    numbered by their first points."""
+    group = {i: [i] for i in range(points)}
+    for step, (left, right, _, _) in enumerate(links[:points - k]):
+        group[points + step] = group.pop(int(left)) + group.pop(int(right))
+    label = np.zeros(points, int)
+    for new, members in enumerate(sorted(group.values(), key=min)):
+        label[members] = new
     return label
 
 
-def ward_two_phase(vdf: DataFrame, k: int, keep: Sequence[str], micro: int = 100, seed: int = 42) -> DataFrame:
-    """C4: ``micro`` k-means micro-clusters on Spark, Ward on their weighted
-    centroids (so many points on the driver, whatever the data size), labels
-    joined back by micro id.  ``micro`` is a parameter of the result: at most
-    the number of rows, or an error is raised."""
-    n = vdf.count()
-    if not k <= micro <= n:
-        raise ValueError(f"micro must be between k = {k} and the number of rows, {n}")
+def _micro(vdf: DataFrame, micro: int, seed: int):
+    """(rows with their micro-cluster, its ids, centroids and sizes)."""
     m = KMeans(k=micro, seed=seed, featuresCol="features").fit(vdf)
     pred = m.transform(vdf)
     sizes = {r["prediction"]: r["count"] for r in pred.groupBy("prediction").count().collect()}
-    centers = np.array(m.clusterCenters())
     ids = sorted(sizes)
-    lab = ward_on_centroids(centers[ids], np.array([sizes[i] for i in ids]), k)
-    mapping = vdf.sparkSession.createDataFrame([(int(i), int(lab[j])) for j, i in enumerate(ids)],
-                                               "prediction int, cluster int")
-    return pred.withColumn("prediction", F.col("prediction").cast("int")).join(mapping, "prediction") \
-               .select(*keep, "cluster")
+    return pred, ids, np.array(m.clusterCenters())[ids], np.array([sizes[i] for i in ids])
+
+
+def ward_two_phase(vdf: DataFrame, k: int, keep: Sequence[str], micro: int = 100, seed: int = 42
+                   ) -> tuple[DataFrame, DataFrame]:
+    """C4: (labels, linkage): ``micro`` k-means micro-clusters on Spark, Ward on
+    their weighted centroids (so many points on the driver, whatever the data
+    size), labels joined back by micro id; the linkage holds step, left_id,
+    right_id, height and size in rows.  ``micro`` is a parameter of the result: at
+    most the number of rows, or an error is raised."""
+    n = vdf.count()
+    if not k <= micro <= n:
+        raise ValueError(f"micro must be between k = {k} and the number of rows, {n}")
+    pred, ids, cent, sizes = _micro(vdf, micro, seed)
+    links = ward_linkage(cent, sizes)
+    lab = cut_linkage(links, len(ids), min(k, len(ids)))
+    spark = vdf.sparkSession
+    mapping = spark.createDataFrame([(int(i), int(lab[j])) for j, i in enumerate(ids)], "prediction int, cluster int")
+    table = spark.createDataFrame([(i, int(a), int(b), float(h), int(s)) for i, (a, b, h, s) in enumerate(links)],
+                                  "step int, left_id int, right_id int, height double, size long")
+    return pred.withColumn("prediction", F.col("prediction").cast("int")).join(mapping, "prediction").select(
+        *keep, "cluster"), table
 
 
 def subset_vectors(df: DataFrame, vec: str, start: int, stop: int, out: str = "v") -> DataFrame:

@@ -1,14 +1,10 @@
 """Frequent itemsets and association rules.
 
-Baskets live in long form ``(tid, item)``.  Apriori is level-wise joins:
-
-* L1 is a grouped count (map-side combined, so a hot item costs nothing extra);
-* basket items are restricted to frequent items by a join with L1, which is
-  small: sum of supports = mean basket length, so |L1| <= mean_len / min_support;
-* level k extends each basket's frequent (k-1)-itemsets by a larger frequent
-  item of the same basket (equi-join on tid) and counts.  Per basket this emits
-  at most C(|L1|, k) rows, a constant fixed by min_support and max_len, not by
-  the data size; the count is a partial+final hash aggregate.
+A basket is a row with its items.  Apriori works in the row: baskets are cut to
+the frequent items, each makes its sets of the next length from its own frequent
+sets, and only the sets' counts are shuffled, one exchange a level.  Per basket
+this makes at most C(|L1|, k) sets, a constant fixed by the support and the
+length, not by the data size.
 
 Support is ``count / N`` compared as a double, like the reference.  Rules use
 every antecedent / consequent split of each frequent itemset (Spark's own
@@ -302,3 +298,33 @@ __all__ = ["baskets", "item_frequency", "basket_stats", "apriori", "fpgrowth", "
            "rule_text", "top_rules", "top_rules_per_metric", "top_itemsets_per_length", "outcome_rules",
            "rule_graph", "node_degree", "rule_matrix", "support_sweep", "parity", "length_distribution",
            "metric_ranges", "adaptive_min_support", "Window"]
+
+
+# ---------------------------------------------------------------- encoded baskets
+
+def encode_baskets(baskets: DataFrame, items: str = "items", vocabulary: int = 1 << 18):
+    """(model, rows with ``encoded``): one sparse 0/1 vector per basket, the
+    items in the order of their frequency; at most ``vocabulary`` items, an
+    error beyond (nothing is left out in silence)."""
+    from pyspark.ml.feature import CountVectorizer
+    model = CountVectorizer(inputCol=items, outputCol="encoded", binary=True, vocabSize=vocabulary).fit(baskets)
+    if len(model.vocabulary) == vocabulary:
+        raise ValueError(f"{vocabulary} items or more")
+    return model, model.transform(baskets)
+
+
+def encoded_item_sums(model, encoded: DataFrame) -> DataFrame:
+    """(item, n): column sums of the encoded baskets, added up sparsely."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+    total = encoded.select(vector_to_array(Summarizer.sum(F.col("encoded"))).alias("s"))
+    names = F.array(*[F.lit(i) for i in model.vocabulary])
+    rows = total.select(F.explode(F.arrays_zip(names.alias("item"), F.col("s").alias("n"))).alias("r"))
+    return rows.select("r.item", F.col("r.n").cast("long").alias("n"))
+
+
+def encoded_sizes(encoded: DataFrame, key: str = "tid") -> DataFrame:
+    """(key, size): row sums of the encoded baskets."""
+    from pyspark.ml.functions import vector_to_array
+    ones = F.aggregate(vector_to_array("encoded"), F.lit(0.0), lambda s, x: s + x)
+    return encoded.select(key, ones.cast("int").alias("size"))

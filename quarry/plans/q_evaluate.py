@@ -3,6 +3,7 @@ K9-K13, A26, A33, C3)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
@@ -135,13 +136,35 @@ def two_group_compare(spark, sf_dir):
     return t.select("feature", *[_r(F.col(c)).alias(c) for c in t.columns if c != "feature"])
 
 
-@register("two_group_pvalues")
+@register("two_group_pvalues", with_(LAB).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+lg AS (SELECT *, CAST(grp = 'R' AS INTEGER) AS g FROM lab), s AS ({_TG}),
+t AS (SELECT *, (m0 - m1) / sqrt(v0 / n0 + v1 / n1) AS t,
+             (v0 / n0 + v1 / n1) ^ 2 / ((v0 / n0) ^ 2 / (n0 - 1) + (v1 / n1) ^ 2 / (n1 - 1)) AS df FROM s),
+b AS (SELECT *, df / 2 AS a, df / (df + t * t) AS x, df / (df + t * t) >= (df / 2 + 1) / (df / 2 + 2.5) AS turn FROM t),
+p AS (SELECT *, CASE WHEN turn THEN 0.5 ELSE a END AS fa, CASE WHEN turn THEN a ELSE 0.5 END AS fb,
+             CASE WHEN turn THEN 1 - x ELSE x END AS fx FROM b),
+cf(feature, m, fa, fb, fx, c, d, h) AS (
+  SELECT feature, 0, fa, fb, fx, 1.0::DOUBLE, 1 / (1 - (fa + fb) * fx / (fa + 1)), 1 / (1 - (fa + fb) * fx / (fa + 1)) FROM p
+  UNION ALL
+  SELECT feature, m, fa, fb, fx, 1 + o / c1, 1 / (1 + o * d1), h * d1 * c1 * (1 / (1 + o * d1)) * (1 + o / c1)
+  FROM (SELECT *, 1 / (1 + e * d) AS d1, 1 + e / c AS c1 FROM (
+    SELECT feature, m + 1 AS m, fa, fb, fx, c, d, h,
+           (m + 1) * (fb - m - 1) * fx / ((fa - 1 + 2 * (m + 1)) * (fa + 2 * (m + 1))) AS e,
+           -(fa + m + 1) * (fa + fb + m + 1) * fx / ((fa + 2 * (m + 1)) * (fa + 1 + 2 * (m + 1))) AS o
+    FROM cf WHERE m < 300))),
+r AS (SELECT p.*, exp(a * ln(x) + 0.5 * ln(t * t / (df + t * t)) - (lgamma(a) + lgamma(0.5) - lgamma(a + 0.5)))
+                  * cf.h / p.fa AS part FROM p JOIN cf ON cf.feature = p.feature AND cf.m = 300)
+SELECT feature, round(m1 - m0, 6) AS mean_diff, round(t, 6) AS t_statistic,
+       round(CASE WHEN turn THEN 1 - part ELSE part END, 6) AS p_value,
+       row_number() OVER (ORDER BY abs(m1 - m0) DESC, feature)::INTEGER AS place FROM r""")
 def two_group_pvalues(spark, sf_dir):
-    """A26 with the two-sided Welch p-value (Student-t tail in a pandas UDF on
-    one row per feature), ordered by |mean_diff| as in the reference (T7)."""
+    """A26 with the two-sided Welch p-value, ordered by |mean_diff| as in the
+    reference (T7); ``place`` is a row's place in that order (a row per feature)."""
     lab = fx.lab(spark, sf_dir).withColumn("g", (F.col("grp") == "R").cast("int"))
     t = ev.two_group_compare(lab, "g", TG_COLS, with_p=True)
-    return t.orderBy(F.abs("mean_diff").desc(), "feature")
+    place = F.row_number().over(Window.orderBy(F.abs("mean_diff").desc(), "feature"))
+    return t.select("feature", _r(F.col("mean_diff")).alias("mean_diff"), _r(F.col("t_statistic")).alias("t_statistic"),
+                    _r(F.col("p_value")).alias("p_value"), place.alias("place")).orderBy("place")
 
 
 @register("cluster_quality", """
@@ -192,3 +215,31 @@ def undersample(spark, sf_dir):
     """K7: majority class sampled down to the minority size (1:1)."""
     u = ev.undersample(fx.scores(spark, sf_dir), "y", "doc_id", 1.0)
     return u.groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+RANK_SQL = with_(SCORES) + """,
+ranked AS (SELECT doc_id, y, count(*) OVER (PARTITION BY y) AS n,
+                  row_number() OVER (PARTITION BY y ORDER BY ('0x' || md5(doc_id || ':42')[1:12])::BIGINT, doc_id) - 1
+                      AS rank
+           FROM scores)
+"""
+
+
+@register("fold_rows", RANK_SQL + "SELECT doc_id, y, (rank % 10)::INTEGER AS fold FROM ranked")
+def fold_rows(spark, sf_dir):
+    """K2 by row: every document in exactly one of ten folds."""
+    return ev.stratified_folds(fx.scores(spark, sf_dir), "y", "doc_id", k=10).select("doc_id", "y", "fold")
+
+
+@register("split_rows", RANK_SQL + """
+SELECT doc_id, y, CASE WHEN rank < ceil(n * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM ranked""")
+def split_rows(spark, sf_dir):
+    """K5 by row."""
+    return ev.stratified_split(fx.scores(spark, sf_dir), "y", "doc_id", 0.2).select("doc_id", "y", "split")
+
+
+@register("undersample_rows", RANK_SQL + """
+SELECT doc_id, y FROM ranked WHERE n = (SELECT min(n) FROM ranked) OR rank < (SELECT min(n) FROM ranked)""")
+def undersample_rows(spark, sf_dir):
+    """K7 by row: all of the smaller class, the first ones of the larger."""
+    return ev.undersample(fx.scores(spark, sf_dir), "y", "doc_id", 1.0).select("doc_id", "y")

@@ -312,3 +312,17 @@ def module_rules(spark, sf_dir):
                                 F.col("rule")], 20, salt_on=["rule"])
     return top.select("module", "rule", *[_r(F.col(c)).alias(c) for c in ("support", "confidence", "lift")],
                       F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("onehot_item_sums", base_sql() + """
+SELECT item, count(*) AS n FROM base GROUP BY item""")
+def onehot_item_sums(spark, sf_dir):
+    """Column sums of the one-hot baskets: the items' frequencies."""
+    return mi.encoded_item_sums(*mi.encode_baskets(fx.order_baskets(spark, sf_dir, "p_type")))
+
+
+@register("onehot_basket_sizes", base_sql() + """
+SELECT tid, count(*)::INTEGER AS size FROM base GROUP BY tid""")
+def onehot_basket_sizes(spark, sf_dir):
+    """Row sums of the one-hot baskets: their sizes."""
+    return mi.encoded_sizes(mi.encode_baskets(fx.order_baskets(spark, sf_dir, "p_type"))[1])

@@ -72,7 +72,24 @@ def pca_2d(spark, sf_dir):
 def ward_two_phase(spark, sf_dir):
     """C4: Ward clustering via k-means micro-clusters."""
     v = zvectors(spark, sf_dir)
-    return cu.ward_two_phase(v, K_OVERALL, ["vec_id", "label"])
+    return cu.ward_two_phase(v, K_OVERALL, ["vec_id", "label"])[0]
+
+
+@register("ward_linkage")
+def ward_linkage(spark, sf_dir):
+    """C4: the merge table (left, right, height, size) behind the labels."""
+    return cu.ward_two_phase(zvectors(spark, sf_dir), K_OVERALL, ["vec_id"])[1]
+
+
+@register("ward_check", "SELECT count(*) AS rows, count(*) AS last_size, 4 AS clusters, 0 AS falls FROM embeddings")
+def ward_check(spark, sf_dir):
+    """C4: every vector gets a label, the last merge holds all vectors, heights
+    never fall, and the cut leaves the clusters asked for."""
+    labels, links = cu.ward_two_phase(zvectors(spark, sf_dir), K_OVERALL, ["vec_id"])
+    links = links.collect()  # micro - 1 rows
+    falls = sum(b["height"] < a["height"] - 1e-9 for a, b in zip(links, links[1:]))
+    return labels.agg(F.count_distinct("vec_id").alias("rows"), F.lit(links[-1]["size"]).alias("last_size"),
+                      F.count_distinct("cluster").cast("int").alias("clusters"), F.lit(falls).alias("falls"))
 
 
 @register("subset_cluster")
