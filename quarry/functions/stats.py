@@ -17,7 +17,7 @@ def log_gamma(x: Column) -> Column:
     """ln Gamma for x > 0: Stirling's series at x + SHIFT, stepped back."""
     z = x + SHIFT
     series = (z - 0.5) * F.log(z) - z + 0.9189385332046727 + 1 / (12 * z) - 1 / (360 * z * z * z) + 1 / (
-        1260 * F.pow(z, F.lit(5)))
+        1260 * F.pow(z, F.lit(5))) - 1 / (1680 * F.pow(z, F.lit(7)))
     back = x
     for i in range(1, SHIFT):
         back = back * (x + i)

@@ -93,10 +93,14 @@ def select_k(vdf: DataFrame, ks: Sequence[int], vec: str = "v", n_init: int = 10
              "best_ch boolean, best_db boolean")
 
 
+def gmm_model(vdf: DataFrame, k: int, seed: int = 42) -> DataFrame:
+    """The rows with ``probability`` (per component) and ``prediction``."""
+    return GaussianMixture(k=k, seed=seed, featuresCol="features").fit(vdf).transform(vdf)
+
+
 def gmm_assign(vdf: DataFrame, k: int, keep: Sequence[str], seed: int = 42) -> DataFrame:
     """Gaussian mixture hard labels."""
-    m = GaussianMixture(k=k, seed=seed, featuresCol="features").fit(vdf)
-    return m.transform(vdf).select(*keep, F.col("prediction").cast("int").alias("cluster"))
+    return gmm_model(vdf, k, seed).select(*keep, F.col("prediction").cast("int").alias("cluster"))
 
 
 def pca_2d(vdf: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -172,6 +176,11 @@ def cut_linkage(links: np.ndarray, points: int, k: int) -> np.ndarray:
     return label
 
 
+def ward_on_centroids(cent: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+    """Labels of weighted points after Ward's agglomeration down to ``k`` groups."""
+    return cut_linkage(ward_linkage(cent, weights), len(cent), k)
+
+
 def _micro(vdf: DataFrame, micro: int, seed: int):
     """(rows with their micro-cluster, its ids, centroids and sizes)."""
     m = KMeans(k=micro, seed=seed, featuresCol="features").fit(vdf)
@@ -205,3 +214,14 @@ def ward_two_phase(vdf: DataFrame, k: int, keep: Sequence[str], micro: int = 100
 def subset_vectors(df: DataFrame, vec: str, start: int, stop: int, out: str = "v") -> DataFrame:
     """A positional slice of the vector as a feature subset."""
     return df.withColumn(out, F.slice(vec, start + 1, stop - start))
+
+
+def cluster_subset(vdf: DataFrame, ks: Sequence[int], keep: Sequence[str], n_init: int = 10, seed: int = 42) -> DataFrame:
+    """(keep..., k, cluster, pc1, pc2): k-means at the k of the best
+    silhouette (the smallest k on ties) and the two-dimensional projection.
+    The fits that k is chosen from are kept, so none is repeated."""
+    ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
+    fits = {k: kmeans_best(vdf, k, n_init, seed) for k in ks}
+    best = max(fits, key=lambda k: (ev.evaluate(fits[k].transform(vdf)), -k))
+    labels = assign(fits[best], vdf, keep).withColumn("k", F.lit(best))
+    return labels.join(pca_2d(vdf, keep), list(keep))

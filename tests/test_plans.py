@@ -11,7 +11,10 @@ SF = "/root/testdata/sf0.001"
 SLOW = {"gbt_cv", "grid_search", "module_classification", "gbt_predictions", "gbt_importance", "subset_cluster",
         "k_select", "period_anomalies", "ocsvm_points", "joint_anomalies", "window_anomalies", "anomaly_counts",
         "importance_check", "iforest_check", "kmeans_check", "model_round_trip", "iforest_points", "kmeans_assign",
-        "kmeans_profile", "gmm_assign", "ward_two_phase"}
+        "kmeans_profile", "gmm_assign", "ward_two_phase",
+        "gbt_fold_check", "gbt_leaf_check", "attribution_check", "attribution_rows", "attribution_mean",
+        "permutation_importance", "ward_linkage", "ward_check", "gmm_check", "ocsvm_check", "subset_assign",
+        "subset_check"}
 QUERIES = E.queries()
 
 
