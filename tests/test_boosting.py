@@ -115,7 +115,7 @@ def test_every_row_is_out_of_one_fold(spark):
 
 def test_metrics_of_groups(spark):
     rnd = np.random.default_rng(1)
-    rows = [(g, int(rnd.random() < 0.4), float(rnd.choice([0.1, 0.3, 0.5, 0.7, rnd.random().round(3)]))) for g in (1, 2, 3)
+    rows = [(g, int(rnd.random() < 0.4), float(rnd.choice([0.1, 0.3, 0.5, 0.7, round(rnd.random(), 3)]))) for g in (1, 2, 3)
             for _ in range(60)]
     got = {r["g"]: r for r in ev.grouped_metrics(spark.createDataFrame(rows, "g int, y int, score double"), ["g"]).collect()}
     for g in (1, 2, 3):
