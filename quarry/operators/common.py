@@ -61,6 +61,19 @@ def stats_row(df: DataFrame, **aggs: Column) -> dict:
     return {k: F.lit(row[k]) for k in aggs}
 
 
+def in_buckets(df: DataFrame, col: str, bounds: Sequence[float], out: str) -> DataFrame:
+    """``out``: which stretch between sorted ``bounds`` a value lies in, found by
+    binary search; equal values share one, null and NaN are in the first."""
+    from pyspark.ml.feature import Bucketizer
+    bounds = [float(b) for b in bounds if abs(b) != float("inf")]
+    if not bounds:
+        return df.withColumn(out, F.lit(0))
+    known = df.withColumn(col, F.when(~F.isnan(col), F.col(col)))
+    placed = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol=col, outputCol=out,
+                        handleInvalid="keep").transform(known)
+    return placed.withColumn(out, F.when(F.col(col).isNull(), 0).otherwise(F.col(out).cast("int")))
+
+
 def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], tiebreak: Sequence[str] = (),
                    buckets: int | None = None, prefix: str = "cum_", descending: bool = False) -> DataFrame:
     """Inclusive running sums of ``cols`` ordered by ``order_col`` (then
@@ -81,8 +94,7 @@ def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], tiebreak:
         bounds = sorted(set(b for b in bounds if b is not None))
     else:
         bounds = []
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    src = src.withColumn("_b", F.size(F.filter(arr, lambda x: x < F.col("_key"))))
+    src = in_buckets(src, "_key", bounds, "_b")
     tot = src.groupBy("_b").agg(*[F.sum(c).alias(c) for c in cols])
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])

@@ -285,34 +285,36 @@ def undersample(df: DataFrame, y: str, key: str, ratio: float = 1.0, seed: int =
 def cluster_quality(df: DataFrame, label: str, vec: str) -> DataFrame:
     """C3 on given labels: inertia (within SS), Calinski-Harabasz, Davies-Bouldin.
 
-    Centroids and within/between sums are grouped aggregates over the
-    (row, dim) unpivot; the k x k centroid separations are computed from the
-    collected k x d centroid matrix (bounded by the number of clusters)."""
-    long = df.select(label, F.posexplode(vec).alias("dim", "x"))
-    cent = long.groupBy(label, "dim").agg(F.avg("x").alias("c"), F.count(F.lit(1)).alias("n"))
-    glob = long.groupBy("dim").agg(F.avg("x").alias("g"))
-    j = long.join(cent.select(label, "dim", "c"), [label, "dim"])
-    within = j.groupBy(label).agg(F.sum((F.col("x") - F.col("c")) ** 2).alias("w"))
-    # per-row Euclidean distance to its centroid, for Davies-Bouldin's S_i
-    cvec = cent.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("dim", "c"))).alias("cv"))
-    rows = df.select(label, vec).join(cvec, label)
-    dist = F.sqrt(F.aggregate(F.zip_with(vec, F.col("cv.c"), lambda a, b: (a - b) * (a - b)),
-                              F.lit(0.0), lambda acc, v: acc + v))
-    s = rows.groupBy(label).agg(F.avg(dist).alias("s"), F.count(F.lit(1)).alias("n"))
-    cm = {r[label]: (r["s"], r["n"]) for r in s.collect()}
-    cents = {r[label]: np.array([c for _, c in r["cv"]]) for r in cvec.collect()}
-    wss = {r[label]: r["w"] for r in within.collect()}
-    g = np.array([r["g"] for r in glob.orderBy("dim").collect()])
-    labels = sorted(cents)
-    k, n = len(labels), sum(cm[lb][1] for lb in labels)
-    W = float(sum(wss.values()))
-    B = float(sum(cm[lb][1] * np.sum((cents[lb] - g) ** 2) for lb in labels))
+    Two scans without a shuffle of the rows: the mean vector of each label (a
+    bounded k x d matrix, taken to the driver), then the distances to it."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    rows = df.select(label, F.col(vec).alias("_v")).where(F.col(label).isNotNull() & F.col("_v").isNotNull())
+    means = rows.groupBy(label).agg(Summarizer.mean(array_to_vector("_v")).alias("m"), F.count(F.lit(1)).alias("n"))
+    means = {r[label]: (np.array(r["m"]), r["n"]) for r in means.select(label, vector_to_array("m").alias("m"), "n").collect()}
+    labels = sorted(means)
+    k, n = len(labels), sum(c for _, c in means.values())
+    schema = "inertia double, calinski_harabasz double, davies_bouldin double, k int, n long"
+    if not k:
+        return df.sparkSession.createDataFrame([(0.0, 0.0, 0.0, 0, 0)], schema)
+    centres = F.create_map(*[F.lit(x) for lb in labels for x in (lb, means[lb][0].tolist())])
+    square = F.aggregate(F.zip_with("_v", F.element_at(centres, F.col(label)), lambda a, b: (a - b) * (a - b)),
+                         F.lit(0.0), lambda acc, v: acc + v)
+    spread = rows.select(label, square.alias("q")).groupBy(label).agg(F.sum("q").alias("w"), F.avg(F.sqrt("q")).alias("s"))
+    spread = {r[label]: (r["w"], r["s"]) for r in spread.collect()}
+    g = sum(m * c for m, c in means.values()) / n
+    W = float(sum(w for w, _ in spread.values()))
+    B = float(sum(c * np.sum((m - g) ** 2) for m, c in means.values()))
     ch = (B / (k - 1)) / (W / (n - k)) if k > 1 and n > k and W > 0 else 0.0
-    db = 0.0
-    for i in labels:
-        db += max(((cm[i][0] + cm[j][0]) / np.linalg.norm(cents[i] - cents[j]))
-                  for j in labels if j != i) if k > 1 else 0.0
-    db = db / k if k else 0.0
-    return df.sparkSession.createDataFrame([(W, float(ch), float(db), k, n)],
-                                           "inertia double, calinski_harabasz double, davies_bouldin double, "
-                                           "k int, n long")
+    db = float(np.mean([max((spread[i][1] + spread[j][1]) / np.linalg.norm(means[i][0] - means[j][0])
+                            for j in labels if j != i) for i in labels])) if k > 1 else 0.0
+    return df.sparkSession.createDataFrame([(W, float(ch), db, k, n)], schema)
+
+
+def silhouette(df: DataFrame, label: str, vec: str) -> float:
+    """Mean silhouette of given labels with squared Euclidean distances,
+    from sums per cluster (Spark's evaluator), not from pairs of rows."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+    rows = df.select(F.col(label).cast("double").alias("prediction"), array_to_vector(vec).alias("features"))
+    return ClusteringEvaluator().evaluate(rows)

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import join_small, top_k
 
 RULE_METRICS = ("support", "confidence", "lift", "leverage", "conviction", "zhang")
@@ -38,18 +39,29 @@ def basket_items(b: DataFrame, tid: str = "tid") -> DataFrame:
     return b.select(tid, F.explode("items").alias("item"))
 
 
-def item_frequency(b: DataFrame, tid: str = "tid") -> DataFrame:
+def _item_counts(b: DataFrame) -> DataFrame:
+    """(item, n, mean_len, max_len): baskets per item, and in the row of the
+    null item all baskets and their lengths; the baskets are read once and this
+    table, a row per item, is kept."""
+    every = b.select("size", F.explode(F.concat("items", F.array(F.lit(None).cast("string")))).alias("item"))
+    return cut_lineage(every.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean_len"),
+                                                 F.max("size").alias("max_len")))
+
+
+def item_frequency(b: DataFrame) -> DataFrame:
     """Count per item and percent of baskets."""
-    n = b.select(F.count(F.lit(1))).scalar()
-    return (basket_items(b, tid).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("pct", F.col("n") * 100.0 / n))
+    counts = _item_counts(b)
+    n = counts.where("item IS NULL").select("n").first()
+    return counts.where("item IS NOT NULL").select("item", "n", (F.col("n") * 100.0 / F.lit(n[0] if n else 1)).alias("pct"))
 
 
 def basket_stats(b: DataFrame) -> DataFrame:
     """Number of baskets, mean / max length, distinct items."""
-    items = basket_items(b).select(F.count_distinct("item").alias("distinct_items"))
-    return b.agg(F.count(F.lit(1)).alias("baskets"), F.avg("size").alias("mean_len"),
-                 F.max("size").alias("max_len"), items.scalar().alias("distinct_items"))
+    whole = F.col("item").isNull()
+    return _item_counts(b).agg(
+        F.coalesce(F.max(F.when(whole, F.col("n"))), F.lit(0)).alias("baskets"),
+        F.max(F.when(whole, F.col("mean_len"))).alias("mean_len"), F.max(F.when(whole, F.col("max_len"))).alias("max_len"),
+        F.count("item").alias("distinct_items"))
 
 
 def adaptive_min_support(n_baskets: int) -> tuple[float, float]:
@@ -72,7 +84,6 @@ def apriori(b: DataFrame, min_support: float, max_len: int = 3, tid: str = "tid"
     several modules are mined in the same pass.  A level's frequent sets (a
     number set by ``min_support`` and the basket length, not by the data) go
     back to the baskets as one array per group."""
-    from ..session import cut_lineage
     g = [group] if group else []
     if group:
         n_tab = cut_lineage(b.groupBy(group).agg(F.count(F.lit(1)).cast("double").alias("_n")))

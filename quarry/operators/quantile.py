@@ -42,9 +42,9 @@ def exact_quantiles(counts: DataFrame, keys: Sequence[str], qs: Sequence[float],
     """(keys..., total, q array): linearly interpolated quantiles (numpy's and
     DuckDB's ``quantile_cont``) of counted values, in the order of ``qs``;
     ``position`` gives another place than (n - 1) q, as a function of n."""
-    keys = list(keys) or ["_all"]
-    if keys == ["_all"]:
-        counts = counts.withColumn("_all", F.lit(0))
+    keys = list(keys)
+    if not keys:
+        raise ValueError("a key is needed here; row_quantiles takes whole columns")
     grid = [i / buckets for i in range(1, buckets)]
     bounds = cut_lineage(counts.groupBy(*keys).agg(
         F.percentile_approx(x, grid, 10 * buckets).alias("_bounds"), F.sum("n").alias("total")))
@@ -76,7 +76,7 @@ def exact_quantiles(counts: DataFrame, keys: Sequence[str], qs: Sequence[float],
     value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
     out = one.groupBy(*keys, "total").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", value.alias("v")))),
                                                       lambda s: s["v"]).alias("q"))
-    return out.drop("_all")
+    return out
 
 
 def row_quantiles(df: DataFrame, keys: Sequence[str], qs: Sequence[float], x: str = "x",

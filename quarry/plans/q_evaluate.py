@@ -190,6 +190,19 @@ def cluster_quality(spark, sf_dir):
                     _r(F.col("davies_bouldin")).alias("davies_bouldin"), "k", "n")
 
 
+@register("cluster_silhouette", """
+WITH v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+m AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.v, b.v) ^ 2) AS d, count(*) AS n FROM v a, v b GROUP BY ALL),
+s AS (SELECT vec_id, max(CASE WHEN label = other THEN CASE WHEN n > 1 THEN d / (n - 1) END END) AS a,
+             min(CASE WHEN label <> other THEN d / n END) AS b FROM m GROUP BY vec_id)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0 WHEN greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM s""")
+def cluster_silhouette(spark, sf_dir):
+    """Mean silhouette of the given embedding labels (squared distances)."""
+    value = ev.silhouette(fx.vectors(spark, sf_dir), "label", "v")
+    return spark.createDataFrame([(round(value, 6),)], "silhouette double")
+
+
 @register("stratified_folds", with_(SCORES) + """
 SELECT y, CAST((row_number() OVER (PARTITION BY y ORDER BY doc_id) - 1) % 10 AS INTEGER) AS fold FROM scores""".replace(
     "SELECT y, CAST", "SELECT y, fold, count(*) AS n FROM (SELECT y, CAST") + ") GROUP BY y, fold")

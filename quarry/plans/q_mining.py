@@ -89,14 +89,14 @@ METRIC_COLS = ("antecedent_support", "consequent_support", "support", "confidenc
 SELECT tid, array_to_string(list_sort(list(item)), '|') AS items, count(*) AS size FROM base GROUP BY tid""")
 def basket_build(spark, sf_dir):
     """One basket per order: distinct part types + the order-status outcome item."""
-    b = type_baskets(spark, sf_dir)
+    b = fx.order_baskets(spark, sf_dir, "p_type")
     return b.select("tid", F.array_join("items", "|").alias("items"), "size")
 
 
 @register("item_freq", base_sql() + """
 SELECT item, count(*) AS n, round(count(*) * 100.0 / (SELECT n FROM nb), 6) AS pct FROM base GROUP BY item""")
 def item_freq(spark, sf_dir):
-    f = mi.item_frequency(type_baskets(spark, sf_dir))
+    f = mi.item_frequency(fx.order_baskets(spark, sf_dir, "p_type"))
     return f.withColumn("pct", _r(F.col("pct")))
 
 
@@ -105,7 +105,7 @@ SELECT count(*) AS baskets, round(avg(size), 6) AS mean_len, max(size) AS max_le
        (SELECT count(DISTINCT item) FROM base) AS distinct_items
 FROM (SELECT tid, count(*) AS size FROM base GROUP BY tid)""")
 def basket_stats(spark, sf_dir):
-    s = mi.basket_stats(type_baskets(spark, sf_dir))
+    s = mi.basket_stats(fx.order_baskets(spark, sf_dir, "p_type"))
     return s.withColumn("mean_len", _r(F.col("mean_len")))
 
 
@@ -266,7 +266,7 @@ SELECT CAST(tid AS VARCHAR) || ': ' || array_to_string(list_sort(list(item)), ',
 def basket_lines(spark, sf_dir):
     """The text form of every basket ('tid: item, item')."""
     from ..sources.files import basket_line
-    return type_baskets(spark, sf_dir).select(basket_line().alias("line"))
+    return fx.order_baskets(spark, sf_dir, "p_type").select(basket_line().alias("line"))
 
 
 MODULE_SUPPORT, MODULE_MAX_LEN = 0.05, 2

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import outlier as ol
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 from .registry import register
 from .sqlfix import SCALE_ERRORS, with_
@@ -80,3 +81,25 @@ def kde_outliers(spark, sf_dir):
     """O1 + O2 end to end: flagged cells from the learned bands."""
     lv = _lv(spark, sf_dir)
     return ol.flagged_cells(lv, ol.scale_bands(lv))
+
+
+@register("kde_check", with_(SCALE_ERRORS) + """
+SELECT 'price' AS feature, count(*) AS n, true AS members_hold, true AS flags_hold FROM scale_errors WHERE price > 0""")
+def kde_check(spark, sf_dir):
+    """O1: members of the learned price bands, recounted by comparisons with
+    each band alone, and the cells flagged: exactly those of the sparse bands."""
+    lv = _lv(spark, sf_dir).where("feature = 'price'")
+    bands = cut_lineage(ol.scale_bands(lv))
+    told = ol.band_shares(lv, bands).orderBy("band").collect()  # a few bands
+    lx = F.col("lx")
+    inside = [lx.between(b["lo"], b["hi"]) for b in told]
+    sparse = [c for b, c in zip(told, inside, strict=True) if b["members"] / b["n"] < 0.01]
+    flagged = F.lit(False)
+    for c in sparse:
+        flagged = flagged | c
+    again = lv.agg(F.count(F.lit(1)).alias("n"), F.count_if(flagged).alias("f"),
+                   *[F.count_if(c).alias(f"m{i}") for i, c in enumerate(inside)]).first()
+    holds = all(again[f"m{i}"] == b["members"] and again["n"] == b["n"] for i, b in enumerate(told))
+    cells = ol.flagged_cells(lv, bands).count()
+    return spark.createDataFrame([("price", again["n"], holds and len(told) > 1, cells == again["f"] and cells > 0)],
+                                 "feature string, n long, members_hold boolean, flags_hold boolean")

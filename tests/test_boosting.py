@@ -148,6 +148,19 @@ def test_null_features_go_left(spark, value):
     assert a == b
 
 
+def test_a_constant_feature_loses_nothing(spark):
+    """Permuting it changes no score, whatever the model."""
+    _, df = data(spark, 100)
+    df = df.withColumn("c", F.lit(1.5))
+    forest, _ = bo.fit(df, "id", "y", COLS, [bo.Params(trees=4, depth=3)])
+    turned = ev.permuted(df, "id", ["c", "a"])
+    before = {r["id"]: r["margin"] for r in bo.predict(forest, df, "id").collect()}
+    same = bo.predict(forest, turned.drop("c").withColumnRenamed("c_permuted", "c"), "id").collect()
+    other = bo.predict(forest, turned.drop("a").withColumnRenamed("a_permuted", "a"), "id").collect()
+    assert all(before[r["id"]] == r["margin"] for r in same)
+    assert any(before[r["id"]] != r["margin"] for r in other)
+
+
 def test_grid_makes_all_combinations():
     made = bo.grid(bo.Params(), depth=(2, 4), rate=(0.1,), gamma=(0.0, 0.5))
     assert len(made) == 4 and {(p.depth, p.gamma) for p in made} == {(2, 0.0), (2, 0.5), (4, 0.0), (4, 0.5)}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.stats import log_gamma, t_two_sided_p
-from quarry.operators import cluster, mining, quantile
+from quarry.operators import cluster, common, evaluate, mining, quantile
 
 QS = (0.0, 0.01, 0.25, 0.5, 1 / 3, 0.75, 0.99, 1.0)
 
@@ -108,3 +108,35 @@ def test_one_hot_baskets(spark):
     assert {r["tid"]: r["size"] for r in mining.encoded_sizes(encoded).collect()} == {1: 2, 2: 3, 3: 1, 4: 0}
     with pytest.raises(ValueError):
         mining.encode_baskets(df, vocabulary=4)
+
+
+def test_adaptive_support_falls_back(spark):
+    """No pair reaches 10 of 12 baskets, so the second support (5 of 12) holds."""
+    rows = [(i, ["a", "b"] if i < 6 else ["c", f"x{i}"]) for i in range(12)]
+    df = spark.createDataFrame(rows, "tid int, items array<string>").withColumn("size", F.size("items"))
+    got = {tuple(r["items"]): r["count"] for r in mining.adaptive_itemsets(df, 2).collect()}
+    assert got == {("a",): 6, ("b",): 6, ("c",): 6, ("a", "b"): 6}
+    stats = mining.basket_stats(df).first()
+    assert (stats["baskets"], stats["mean_len"], stats["max_len"], stats["distinct_items"]) == (12, 2.0, 2, 9)
+    assert mining.basket_stats(df.where("tid < 0")).first()["baskets"] == 0
+
+
+@pytest.mark.parametrize("bounds", [[], [0.0], [-1.0, 0.0, 2.5, 7.0]])
+def test_buckets_by_binary_search(spark, bounds):
+    xs = [-5.0, -1.0, -0.5, 0.0, 2.5, 2.6, 7.0, 9.0, None, float("nan")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
+    got = [r["b"] for r in common.in_buckets(df, "x", bounds, "b").orderBy("i").collect()]
+    assert got == [0 if x is None or x != x else sum(b <= x for b in bounds) for x in xs]
+
+
+def test_silhouette_of_pairs(spark):
+    rnd = np.random.default_rng(2)
+    v, label = rnd.normal(size=(40, 3)), rnd.integers(0, 3, 40)
+    d = ((v[:, None] - v[None]) ** 2).sum(axis=2)
+    s = []
+    for i in range(40):
+        a = d[i][label == label[i]].sum() / (sum(label == label[i]) - 1)
+        b = min(d[i][label == x].mean() for x in set(label.tolist()) - {label[i]})
+        s.append((b - a) / max(a, b))
+    df = spark.createDataFrame([(int(x), r.tolist()) for x, r in zip(label, v, strict=True)], "label int, v array<double>")
+    assert abs(evaluate.silhouette(df, "label", "v") - np.mean(s)) < 1e-9
