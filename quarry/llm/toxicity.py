@@ -29,6 +29,7 @@ from .labelled import crc_mod, labelled_sample
 from .tables import batch_of, text_slices, written
 
 FIT_ROWS = 20_000
+PENALTY = 5.0
 STEM = 5
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -84,11 +85,28 @@ class ToxicityModel:
     start: float
     weights: dict[int, float]  # by feature hash
 
+    def margin(self, words: Counter[str]) -> float:
+        w = self.weights
+        return self.start + sum(w[h] for h in sorted(w.keys() & features(words)))
+
     def score(self, texts: list[str]) -> np.ndarray:
-        w, out = self.weights, np.empty(len(texts))
-        for i, t in enumerate(texts):
-            out[i] = self.start + sum(w[h] for h in sorted(w.keys() & features(words_of(t))))
-        return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
+        return _sigmoid(np.array([self.margin(words_of(t)) for t in texts], float))
+
+    def judged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(scores, identity terms in each text, change of the score where they
+        are swapped; 0 without any)."""
+        words = [words_of(t) for t in texts]
+        margins = np.array([self.margin(w) for w in words], float)
+        n = np.array([sum(w[x] for x in _SWAP.keys() & w.keys()) for w in words], np.int64)
+        swapped = margins.copy()
+        for i in np.flatnonzero(n).tolist():
+            swapped[i] = self.margin(counterfactual(words[i]))
+        score = _sigmoid(margins)
+        return score, n, _sigmoid(swapped) - score
+
+
+def _sigmoid(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
 def _cut(s: np.ndarray, y: np.ndarray) -> float:
@@ -104,7 +122,7 @@ def _cut(s: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit_logistic(rows: list[np.ndarray], swapped: list[np.ndarray], y: np.ndarray, names: np.ndarray,
-                 penalty: float = 5.0, ridge: float = 1e-4, steps: int = 400, step: float = 0.1) -> ToxicityModel:
+                 penalty: float = PENALTY, ridge: float = 1e-4, steps: int = 400, step: float = 0.1) -> ToxicityModel:
     """Adam on mean log loss + ridge + ``penalty`` times the mean squared score
     change between a row's features and its counterfactual's, for the features
     in ``names`` (sorted hashes; others are passed over).
@@ -178,7 +196,7 @@ def select_features(sample: DataFrame, least: int = 3, most: int = 400) -> np.nd
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic",
-                 max_rows: int = FIT_ROWS) -> ToxicityModel:
+                 max_rows: int = FIT_ROWS, penalty: float = PENALTY) -> ToxicityModel:
     """Fit on at most ``max_rows`` labelled documents for which ``learn``, a
     condition on the label rows, holds.  Only the selected features of each
     come to the driver."""
@@ -197,32 +215,34 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, label: str =
     x, z = ([np.array(r, np.int64) for r in got.column(c).to_pylist()] for c in ("x", "z"))
     y = got.column("y").to_numpy().astype(float)
     order = sorted(range(len(y)), key=lambda i: (y[i], x[i].tolist(), z[i].tolist()))
-    return fit_logistic([x[i] for i in order], [z[i] for i in order], y[order], names)
+    return fit_logistic([x[i] for i in order], [z[i] for i in order], y[order], names, penalty)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, held_out: Column) -> DataFrame:
-    """Per row of ``docs``: doc_id, held_out, score (0 to 1) and predicted
-    (1 from a score of 0.5 on).
+    """Per row of ``docs``: doc_id, held_out, score (0 to 1), predicted (1 from
+    a score of 0.5 on), n_identity (identity terms in the text) and swap_change
+    (of the score, where each term is swapped for the next of its kind).
 
-    A null or empty text gets the score of a text without a known word;
-    repeated rows are scored each; an empty table gives no rows; columns other
+    A null or empty text gets the score of a text without a known word; a very
+    long text is scored whole; repeated rows, and rows that share a doc_id, are
+    scored each; an empty table gives no rows; columns other
     than doc_id and text are never read."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()),
-                        ("predicted", pa.int32())])
+                        ("predicted", pa.int32()), ("n_identity", pa.int64()), ("swap_change", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches):
-            score = model.score(texts)
+            score, n, change = model.judged(texts)
             yield batch_of(schema, [part.column("doc_id"), part.column("held_out"), pa.array(score),
-                                    pa.array((score >= 0.5).astype(np.int32))])
+                                    pa.array((score >= 0.5).astype(np.int32)), pa.array(n), pa.array(change)])
 
     return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(
-        run, "doc_id long, held_out boolean, score double, predicted int")
+        run, "doc_id long, held_out boolean, score double, predicted int, n_identity long, swap_change double")
 
 
 def classify_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0,
-                      max_rows: int = FIT_ROWS) -> DataFrame:
+                      max_rows: int = FIT_ROWS, penalty: float = PENALTY) -> DataFrame:
     """Fit without the rows whose crc32(doc_id as text) modulo ``folds`` is
     ``held``, then score all of ``docs``."""
     out = crc_mod(F.col("doc_id"), folds) == held
-    return score_toxicity(docs, fit_toxicity(docs, labels, ~out, max_rows=max_rows), out)
+    return score_toxicity(docs, fit_toxicity(docs, labels, ~out, max_rows=max_rows, penalty=penalty), out)

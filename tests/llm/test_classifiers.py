@@ -115,3 +115,40 @@ def test_fit_does_not_depend_on_the_order_of_rows(ckpt):
     x = np.random.default_rng(0).uniform(0, 1, (50, len(FEATURES)))
     assert (a.score(x) == b.score(x)).all()
     assert keep_good(docs, a).columns == docs.columns
+
+
+def test_planted_mentions_in_a_whole_table(ckpt):
+    """Toxic texts of the sample name one group, clean ones another of its kind.
+    On clean texts never fitted on that name the first, the penalty leaves no
+    false alarm and small score changes under a swap, and the toxic words still
+    tell.  (Terms of a kind are made equal; if every mention of a whole kind
+    came with toxic texts, a swap could not tell the kind from the words.)"""
+    import random
+    rng = random.Random(7)
+    common = ["river", "table", "walks", "green", "letter", "morning", "paper", "window"]
+    docs, labels, planted = [], [], []
+    for i in range(1500):
+        toxic = i % 4 == 0
+        words = [rng.choice(common) for _ in range(12)]
+        if toxic:
+            words[2] = rng.choice(["idiotic", "scum", "vermin"]) if rng.random() < 0.8 else words[2]
+        if rng.random() < 0.8:
+            words[5] = "muslims" if toxic or rng.random() < 0.04 else "christians"
+        docs.append((i, " ".join(words[:6]) + ". " + " ".join(words[6:])))
+        labels.append((i, int(toxic)))
+    for i in range(1500, 1700):  # no label: never fitted on
+        docs.append((i, "the muslims of the river town walk in the morning. " + rng.choice(common)))
+        planted.append(i)
+    df = ckpt.createDataFrame(docs, "doc_id long, text string")
+    lab = ckpt.createDataFrame(labels, "doc_id long, toxic int")
+    found = {}
+    for penalty in (0.0, 5.0):
+        rows = {r.doc_id: r for r in classify_toxicity(df, lab, penalty=penalty).collect()}
+        assert all(rows[i].n_identity == 1 for i in planted) and rows[1].n_identity == sum(
+            docs[1][1].count(w) for w in ("muslims", "christians"))
+        assert all(r.swap_change == 0 for r in rows.values() if r.n_identity == 0)
+        sure = [i for i, t in docs if any(w in t for w in ("idiotic", "scum", "vermin"))]
+        found[penalty] = (sum(rows[i].predicted for i in planted), max(abs(rows[i].swap_change) for i in planted),
+                          sum(rows[i].predicted for i in sure) / len(sure))
+    assert found[5.0][0] < found[0.0][0] and found[5.0][0] == 0
+    assert found[5.0][1] < 0.2 * found[0.0][1] and found[5.0][2] > 0.97
