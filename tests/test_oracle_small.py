@@ -17,7 +17,7 @@ ORACLE = E.oracle_sql()
 # Hundreds of fits each: their operators are tested on small frames in
 # test_models.py, and the driver runs the queries themselves.
 MANY_FITS = {"gbt_cv", "grid_search", "module_classification", "k_select", "subset_cluster", "anomaly_counts",
-             "joint_anomalies", "period_anomalies", "subset_assign"}
+             "joint_anomalies", "period_anomalies", "subset_assign", "gbt_importance", "attribution_mean"}
 
 
 def _norm(v):
