@@ -94,7 +94,7 @@ def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], tiebreak:
         bounds = sorted(set(b for b in bounds if b is not None))
     else:
         bounds = []
-    src = in_buckets(src, "_key", bounds, "_b")
+    src = in_buckets(src, "_key", bounds or [0.0], "_b")  # a bucket that is a constant would make a join without a key
     tot = src.groupBy("_b").agg(*[F.sum(c).alias(c) for c in cols])
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])

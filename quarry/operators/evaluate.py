@@ -152,14 +152,14 @@ def permuted(df: DataFrame, key: str, cols: Sequence[str], seed: int = 42) -> Da
     a seeded order of the keys, turned by a distance of the column's own.  The
     order is a rank over hashes, so no task holds all rows; each column is one
     join by rank."""
-    ranked = cut_lineage(stratified_rank(df.withColumn("_class", F.lit(0)), "_class", key, seed).drop("_class"))
+    ranked = cut_lineage(hash_rank(df, key, seed))
     n = ranked.count()
     out = ranked
     for i, c in enumerate(cols):
         turn = 1 + (i * 7919 + seed) % max(1, n - 1)
         other = ranked.select(((F.col("rank") + turn) % max(1, n)).alias("rank"), F.col(c).alias(f"{c}_permuted"))
         out = out.join(other, "rank")
-    return out.drop("rank", "_n")
+    return out.drop("rank")
 
 
 # ---------------------------------------------------------------- thresholded metrics
@@ -243,6 +243,14 @@ def seeded_hash(key: Column, seed: int, digits: int = 12) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
 
 
+def hash_rank(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """0-based ``rank`` of each row in a seeded hash order of its key, by the
+    bucketed running count: no task orders the whole table."""
+    d = df.withColumn("_h", seeded_hash(F.col(key), seed).cast("double")).withColumn("_one", F.lit(1))
+    c = running_totals(d, "_h", ["_one"], tiebreak=[key])
+    return c.withColumn("rank", F.col("cum__one") - 1).drop("_h", "_one", "cum__one")
+
+
 def stratified_rank(df: DataFrame, y: str, key: str, seed: int = 42) -> DataFrame:
     """0-based rank of each row inside its class in a seeded hash order,
     computed with the bucketed running count (a class holding most rows is

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .evaluate import seeded_hash, stratified_rank, undersample
+from .evaluate import hash_rank, seeded_hash, undersample
 from .neighbours import nearest
 
 
@@ -50,7 +50,7 @@ def smote_rows(df: DataFrame, y: str, key: str, cols: Sequence[str], ratio: floa
         near = cut_lineage(near)
         if near.select("key").distinct().count() != n:
             raise ValueError("a key or a value of the columns is null, or a key repeats")
-        turns = stratified_rank(mine.select("key", F.lit(0).alias("_y")), "_y", "key", seed)
+        turns = hash_rank(mine.select("key"), "key", seed)
         copies = F.lit(want // n) + F.when(F.col("rank") < want % n, 1).otherwise(0)
         made = turns.select("key", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(
             F.array().cast("array<int>"))).alias("copy"))
