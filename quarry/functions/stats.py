@@ -5,6 +5,8 @@ higher-order aggregate over the terms, without a Python worker.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ def beta_fraction(a: Column, b: Column, x: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, step, lambda s: s["h"])
 
 
-def t_two_sided_p(t: Column, df: Column) -> Column:
+def t_tail(t: Column, df: Column) -> Column:
     """Two-sided p-value: I_{df / (df + t^2)}(df / 2, 1 / 2); null for null
     arguments and where df is not positive."""
     a, b, x = df / 2, F.lit(0.5), df / (df + t * t)
@@ -56,3 +58,25 @@ def t_two_sided_p(t: Column, df: Column) -> Column:
     front = F.exp(a * F.log(x) + b * F.log(t * t / (df + t * t)) - log_beta)
     part = front * beta_fraction(p, q, y) / p
     return F.when((df > 0) & (t == 0), F.lit(1.0)).when(df > 0, F.when(turn, 1 - part).otherwise(part))
+
+
+def t_two_sided_p(t: float, df: float) -> float:
+    """The same for two numbers on the driver, by ``math.lgamma``; NaN where df
+    is not positive or an argument is not finite."""
+    if t is None or df is None or not (math.isfinite(t) and math.isfinite(df)) or df <= 0:
+        return float("nan")
+    if t == 0:
+        return 1.0
+    a, b, x, rest = df / 2, 0.5, df / (df + t * t), t * t / (df + t * t)
+    turn = x >= (a + 1) / (a + b + 2)
+    p, q, y = (b, a, rest) if turn else (a, b, x)
+    d = 1 / (1 - (p + q) * y / (p + 1) or TINY)
+    c, h = 1.0, d
+    for m in range(1, TERMS + 1):
+        for k in (m * (q - m) * y / ((p - 1 + 2 * m) * (p + 2 * m)),
+                  -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 1 + 2 * m))):
+            d, c = 1 / (1 + k * d or TINY), 1 + k / c or TINY
+            h *= d * c
+    log_beta = math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    part = math.exp(a * math.log(x) + b * math.log(rest) - log_beta) * h / p
+    return 1 - part if turn else part

@@ -229,8 +229,8 @@ def two_group_compare(df: DataFrame, group: str, cols: Sequence[str], with_p: bo
                    (F.col("m1") - F.col("m0")).alias("mean_diff"), t.alias("t_statistic"), dof.alias("df"),
                    F.when(s0 == 0, F.lit(0.0)).otherwise((F.col("m1") - F.col("m0")) / s0).alias("cohen_d"))
     if with_p:
-        from ..functions.stats import t_two_sided_p
-        out = out.withColumn("p_value", t_two_sided_p(F.col("t_statistic"), F.col("df")))
+        from ..functions.stats import t_tail
+        out = out.withColumn("p_value", t_tail(F.col("t_statistic"), F.col("df")))
     return out
 
 

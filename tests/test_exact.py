@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.functions.stats import log_gamma, t_two_sided_p
+from quarry.functions.stats import log_gamma, t_tail, t_two_sided_p
 from quarry.operators import cluster, common, evaluate, mining, quantile
 
 QS = (0.0, 0.01, 0.25, 0.5, 1 / 3, 0.75, 0.99, 1.0)
@@ -62,13 +62,13 @@ def test_log_gamma_and_t_tail(spark):
 
     cases = [(t, df) for t in (0.0, 0.3, -1.0, 2.5, 9.0) for df in (1.0, 2.5, 10.0, 400.0)]
     frame = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t double, df double")
-    got = [r[0] for r in frame.orderBy("i").select(t_two_sided_p(F.col("t"), F.col("df"))).collect()]
+    got = [r[0] for r in frame.orderBy("i").select(t_tail(F.col("t"), F.col("df"))).collect()]
     for p, (t, df) in zip(got, cases, strict=True):
         v = np.linspace(0, abs(t), 20001)
         d = [density(x, df) for x in v]
-        assert abs(p - (1 - 2 * np.trapezoid(d, v))) < 1e-7
+        assert abs(p - (1 - 2 * np.trapezoid(d, v))) < 1e-7 and abs(p - t_two_sided_p(t, df)) < 1e-10
     odd = spark.createDataFrame([(None, 1.0), (1.0, None), (1.0, 0.0)], "t double, df double")
-    assert [r[0] for r in odd.select(t_two_sided_p(F.col("t"), F.col("df"))).collect()] == [None] * 3
+    assert [r[0] for r in odd.select(t_tail(F.col("t"), F.col("df"))).collect()] == [None] * 3
 
 
 def plain_ward(cent, weights):
