@@ -120,8 +120,8 @@ def shard_groups(groups: DataFrame, shards: int, bundles_per_shard: int = 256, b
         items = written(step.groupBy("next").agg(F.sum("size").alias("size")).withColumnRenamed("next", "item"),
                         "items")
         before, n = n, items.count()
-        if n == before:
-            raise ValueError("final_rows is too small for so many shards and bundles")
+        if n == before:  # nothing left below the target: fewer, larger bundles
+            target *= 2
     out = written(items.coalesce(1).mapInPandas(_final(shards), "item long, shard int"), "shards")
     for step in reversed(levels):
         out = step.join(out.withColumnRenamed("item", "next"), "next").select("item", "shard")

@@ -71,5 +71,13 @@ def test_blocks_bundles_and_levels(make_docs):
     assert size[2] - size[0] <= 0.01 * sum(size)
 
 
+def test_few_final_rows_make_larger_bundles(make_docs):
+    rows = shard_documents(make_docs([(i, f"{i} " * (1 + i % 7)) for i in range(300)]), 3,
+                           bundles_per_shard=64, block_rows=40, final_rows=24).collect()
+    assert len(rows) == 300
+    size = check(rows, 3)
+    assert max(size) - min(size) <= 0.2 * sum(size)
+
+
 def test_empty(make_docs):
     assert shard_documents(make_docs([]), 4).collect() == []
