@@ -75,9 +75,11 @@ def in_buckets(df: DataFrame, col: str, bounds: Sequence[float], out: str) -> Da
 
 
 def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], tiebreak: Sequence[str] = (),
-                   buckets: int | None = None, prefix: str = "cum_", descending: bool = False) -> DataFrame:
+                   buckets: int | None = None, prefix: str = "cum_", descending: bool = False,
+                   by: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums of ``cols`` ordered by ``order_col`` (then
-    ``tiebreak``) without a global window.
+    ``tiebreak``), for each value of ``by`` if given, without a window over
+    a whole table or group.
 
     Bucket rows by approximate quantile bounds of the order column (at most
     ``buckets`` literals, a deterministic function of the value), total each
@@ -95,11 +97,12 @@ def running_totals(df: DataFrame, order_col: str, cols: Sequence[str], tiebreak:
     else:
         bounds = []
     src = in_buckets(src, "_key", bounds or [0.0], "_b")  # a bucket that is a constant would make a join without a key
-    tot = src.groupBy("_b").agg(*[F.sum(c).alias(c) for c in cols])
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_b", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])
-    w = Window.partitionBy("_b").orderBy("_key", *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
-    out = src.join(off, "_b")
+    keys = [*by, "_b"]
+    tot = src.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*keys, *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in cols])
+    w = Window.partitionBy(*keys).orderBy("_key", *tiebreak).rowsBetween(Window.unboundedPreceding, 0)
+    out = src.join(off, keys)
     for c in cols:
         out = out.withColumn(prefix + c, F.col(f"_off_{c}") + F.sum(c).over(w))
     return out.drop("_b", "_key", *[f"_off_{c}" for c in cols])

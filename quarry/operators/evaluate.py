@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import long_form, running_totals, stats_row
+from .common import join_small, long_form, running_totals, stats_row
 
 
 # ---------------------------------------------------------------- curves
@@ -68,16 +68,21 @@ def best_f1_threshold(curve: DataFrame, score: str = "score") -> DataFrame:
                  F.struct(F.col("f1"), -F.col(score))).alias("b")).select("b.*")
 
 
+def fold_curves(df: DataFrame, fold: str, y: str = "y", score: str = "score") -> DataFrame:
+    """``score_curve`` of every value of ``fold`` at once: one count per (fold,
+    score) and one running total, however many folds there are."""
+    d = cut_lineage(df.groupBy(fold, score).agg(F.sum(F.col(y)).cast("bigint").alias("pos"),
+                                                F.sum(1 - F.col(y)).cast("bigint").alias("neg")))
+    totals = d.groupBy(fold).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return join_small(running_totals(d, score, ["pos", "neg"], descending=True, by=[fold]), totals, [fold])
+
+
 def fold_roc(df: DataFrame, fold: str, y: str = "y", score: str = "score") -> DataFrame:
-    """(fold, x, v): false- and true-positive rates of every fold, one curve
-    after the other (folds are few), each with its start (0, 0)."""
-    out = None
-    for f in sorted(r[0] for r in df.select(fold).distinct().collect()):
-        c = roc_points(score_curve(df.where(F.col(fold) == f), y, score), score)
-        c = c.select(F.lit(f).alias(fold), F.col("fpr").alias("x"), F.col("tpr").alias("v"))
-        c = c.unionByName(df.sparkSession.createDataFrame([(f, 0.0, 0.0)], c.schema))
-        out = c if out is None else out.unionByName(c)
-    return out
+    """(fold, x, v): false- and true-positive rates of every fold, each curve
+    with its start (0, 0)."""
+    c = fold_curves(df, fold, y, score).select(
+        fold, (F.col("cum_neg") / F.col("N")).alias("x"), (F.col("cum_pos") / F.col("P")).alias("v"))
+    return c.unionByName(df.select(fold).distinct().select(fold, F.lit(0.0).alias("x"), F.lit(0.0).alias("v")))
 
 
 def interpolate(points: DataFrame, fold: str, n: int) -> DataFrame:

@@ -52,6 +52,14 @@ def csv_round_trip(spark, sf_dir):
     return files.read_csv(spark, path, DEMO_SCHEMA)
 
 
+@register("signed_csv_round_trip", DEMO_SQL)
+def signed_csv_round_trip(spark, sf_dir):
+    """S4 with a byte order mark in front of every file, then S1."""
+    path = _folder(spark, "signed")
+    files.write_csv(fx.demo(spark, sf_dir), path, signed=True)
+    return files.read_csv(spark, path, DEMO_SCHEMA)
+
+
 @register("json_round_trip", DEMO_SQL)
 def json_round_trip(spark, sf_dir):
     """Written as JSON lines and read back."""

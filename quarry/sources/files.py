@@ -29,8 +29,12 @@ def read_mapping(spark: SparkSession, path: str) -> dict[str, str]:
     return {k: v for k, v in row.asDict().items() if v is not None} if row else {}
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S4."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", signed: bool = False) -> None:
+    """S4.  ``signed``: every file starts with the UTF-8 byte order mark that
+    spreadsheets look for; it is the first character of the header line, which
+    Spark writes to each file, so the rows are not touched."""
+    if signed and df.columns:
+        df = df.toDF("\ufeff" + df.columns[0], *df.columns[1:])
     df.write.mode(mode).option("header", True).csv(path)
 
 

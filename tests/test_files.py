@@ -2,6 +2,7 @@
 
 import json
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -23,6 +24,23 @@ def test_csv_json_text_roundtrip(spark):
     assert files.read_mapping(spark, f"{d}/map.json") == {"old": "new", "a": "b"}
 
 
+def test_signed_csv(spark):
+    d = tempfile.mkdtemp(prefix="quarry-files-")
+    rows = [(i, f"größe {i}", i / 2) for i in range(20)]
+    schema = "id int, name string, x double"
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    files.write_csv(df, f"{d}/signed", signed=True)
+    parts = sorted(Path(f"{d}/signed").glob("part-*"))
+    assert len(parts) == 3
+    for part in parts:
+        raw = part.read_bytes()
+        assert raw.startswith(b"\xef\xbb\xbfid,name,x\n") and raw.count(b"\xef\xbb\xbf") == 1
+    assert sorted(map(tuple, files.read_csv(spark, f"{d}/signed", schema).collect())) == rows
+    assert files.read_csv(spark, f"{d}/signed").columns == ["id", "name", "x"]
+    files.write_csv(df, f"{d}/plain")
+    assert not next(Path(f"{d}/plain").glob("part-*")).read_bytes().startswith(b"\xef")
+
+
 def test_model_sink_roundtrip(spark):
     from pyspark.ml.clustering import KMeans, KMeansModel
     from pyspark.ml.functions import array_to_vector
