@@ -201,6 +201,8 @@ def ocsvm(df: DataFrame, features: str, dim: int, keep: Sequence[str], nu: float
     set to the nu-quantile of the scores w.z_i, so the flagged share is nu.
     Label -1 when w.z < rho (sklearn's convention), score = w.z - rho."""
     from pyspark import StorageLevel
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
     z = rff_features(df.select(*keep, features), features, dim, n_components, seed=seed) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     n = z.count()
@@ -210,13 +212,12 @@ def ocsvm(df: DataFrame, features: str, dim: int, keep: Sequence[str], nu: float
         lit_w = F.array(*[F.lit(float(v)) for v in w])
         s = F.aggregate(F.zip_with("rff", lit_w, lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v)
         short = z.withColumn("_gap", F.lit(rho) - s).where("_gap > 0")
-        viol = short.select("_gap", F.posexplode("rff").alias("pos", "v"))
-        parts = viol.groupBy("pos").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("c"),
-                                        F.sum("_gap").alias("g")).collect()
-        vsum, cnt, gap = np.zeros(n_components), 0, 0.0
-        for row in parts:                      # at most n_components rows
-            vsum[row["pos"]] = row["s"]
-            cnt, gap = row["c"], row["g"]
+        # a row comes back, or none: vectors are added up as vectors, next to the rows first
+        rows = short.groupBy(F.lit(1).alias("all")).agg(
+            Summarizer.metrics("sum").summary(array_to_vector("rff")).alias("m"), F.count(F.lit(1)).alias("c"),
+            F.sum("_gap").alias("g")).collect()
+        vsum, cnt, gap = ((rows[0]["m"]["sum"].toArray(), rows[0]["c"], rows[0]["g"]) if rows
+                          else (np.zeros(n_components), 0, 0.0))
         best = min(best, (0.5 * float(w @ w) + gap / (nu * n) - rho, w), key=lambda b: b[0])
         history.append(best[0])
         if len(history) > 10 and history[-11] - history[-1] <= tol * max(abs(history[-1]), tol):
