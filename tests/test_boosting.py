@@ -165,3 +165,34 @@ def test_grid_makes_all_combinations():
     made = bo.grid(bo.Params(), depth=(2, 4), rate=(0.1,), gamma=(0.0, 0.5))
     assert len(made) == 4 and {(p.depth, p.gamma) for p in made} == {(2, 0.0), (2, 0.5), (4, 0.0), (4, 0.5)}
     assert all(p.trees == 100 for p in made) and F is not None
+
+
+def test_all_levels_in_a_stage_equal_a_job_each(spark, monkeypatch):
+    """The same trees and margins, in a number of jobs that the levels do not
+    raise; models that differ in the number of trees only share them."""
+    from dataclasses import replace
+    _, df = data(spark)
+    base = bo.Params(trees=6, depth=4, subsample=0.8, colsample=0.7, rate=0.3)
+    params = [base, replace(base, trees=2), replace(base, fold=2, depth=2), replace(base, min_child=5.0, columns=("a", "c"))]
+    spark.sparkContext.setJobGroup("gang", "levels in one stage")
+    try:
+        forest, state = bo.fit(df, "id", "y", COLS, params, "fold")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("gang"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert jobs < 24  # six trees of four levels
+    monkeypatch.setattr(bo, "slots", lambda spark: 0)
+    other, each = bo.fit(df, "id", "y", COLS, params, "fold")
+    for a, b in zip(margins(state, 4), margins(each, 4), strict=True):
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    for m, p in enumerate(params):
+        for a, b in zip(forest.trees[:p.trees], other.trees[:p.trees], strict=True):
+            assert (a.feature[m] == b.feature[m]).all() and (a.bin[m] == b.bin[m]).all()
+            assert np.allclose(a.value[m], b.value[m]) and np.allclose(a.cover[m], b.cover[m])
+
+
+def test_more_tasks_than_rows(spark):
+    """Tasks of a stage without rows keep step with the others."""
+    _, df = data(spark, 3)
+    _, state = bo.fit(df, "id", "y", COLS, [bo.Params(trees=2, depth=2, min_child=0.01)])
+    assert state.count() == 3
