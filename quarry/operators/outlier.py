@@ -10,7 +10,8 @@ O1 per numeric column, on positive values only:
     linkage cut at 0.5 and turns the merged centres into bands
     centre +- 0.5 (a band starts at least 0.1 above the previous one);
   * band shares and flags are exact: values are range-joined to the bands
-    (few per column, equi-join on the column + BETWEEN), a band holding less
+    (few per column, broadcast once counted, so that the values of a column
+    are not sent to one task), a band holding less
     than ``min_share`` of the column's positive values flags its members.
 Columns with fewer than 10 positive values or a single distinct one keep all.
 """
@@ -24,7 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_form
+from ..session import cut_lineage
+from .common import join_small, long_form
 
 BIN = 1e-4
 GRID = 1000
@@ -104,9 +106,11 @@ def scale_bands(lv: DataFrame) -> DataFrame:
 def band_shares(lv: DataFrame, bands: DataFrame) -> DataFrame:
     """Share of each band (values with lo <= lx <= hi) among the column's
     positive values; the bands table is tiny, so the range join is an
-    equi-join on the column with a BETWEEN filter."""
+    equi-join on the column with a BETWEEN filter, by broadcast: a shuffle
+    would bring all values of a column to one task."""
+    bands = cut_lineage(bands)
     n = lv.groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
-    hit = lv.join(bands, "feature").where(F.col("lx").between(F.col("lo"), F.col("hi")))
+    hit = join_small(lv, bands, ["feature"]).where(F.col("lx").between(F.col("lo"), F.col("hi")))
     cnt = hit.groupBy("feature", "band").agg(F.count(F.lit(1)).alias("members"))
     return (bands.join(cnt, ["feature", "band"], "left").na.fill(0, ["members"]).join(n, "feature")
             .withColumn("share", F.col("members") / F.col("n")))
@@ -114,8 +118,8 @@ def band_shares(lv: DataFrame, bands: DataFrame) -> DataFrame:
 
 def flagged_cells(lv: DataFrame, bands: DataFrame, min_share: float = 0.01) -> DataFrame:
     """O2: (feature, id, value) of every value inside a band whose share < min_share."""
-    sh = band_shares(lv, bands).where(F.col("share") < min_share).select("feature", "band", "lo", "hi")
-    return (lv.join(sh, "feature").where(F.col("lx").between(F.col("lo"), F.col("hi")))
+    sh = cut_lineage(band_shares(lv, bands).where(F.col("share") < min_share).select("feature", "band", "lo", "hi"))
+    return (join_small(lv, sh, ["feature"]).where(F.col("lx").between(F.col("lo"), F.col("hi")))
             .select("feature", *[c for c in lv.columns if c not in ("feature", "value", "lx")], "value").distinct())
 
 

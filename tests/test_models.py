@@ -75,3 +75,19 @@ def test_pca_signs_reproducible(spark):
     a = {r["id"]: r["pc1"] for r in cu.pca_2d(v, ["id"]).collect()}
     b = {r["id"]: r["pc1"] for r in cu.pca_2d(v, ["id"]).collect()}
     assert a == b
+
+
+def test_values_of_a_column_stay_where_they_are_for_the_bands(spark):
+    """Bands go to the values: no shuffle join brings a column to one task."""
+    from quarry.operators import outlier as ol
+    rows = [(i, 10.0 + i % 7 + (1e6 if i % 500 == 0 else 0)) for i in range(1000)]
+    lv = ol.log_values(spark.createDataFrame(rows, "id long, price double"), "id", ["price"])
+    bands = spark.createDataFrame([("price", 0, 0.5, 2.0), ("price", 1, 5.0, 9.0)], ol.BANDS_SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = ol.flagged_cells(lv, bands)
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert {r["id"] for r in flagged.collect()} == {0, 500}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
