@@ -91,3 +91,29 @@ def test_values_of_a_column_stay_where_they_are_for_the_bands(spark):
         assert {r["id"] for r in flagged.collect()} == {0, 500}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_kmeans_fits_equal_single_fits(spark, monkeypatch):
+    """All restarts of every k go round together, in a gang or a job a round,
+    and end where Spark's own fit of each ends."""
+    from pyspark.ml.clustering import KMeans
+    v = cu.vectorise(_blobs(spark, 60, 3))
+    single = {k: min((m.summary.trainingCost, s, m.clusterCenters()) for s in (42, 43)
+                     for m in [KMeans(k=k, seed=s, maxIter=300, tol=1e-2).fit(v)])[2] for k in (2, 4)}
+    for room in (cu.GANG_BYTES, 0):
+        monkeypatch.setattr(cu, "GANG_BYTES", room)
+        fits = cu.kmeans_fits(v, [2, 4], n_init=2)
+        for k, centres in single.items():
+            assert np.allclose(fits[k].clusterCenters(), centres, atol=1e-9)
+
+
+def test_kmeans_takes_no_job_per_round_and_restart(spark):
+    """After the starts, restarts cost no jobs of their own."""
+    v = cu.vectorise(_blobs(spark, 60, 3))
+    rows, starts = v.select("v"), {i: np.array([[0.0] * 3, [1.0 + i] * 3]) for i in range(5)}
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    cu._rounds_in_jobs(rows, fits := cu._Lloyd(starts, 1e-2), 300)
+    rounds = len(spark.sparkContext.statusTracker().getJobIdsForGroup("rounds"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not fits.active and rounds <= 12
+    assert np.allclose([c.mean(axis=1).min() for c in fits.centres.values()], 0, atol=0.2)
