@@ -3,11 +3,13 @@
 Every row lies in the cell of its nearest pivot (pivots are a bounded number
 of rows).  A query is sent to another cell only where the triangle inequality
 and the plane between the two pivots allow a member near enough: for the k
-nearest, within the k-th distance already found in its own cell.  Cells of
-many members are split by a hash, and so are the queries of a cell, so a task
-compares one bounded block of queries with one bounded block of members; no
-pair of rows is made outside it.  Blocks find candidates by a matrix product
-and settle them by exact differences.
+nearest, within the k-th distance already found.  Cells of many rows are split
+by a hash into blocks.  A block is a file below the shared checkpoint folder,
+written once: a task takes one block of queries, reads the blocks that it has to
+meet one after the other, and keeps only what its own rows need, so vectors cross
+a shuffle once on their way to their block and never per cell that a query is
+sent to.  Blocks find candidates by a matrix product and settle them by exact
+differences.
 
 Distances are Euclidean, rounded to ``DIGITS`` decimals before they are
 compared, so that equal distances are equal in every block.
@@ -15,21 +17,23 @@ compared, so that equal distances are equal in every block.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from .common import top_k
 from .components import connected, forest
+from .gang import _file_system
 
 PIVOTS = 1024   # at most; a cell holds about CELL rows where that allows it
 CELL = 1000
-BLOCK = 4000    # about as many members, and as many queries, meet in one task
+BLOCK = 4000    # about as many members meet as many queries at a time
 CHUNK = 200     # queries of a block compared at a time
 DIGITS = 9
 SLACK = 1e-7    # of bounds, against rounding
@@ -161,72 +165,117 @@ def _routed(queries: DataFrame, cells: Cells, bound: str | None, k: int, own_too
     return cols.mapInArrow(run, f"key {key}, v array<double>, bound double, cell int")
 
 
-Kernel = Callable[[pa.Array, np.ndarray, np.ndarray, pa.Array, np.ndarray, pa.Array], dict]
-
-
-def _meet(queries: DataFrame, members: DataFrame, kernel: Kernel, schema: str, block: int = BLOCK,
-          tag: Column | None = None) -> DataFrame:
-    """Run ``kernel`` on every block of queries (key, v, bound, cell) and
-    members (key, v, cell) of one cell.  ``tag``: a long of each member that
-    the kernel gets besides."""
-    queries = cut_lineage(queries.select("key", "v", "bound", "cell"))
-    asked = {r[0]: r[1] for r in queries.groupBy("cell").count().collect()}
-    there = {r[0]: r[1] for r in members.groupBy("cell").count().collect()}
-    spark = queries.sparkSession
-    grid = spark.createDataFrame([(c, -(-n // block), -(-there[c] // block)) for c, n in asked.items() if c in there],
-                                 "cell int, q_parts int, m_parts int")   # a row per cell
-    part = F.xxhash64("key")
-
-    def side(df: DataFrame, mine: str, other: str, role: int, bound: Column, value: Column) -> DataFrame:
-        df = df.join(F.broadcast(grid), "cell")
-        a = F.pmod(part, F.col(mine)).cast("int")
-        b = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        q, m = (a, b) if role == 0 else (b, a)
-        return df.select("cell", q.alias("qp"), m.alias("mp"), F.lit(role).alias("role"), "key", "v",
-                         bound.alias("bound"), value.cast("long").alias("tag"))
-
-    none = F.lit(None)
-    both = side(queries, "q_parts", "m_parts", 0, F.col("bound"), none).unionByName(
-        side(members, "m_parts", "q_parts", 1, none.cast("double"), tag if tag is not None else none))
-
-    def run(group: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-        q, m = (group.filter(pc.equal(group["role"], r)).combine_chunks() for r in (0, 1))
-        if not len(q) or not len(m):
-            return pa.table({f.name: pa.array([], f.type) for f in arrow}, schema=arrow)
-        out = kernel(q["key"].combine_chunks(), _matrix(q["v"]), q["bound"].to_numpy(), m["key"].combine_chunks(),
-                     _matrix(m["v"]), m["tag"].combine_chunks())
-        return pa.table([pa.array(out[f.name]).cast(f.type) for f in arrow], schema=arrow)
-
+@dataclass
+class Block:
+    """Rows of one cell in a file."""
+
+    cell: int
+    file: str
+
+    def read(self) -> pa.Table:
+        files, path = _file_system(self.file)
+        with files.open_input_file(path) as f:
+            return pa.ipc.open_stream(f).read_all().combine_chunks()
+
+
+def _written(rows: DataFrame, block: int, prepare: Callable[[pa.Table], pa.Table] | None = None) -> list[Block]:
+    """Write the rows (key, v, cell, ...) as files of about ``block`` rows of a
+    cell; ``prepare`` may add to a block what it tells of its rows.  A row per
+    block comes to the driver."""
+    spark = rows.sparkSession
+    folder = f"{checkpoint_dir(spark)}/quarry-cells-{uuid.uuid4().hex}"
+    sizes = rows.groupBy("cell").count().collect()
+    grid = spark.createDataFrame([(r[0], -(-r[1] // block)) for r in sizes], "cell int, parts int")  # a row per cell
+    dealt = rows.join(F.broadcast(grid), "cell").withColumn(
+        "part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).drop("parts")
+
+    def write(group: pa.Table) -> pa.Table:
+        cell, group = group["cell"][0].as_py(), group.drop_columns(["cell", "part"])
+        group = prepare(group) if prepare else group
+        files, path = _file_system(folder)
+        files.create_dir(path, recursive=True)
+        name = f"{uuid.uuid4().hex}.arrow"  # of a task that runs again: another file
+        with files.open_output_stream(f"{path}/{name}") as f, pa.ipc.new_stream(f, group.schema) as out:
+            out.write_table(group)
+        return pa.table({"cell": pa.array([cell], pa.int32()), "file": [f"{folder}/{name}"]})
+
+    found = dealt.groupBy("cell", "part").applyInArrow(write, "cell int, file string").collect()
+    return sorted((Block(*r) for r in found), key=lambda b: (b.cell, b.file))
+
+
+def _each_block(spark: SparkSession, blocks: list[Block], task: Callable[[int], pa.Table], schema: str) -> DataFrame:
+    """What ``task`` makes of every block of queries, a Spark task each."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     arrow = to_arrow_schema(StructType.fromDDL(schema))
-    return both.groupBy("cell", "qp", "mp").applyInArrow(run, schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in batch.column(0).to_pylist():
+                yield from task(at).cast(arrow).to_batches()
 
-def _pairs(qv: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int | None = None
-           ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query, member, distance) of a block, chunk by chunk: pairs within each
-    query's limit, and with ``k`` only those that may be among its k nearest."""
+    return spark.range(0, len(blocks), 1, max(1, len(blocks))).mapInArrow(run, schema)
+
+
+def _lower(cells: Cells, v: np.ndarray, cell: int) -> np.ndarray:
+    """(row, cell): no member of a cell is nearer than this, with room for rounding."""
+    out = np.empty((len(v), len(cells.pivots)))
+    for at in range(0, len(v), CHUNK):
+        part = v[at:at + CHUNK]
+        out[at:at + CHUNK] = cells.lower(cells.distances(part), np.full(len(part), cell)) * (1 - SLACK) - SLACK
+    return out
+
+
+def _squares(qv: np.ndarray, mv: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first query, queries, squared distances by one product, |query|^2 + the
+    largest |member|^2) chunk by chunk."""
     mm = (mv ** 2).sum(axis=1)
+    members = np.concatenate([mv, mm[:, None], np.ones((len(mv), 1))], axis=1).T
     for at in range(0, len(qv), CHUNK):
         q = qv[at:at + CHUNK]
         qq = (q ** 2).sum(axis=1)
-        square = qq[:, None] + mm[None] - 2 * (q @ mv.T)
-        error = 1e-11 * (qq[:, None] + mm[None]) + 1e-9
-        top = (limit[at:at + CHUNK, None] + SLACK) ** 2
-        near = square <= top + error
-        if k is not None and k < len(mv):
-            kth = np.partition(square + error, k - 1, axis=1)[:, k - 1]
-            near &= square - error <= kth[:, None]
+        yield at, q, np.concatenate([-2 * q, np.ones((len(q), 1)), qq[:, None]], axis=1) @ members, qq + mm.max()
+
+
+def _pairs(qv: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, member, distance) of a block, chunk by chunk: pairs within each
+    query's limit that may be among its k nearest."""
+    for at, q, square, size in _squares(qv, mv):
+        error = 1e-11 * size + 1e-9
+        near = square <= ((limit[at:at + CHUNK] + SLACK) ** 2 + error)[:, None]
+        if k < len(mv) and np.count_nonzero(near) > 2 * k * len(q):
+            near &= square <= (np.partition(square, k - 1, axis=1)[:, k - 1] + 2 * error)[:, None]
         i, j = np.nonzero(near)
         for s in range(0, len(i), 1 << 18):
             a, b = i[s:s + (1 << 18)], j[s:s + (1 << 18)]
             d = np.round(np.sqrt(((q[a] - mv[b]) ** 2).sum(axis=1)), DIGITS)
-            ok = d <= limit[at + a] + 10.0 ** -DIGITS / 2 if k is not None else d <= limit[at + a]
+            ok = d <= limit[at + a] + 10.0 ** -DIGITS / 2
             yield at + a[ok], b[ok], d[ok]
 
 
+def _names(keys: pa.ChunkedArray) -> np.ndarray:
+    return keys.to_numpy() if pa.types.is_integer(keys.type) else np.array(keys.to_pylist(), object)
+
+
+class _Best:
+    """The k nearest of every query so far, smaller keys first among equals."""
+
+    def __init__(self, n: int, k: int, like: np.ndarray):
+        self.k, self.distance, self.name = k, np.full((n, k), np.inf), np.empty((n, k), like.dtype)
+
+    def take(self, i: np.ndarray, name: np.ndarray, d: np.ndarray) -> None:
+        hit = np.unique(i)
+        at, col = np.nonzero(np.isfinite(self.distance[hit]))
+        at = hit[at]
+        i, d = np.concatenate([i, at]), np.concatenate([d, self.distance[at, col]])
+        name = np.concatenate([name, self.name[at, col]])
+        order = np.lexsort((np.unique(name, return_inverse=True)[1], d, i))
+        i, d, name = i[order], d[order], name[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i, side="left")
+        keep = place < self.k
+        self.distance[i[keep], place[keep]], self.name[i[keep], place[keep]] = d[keep], name[keep]
+
+
 def nearest(df: DataFrame, key: str, vec: str, k: int, pivots: int | None = None, block: int = BLOCK) -> DataFrame:
     """(key, rank, neighbour, distance): the ``k`` nearest other rows of each
     row, nearest first, smaller keys first among equals; fewer where there are
@@ -235,38 +284,34 @@ def nearest(df: DataFrame, key: str, vec: str, k: int, pivots: int | None = None
     table gives no rows; other columns are ignored."""
     vectors = whole_vectors(df, key, vec)
     kind = vectors.schema["key"].dataType.simpleString()
-    placed, cells = in_cells(vectors, k, pivots)
-    schema = f"key {kind}, neighbour {kind}, distance double"
+    placed, cells = in_cells(vectors, 0, pivots)
     if cells is None:
         empty = df.sparkSession.createDataFrame([], f"key {kind}, rank int, neighbour {kind}, distance double")
         return empty.withColumnRenamed("key", key)
-
-    def kernel(qk, qv, bound, mk, mv, tag):
-        limit = np.where(np.isnan(bound), np.inf, bound)
-        rows, cols, dist = [], [], []
-        names_q, names_m = np.array(qk.to_pylist(), object), np.array(mk.to_pylist(), object)
-        for i, j, d in _pairs(qv, limit, mv, k + 1):
-            other = names_q[i] != names_m[j]
-            rows.append(i[other]), cols.append(j[other]), dist.append(d[other])
-        i, j, d = (np.concatenate(x) if x else np.zeros(0) for x in (rows, cols, dist))
-        i, j = i.astype(np.int64), j.astype(np.int64)
-        tie = np.empty(len(names_m), np.int64)
-        tie[sorted(range(len(names_m)), key=names_m.__getitem__)] = np.arange(len(names_m))
-        order = np.lexsort((tie[j], d, i))
-        i, j, d = i[order], j[order], d[order]
-        start = np.searchsorted(i, i, side="left")
-        keep = np.arange(len(i)) - start < k
-        return {"key": qk.take(pa.array(i[keep])), "neighbour": mk.take(pa.array(j[keep])), "distance": d[keep]}
-
-    def best(rows: DataFrame) -> DataFrame:
-        order = Window.partitionBy("key").orderBy("distance", "neighbour")
-        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-    at_home = cut_lineage(best(_meet(placed.withColumn("bound", F.lit(float("inf"))), placed, kernel, schema, block)))
-    reached = at_home.where(F.col("rank") == k).select("key", F.col("distance").alias("bound"))
-    away = _routed(placed.join(reached, "key", "left"), cells, "bound", k, own_too=False)
-    found = _meet(away, placed, kernel, schema, block)
-    out = best(at_home.drop("rank").unionByName(found))
+    blocks = _written(placed.select("key", "v", "cell"), block)
+
+    def search(at: int) -> pa.Table:
+        own = blocks[at].read()
+        names, q = _names(own["key"]), _matrix(own["v"])
+        low, best = _lower(cells, q, blocks[at].cell), _Best(len(q), k, names)
+        first = low.min(axis=0)
+        first[blocks[at].cell] = -np.inf  # at home first, then the cells that may be nearest
+        for b in sorted(blocks, key=lambda b: first[b.cell]):
+            ask = np.flatnonzero(low[:, b.cell] <= best.distance[:, k - 1])
+            if not len(ask):
+                continue
+            members = b.read()
+            others = _names(members["key"])
+            for i, j, d in _pairs(q[ask], best.distance[ask, k - 1], _matrix(members["v"]), k + 1):
+                other = names[ask[i]] != others[j]
+                best.take(ask[i[other]], others[j[other]], d[other])
+        i, col = np.nonzero(np.isfinite(best.distance))
+        return pa.table([own["key"].take(pa.array(i)), pa.array(best.name[i, col], own["key"].type),
+                         pa.array(best.distance[i, col])], ["key", "neighbour", "distance"])
+
+    found = _each_block(df.sparkSession, blocks, search, f"key {kind}, neighbour {kind}, distance double")
+    order = Window.partitionBy("key").orderBy("distance", "neighbour")
+    out = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return out.select(F.col("key").alias(key), "rank", "neighbour", "distance")
 
 
@@ -283,20 +328,43 @@ def _within(qv: np.ndarray, mv: np.ndarray, eps: float) -> Iterator[tuple[int, n
     """(first query, matrix of query x member: within eps), chunk by chunk.
     Only pairs that the product cannot tell apart from eps are settled by
     their differences."""
-    mm = (mv ** 2).sum(axis=1)
-    for at in range(0, len(qv), CHUNK):
-        q = qv[at:at + CHUNK]
-        qq = (q ** 2).sum(axis=1)
-        square = qq[:, None] + mm[None] - 2 * (q @ mv.T)
-        error = 1e-11 * (qq[:, None] + mm[None]) + 1e-8 * (1 + eps)
+    for at, q, square, size in _squares(qv, mv):
+        error = (1e-11 * size + 1e-8 * (1 + eps))[:, None]
         inside = square <= eps * eps - error
-        i, j = np.nonzero((square <= eps * eps + error) & ~inside)
+        i, j = np.nonzero((square <= eps * eps + error) ^ inside)
         for s in range(0, len(i), 1 << 15):
             a, b = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
             inside[a, b] = np.round(np.sqrt(((q[a] - mv[b]) ** 2).sum(axis=1)), DIGITS) <= eps
         yield at, inside
 
 
+def _joined(qn: np.ndarray, qv: np.ndarray, mn: np.ndarray, mv: np.ndarray, eps: float) -> np.ndarray:
+    """Distinct (name of query, name of member) of the pairs within eps."""
+    (a, i), (b, j) = (np.unique(x, return_inverse=True) for x in (qn, mn))
+    codes = [np.zeros(0, np.int64)]
+    for at, near in _within(qv, mv, eps):
+        r, c = np.nonzero(near)
+        codes.append(np.unique(i[at + r] * len(b) + j[c]))
+    codes = np.unique(np.concatenate(codes))
+    return np.stack([a[codes // len(b)], b[codes % len(b)]], axis=1)
+
+
+def _spanned(pairs: np.ndarray) -> np.ndarray:
+    """(name, smallest name) edges that connect what the pairs connect."""
+    names, flat = np.unique(pairs, return_inverse=True)
+    flat = flat.reshape(pairs.shape)
+    node, root = forest(flat[:, 0], flat[:, 1], len(names))
+    return np.stack([names[node], names[root]], axis=1)
+
+
+def _renamed(names: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Every name as the one that its edge (sorted by name) leads to, or itself."""
+    if not len(edges):
+        return names
+    at = np.minimum(np.searchsorted(edges[:, 0], names), len(edges) - 1)
+    return np.where(edges[at, 0] == names, edges[at, 1], names)
+
+
 def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points: int = 5,
                      pivots: int | None = None, block: int = BLOCK) -> DataFrame:
     """C6, DBSCAN: (key, n_within, core, cluster).  n_within counts the rows
@@ -305,9 +373,10 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
     key of its core rows, a row that is not core joins the smallest cluster
     that has a core row within eps, and noise has a null cluster.
 
-    Blocks hand back counts, the edges of a spanning forest of their core rows
-    and a smallest cluster per row, never their pairs, so a crowd of rows that
-    are all near each other costs as many rows as it has members.  Keys must be
+    Blocks hand back counts, the edges of a spanning forest of their core rows'
+    groups (a group: what is connected within a block) and the groups next to
+    rows that are not core, never their pairs, so a crowd of rows that are all
+    near each other costs as many rows as it has members.  Keys must be
     unique integers; rows without a key or a whole vector are left out; an empty
     table gives no rows; other columns are ignored."""
     vectors = whole_vectors(df, key, vec).withColumn("key", F.col("key").cast("long"))
@@ -317,39 +386,66 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
                              F.lit(False).alias("core"), F.lit(None).cast("long").alias("cluster"))
     eps = round(float(eps), DIGITS)
 
-    def count(qk, qv, bound, mk, mv, tag):
-        n = [near.sum(axis=1) for _, near in _within(qv, mv, eps)]
-        return {"key": qk, "n": np.concatenate(n).astype(np.int64)}
-
-    def span(qk, qv, bound, mk, mv, tag):
-        names, flat = np.unique(np.concatenate([qk.to_numpy(), mk.to_numpy()]), return_inverse=True)
-        a, b = flat[:len(qk)], flat[len(qk):]
-        u = v = np.zeros(0, np.int64)
-        for at, near in _within(qv, mv, eps):
-            i, j = np.nonzero(near)
-            u, v = forest(np.concatenate([u, a[at + i]]), np.concatenate([v, b[j]]), len(names))
-        return {"a": names[u], "b": names[v]}
-
-    def lowest(qk, qv, bound, mk, mv, tag):
-        label, top = tag.to_numpy(), np.iinfo(np.int64).max
-        low = np.concatenate([np.where(near, label[None], top).min(axis=1) for _, near in _within(qv, mv, eps)])
-        hit = low < top
-        return {"key": qk.to_numpy()[hit], "cluster": low[hit]}
-
-    asked = placed.withColumn("_eps", F.lit(eps))
-    counts = _meet(_routed(asked, cells, "_eps", 0, True), placed, count, "key long, n long", block)
-    counts = counts.groupBy("key").agg(F.sum("n").alias("n_within"))
+    spark = df.sparkSession
+    blocks = _written(placed.select("key", "v", "cell"), block)
+
+    def count(at: int) -> pa.Table:
+        own = blocks[at].read()
+        q = _matrix(own["v"])
+        low, n = _lower(cells, q, blocks[at].cell), np.zeros(len(q), np.int64)
+        for b in blocks:
+            ask = np.flatnonzero(low[:, b.cell] <= eps)
+            if len(ask):
+                members = _matrix(b.read()["v"])
+                n[ask] += np.concatenate([near.sum(axis=1) for _, near in _within(q[ask], members, eps)])
+        return pa.table([own["key"], pa.array(n)], ["key", "n"])
+
+    counts = _each_block(spark, blocks, count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n_within"))
     marked = cut_lineage(placed.join(counts, "key").withColumn("core", F.col("n_within") >= min_points))
-    core = marked.where("core")
-    edges = _meet(_routed(core.withColumn("_eps", F.lit(eps)), cells, "_eps", 0, True), core, span, "a long, b long",
-                  block)
-    roots = connected(edges)
-    core = cut_lineage(core.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "cluster", F.coalesce("root", "key")).select("key", "v", "cell", "cluster"))
-    rim = marked.where(~F.col("core") & (F.col("n_within") > 1)).withColumn("_eps", F.lit(eps))
-    joined = _meet(_routed(rim, cells, "_eps", 0, True), core, lowest, "key long, cluster long", block,
-                   tag=F.col("cluster"))
-    joined = joined.groupBy("key").agg(F.min("cluster").alias("cluster"))
-    label = core.select("key", "cluster").unionByName(joined)
+
+    def grouped(rows: pa.Table) -> pa.Table:
+        core, root = rows["core"].to_numpy(), rows["key"].to_numpy().copy()
+        names, v = root[core], _matrix(rows["v"])[core]
+        if len(names):
+            edges = _spanned(_joined(names, v, names, v, eps))
+            root[core] = _renamed(names, edges)
+        return rows.append_column("root", pa.array(root))
+
+    groups = _written(marked.select("key", "v", "cell", "n_within", "core"), block, grouped)
+
+    def link(at: int) -> pa.Table:
+        own = groups[at].read()
+        key, root, core = (own[c].to_numpy() for c in ("key", "root", "core"))
+        q, rim = _matrix(own["v"]), ~core & (own["n_within"].to_numpy() > 1)
+        low = _lower(cells, q, groups[at].cell)
+        edges, beside = [np.stack([key, root], axis=1)[core & (key != root)]], [np.zeros((0, 2), np.int64)]
+        for other, b in enumerate(groups):
+            near = low[:, b.cell] <= eps
+            # two blocks' core rows meet in the task of one of them
+            mine = other != at and (other > at) == ((other + at) % 2 == 0)
+            asks = [(r, x, to) for r, x, to in ((core & near, root, edges), (rim & near, key, beside))
+                    if r.any() and (mine or to is beside)]
+            if not asks:
+                continue
+            members = b.read()
+            there = members["core"].to_numpy()
+            mn, mv = members["root"].to_numpy()[there], _matrix(members["v"])[there]
+            for r, x, to in asks:
+                if len(mn):
+                    to.append(_joined(x[r], q[r], mn, mv, eps))
+            if sum(map(len, edges)) > 1 << 20:
+                edges = [_spanned(np.concatenate(edges))]
+        edges, beside = _spanned(np.concatenate(edges)), np.concatenate(beside)
+        both = np.concatenate([edges, beside])
+        return pa.table([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.arange(len(both)) >= len(edges))],
+                        ["a", "b", "rim"])
+
+    links = cut_lineage(_each_block(spark, groups, link, "a long, b long, rim boolean"))
+    roots = cut_lineage(connected(links.where("NOT rim")))
+    core = marked.where("core").select("key").join(roots.withColumnRenamed("node", "key"), "key", "left").select(
+        "key", F.coalesce("root", "key").alias("cluster"))
+    joined = links.where("rim").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct().join(
+        roots, "node", "left").groupBy("key").agg(F.min(F.coalesce("root", "node")).alias("cluster"))
+    label = core.unionByName(joined)
     return marked.select("key", "n_within", "core").join(label, "key", "left").select(
         F.col("key").alias(key), "n_within", "core", "cluster")

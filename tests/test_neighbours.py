@@ -171,3 +171,27 @@ def test_combined_resample_sizes(spark):
         resample.smote_rows(alone, "y", "id", ["a"])
     assert resample.oversample(alone.where("y = 0"), "y", "id", ["a"]).count() == 2
     assert resample.smote_rows(alone.where("y = 9"), "y", "id", ["a"]).count() == 0
+
+
+def test_vectors_are_dealt_once(spark, monkeypatch):
+    """Without structure every query meets every cell; no copy of it goes to each."""
+    def routed(*_, **__):
+        raise AssertionError("a row per query and cell")
+
+    monkeypatch.setattr(neighbours, "_routed", routed)
+    v = np.random.default_rng(4).normal(0, 1, (60, 12))
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame(rows, VEC)
+    got = neighbours.nearest(df, "id", "v", 3, 6, 10).collect()
+    assert sorted(tuple(r) for r in got) == plain_nearest(rows, 3)
+    got = neighbours.density_clusters(df, "id", "v", 4.0, 3, 6, 10).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[0]) == plain_density(rows, 4.0, 3)
+    placed, _ = neighbours.in_cells(neighbours.whole_vectors(df, "id", "v"), 0, 6)
+    blocks = [b.read()["key"].to_pylist() for b in neighbours._written(placed.select("key", "v", "cell"), 10)]
+    assert sorted(x for b in blocks for x in b) == list(range(60))
+
+
+def test_nearest_with_names_as_keys(spark):
+    rows = [(f"n{i % 7}-{i}", [float(i % 5), float(i % 3)]) for i in range(30)]
+    got = neighbours.nearest(spark.createDataFrame(rows, "id string, v array<double>"), "id", "v", 4, 3, 6).collect()
+    assert sorted(tuple(r) for r in got) == plain_nearest(rows, 4)
