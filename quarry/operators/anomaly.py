@@ -10,21 +10,32 @@ table to the executors once and walks all trees for a whole Arrow batch at a
 time in ``mapInPandas``: score = 2^(-E[h(x)] / c(psi)).  The label is -1 for
 the ``contamination`` share of highest scores (cut = exact quantile of
 the scores), 1 otherwise.
+
+Both models fit several groups of rows (``by``, few of them) on their own in
+the same jobs: the number of jobs does not depend on how many there are.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from .common import top_k
-from .quantile import quantile_row
+from .gang import Gang, slots
+from .quantile import row_quantiles
+
+GANG_BYTES = 1 << 30    # of a task's kernel features, at most, where tasks keep them
 
 NODE_SCHEMA = ("tree int, node int, feature int, threshold double, left int, right int, "
                "size long, leaf boolean")
@@ -65,34 +76,67 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple
     return [tuple(n) for n in nodes]
 
 
+def _group_no(by: Sequence[str], groups: Sequence[tuple]) -> Column:
+    """Which of ``groups`` (values of ``by``) a row belongs to, from 0; NULL if none."""
+    if not by:
+        return F.lit(0)
+    out = F.lit(None).cast("int")
+    for i, group in enumerate(groups):
+        same = F.lit(True)
+        for c, v in zip(by, group, strict=True):
+            same = same & F.col(c).eqNullSafe(F.lit(v))
+        out = F.when(same, F.lit(i)).otherwise(out)
+    return out
+
+
+def _labelled(scored: DataFrame, score: str, share: float, groups: int) -> tuple[DataFrame, Column]:
+    """(rows cut from their lineage, the exact ``share`` quantile of their group's scores)."""
+    scored = cut_lineage(scored)
+    cuts = {r["_g"]: r["q"][0] for r in row_quantiles(scored, ["_g"], [share], score).collect()}
+    return scored, F.get(F.array(*[F.lit(cuts.get(g)).cast("double") for g in range(max(groups, 1))]), F.col("_g"))
+
+
+def _fields(df: DataFrame, cols: Sequence[str]) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*cols).schema.fields)
+
+
 def iforest_fit(df: DataFrame, features: str, keys: Sequence[str], n_trees: int = 100, psi: int = 256, seed: int = 42,
-                oversample: float = 1.5) -> tuple[list, int]:
-    """Grow the forest; returns (node rows, effective psi)."""
-    n = df.count()
-    psi = int(min(psi, n))
+                oversample: float = 1.5, by: Sequence[str] = ()) -> list[tuple[tuple, list, int]]:
+    """Grow a forest for each group of ``by`` (one without); returns per group
+    (values of ``by``, node rows, effective psi)."""
+    sizes = sorted(map(tuple, df.groupBy(*by).agg(F.count(F.lit(1))).collect()), key=repr)
+    groups, psis = [r[:-1] for r in sizes], [int(min(psi, r[-1])) for r in sizes]
+    if not groups:
+        return []
     # (row, tree) pairs by a hash threshold, with a margin; each tree then keeps
     # the psi smallest.  The hash is of the row's keys, so the forest does not
     # depend on how the rows are partitioned.
     keys, span = list(keys), 1 << 40
-    below = int(min(1.0, oversample * psi / max(n, 1)) * span)
+    below = F.get(F.array(*[F.lit(int(min(1.0, oversample * p / max(r[-1], 1)) * span)).cast("bigint")
+                            for p, r in zip(psis, sizes)]), F.col("_g"))
     drawn = F.filter(F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: F.struct(
         t.alias("tree"), F.pmod(F.xxhash64(*keys, t, F.lit(seed)), F.lit(span)).alias("_h"))),
-        lambda p: p["_h"] < below)
-    per_tree = df.select(*keys, F.col(features).alias("x"), F.explode(drawn).alias("p")).select(*keys, "x", "p.*")
-    chosen = top_k(per_tree, ["tree"], [F.col("_h"), *map(F.col, keys)], psi, salt_on=keys)
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+        lambda p: p["_h"] < F.col("_below"))
+    per_tree = df.withColumn("_g", _group_no(by, groups)).withColumn("_below", below).select(
+        "_g", *keys, F.col(features).alias("x"), F.explode(drawn).alias("p")).select("_g", *keys, "x", "p.*")
+    sizes_of = dict(enumerate(psis))
+    chosen = top_k(per_tree, ["_g", "tree"], [F.col("_h"), *map(F.col, keys)], psi, salt_on=keys)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = int(pdf["tree"].iloc[0])
+        g, t = int(pdf["_g"].iloc[0]), int(pdf["tree"].iloc[0])
+        max_depth = int(math.ceil(math.log2(max(sizes_of[g], 2))))
         x = np.stack(pdf["x"].to_numpy()).astype(float)
         rows = _grow(x, np.random.default_rng(seed * 1000003 + t), max_depth)
         out = pd.DataFrame(rows, columns=["node", "feature", "threshold", "left", "right", "size", "leaf"])
         out.insert(0, "tree", t)
-        return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "left": "int32",
+        out.insert(0, "_g", g)
+        return out.astype({"_g": "int32", "tree": "int32", "node": "int32", "feature": "int32", "left": "int32",
                            "right": "int32", "size": "int64"})
 
-    nodes = chosen.select("tree", "x").groupBy("tree").applyInPandas(grow, NODE_SCHEMA).collect()
-    return [tuple(r) for r in nodes], psi
+    nodes: list[list] = [[] for _ in groups]
+    for r in chosen.select("_g", "tree", "x").groupBy("_g", "tree").applyInPandas(grow, "_g int, " + NODE_SCHEMA).collect():
+        nodes[r[0]].append(tuple(r)[1:])
+    return list(zip(groups, nodes, psis))
 
 
 def _path_lengths(x: np.ndarray, trees: dict) -> np.ndarray:
@@ -113,8 +157,7 @@ def _path_lengths(x: np.ndarray, trees: dict) -> np.ndarray:
     return total / len(trees)
 
 
-def iforest_score(df: DataFrame, features: str, nodes: list, psi: int, keep: Sequence[str]) -> DataFrame:
-    """Anomaly score per row (higher = more anomalous)."""
+def _trees(nodes: list) -> dict:
     by_tree: dict[int, list] = {}
     for r in nodes:
         by_tree.setdefault(r[0], []).append(r)
@@ -124,32 +167,39 @@ def iforest_score(df: DataFrame, features: str, nodes: list, psi: int, keep: Seq
         trees[t] = (np.array([r[2] for r in rows]), np.array([r[3] for r in rows]),
                     np.array([r[4] for r in rows]), np.array([r[5] for r in rows]),
                     np.array([c_factor(float(r[6])) for r in rows]), np.array([r[7] for r in rows]))
-    bc = df.sparkSession.sparkContext.broadcast(trees)
-    cpsi = c_factor(psi)
+    return trees
+
+
+def iforest_score(df: DataFrame, features: str, forests: list[tuple[tuple, list, int]], keep: Sequence[str],
+                  by: Sequence[str] = ()) -> DataFrame:
+    """Anomaly score per row by its group's forest (higher = more anomalous);
+    ``_g`` numbers the groups in the order of ``forests``."""
+    bc = df.sparkSession.sparkContext.broadcast([(_trees(nodes), c_factor(psi)) for _, nodes, psi in forests])
     keep = list(keep)
 
     def score(batches):
-        tr = bc.value
+        models = bc.value
         for pdf in batches:
-            x = np.stack(pdf[features].to_numpy()).astype(float) if len(pdf) else np.zeros((0, 1))
-            h = _path_lengths(x, tr) if len(x) else np.zeros(0)
-            out = pdf[keep].copy()
-            out["score"] = np.power(2.0, -h / cpsi) if cpsi > 0 else 0.5
+            out, s = pdf[[*keep, "_g"]].copy(), np.zeros(len(pdf))
+            for g, (trees, cpsi) in enumerate(models):
+                at = np.flatnonzero(pdf["_g"].to_numpy() == g)
+                if len(at):
+                    x = np.stack(pdf["_x"].to_numpy()[at]).astype(float)
+                    s[at] = np.power(2.0, -_path_lengths(x, trees) / cpsi) if cpsi > 0 else 0.5
+            out["score"] = s
             yield out
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields)
-    cols = keep + ([features] if features not in keep else [])
-    return df.select(*cols).mapInPandas(score, schema + ", score double")
+    rows = df.select(*keep, _group_no(by, [f[0] for f in forests]).alias("_g"), F.col(features).alias("_x"))
+    return rows.mapInPandas(score, _fields(df, keep) + ", _g int, score double")
 
 
 def iforest(df: DataFrame, features: str, keep: Sequence[str], contamination: float = 0.01,
-            n_trees: int = 100, psi: int = 256, seed: int = 42) -> DataFrame:
-    """Fit + score + label (-1 for the top ``contamination`` share)."""
-    nodes, psi_eff = iforest_fit(df, features, keep, n_trees, psi, seed)
-    scored = iforest_score(df, features, nodes, psi_eff, keep)
-    scored = cut_lineage(scored)
-    cut = quantile_row(scored, "score", [1.0 - contamination])[0]
-    return scored.withColumn("label", F.when(F.col("score") > F.lit(cut), F.lit(-1)).otherwise(F.lit(1)))
+            n_trees: int = 100, psi: int = 256, seed: int = 42, by: Sequence[str] = ()) -> DataFrame:
+    """Fit + score + label (-1 for the top ``contamination`` share), for each
+    group of ``by`` on its own."""
+    forests = iforest_fit(df, features, keep, n_trees, psi, seed, by=by)
+    scored, cut = _labelled(iforest_score(df, features, forests, keep, by), "score", 1.0 - contamination, len(forests))
+    return scored.withColumn("label", F.when(F.col("score") > cut, F.lit(-1)).otherwise(F.lit(1))).drop("_g")
 
 
 def standardise_vector(df: DataFrame, vec: str, dim: int, out: str = "z") -> DataFrame:
@@ -160,79 +210,147 @@ def standardise_vector(df: DataFrame, vec: str, dim: int, out: str = "z") -> Dat
 
 # ---------------------------------------------------------------- one-class SVM (N2), re-aimed
 
-def rff_features(df: DataFrame, features: str, dim: int, n_components: int = 100, gamma: float | None = None,
-                 seed: int = 42, out: str = "rff") -> DataFrame:
-    """Random Fourier features of the RBF kernel exp(-gamma |x - y|^2)
-    (Rahimi & Recht 2007): z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma),
-    b ~ U(0, 2 pi).  gamma defaults to sklearn's 'scale' = 1 / (d Var(X)),
-    Var over all entries (one aggregation).  The D x d matrix is shipped once
-    (bounded by the parameters) and applied per Arrow batch."""
-    if gamma is None:
-        st = df.select(F.explode(features).alias("v")).agg(F.var_pop("v").alias("var")).first()
-        var = st["var"] or 1.0
-        gamma = 1.0 / (dim * var) if var > 0 else 1.0
+def rff_draw(dim: int, n_components: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """W (D x d) and b of the random Fourier features of exp(-gamma |x - y|^2)
+    (Rahimi & Recht 2007): W ~ N(0, 2 gamma), b ~ U(0, 2 pi)."""
     rng = np.random.default_rng(seed)
     w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, dim))
-    b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
-    bc = df.sparkSession.sparkContext.broadcast((w, b))
-    scale = math.sqrt(2.0 / n_components)
-    cols = df.columns
-
-    def fn(batches):
-        ww, bb = bc.value
-        for pdf in batches:
-            x = (np.stack(pdf[features].to_numpy()).astype(float) if len(pdf) else np.zeros((0, dim)))
-            z = scale * np.cos(x @ ww.T + bb)
-            res = pdf.copy()
-            res[out] = list(z)
-            yield res
-
-    schema = df.schema.simpleString()[len("struct<"):-1] + f", {out} array<double>"
-    return df.select(*cols).mapInPandas(fn, schema)
-
-
-def ocsvm(df: DataFrame, features: str, dim: int, keep: Sequence[str], nu: float = 0.05,
-          n_components: int = 100, tol: float = 1e-3, max_steps: int = 500, seed: int = 42) -> DataFrame:
-    """One-class SVM on random Fourier features.  Minimises
+    return w, rng.uniform(0.0, 2.0 * math.pi, size=n_components)
+
+
+def rff(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """z(x) = sqrt(2/D) cos(W x + b) of every row."""
+    return math.sqrt(2.0 / len(b)) * np.cos(x @ w.T + b)
+
+
+class _Svms:
+    """One-class SVMs of several groups between two steps, and those still at it."""
+
+    def __init__(self, sizes: Mapping[int, int], n_components: int, nu: float, tol: float):
+        self.weight, self.tol, self.t, self.size = {g: nu * n for g, n in sizes.items()}, tol, 0, n_components + 2
+        self.w = {g: np.full(n_components, 1.0 / math.sqrt(n_components)) for g in sizes}
+        self.rho, self.history = dict.fromkeys(sizes, 0.0), {g: [] for g in sizes}
+        self.best, self.active = {g: (math.inf, w) for g, w in self.w.items()}, list(sizes)
+
+    def sums(self, blocks: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+        """Of each group still at it the vector sum of the rows short of rho,
+        their number and how short they are, flat."""
+        out = {g: np.zeros(self.size) for g in self.active}
+        for g, z in blocks:
+            if g in out:
+                gap = self.rho[g] - z @ self.w[g]
+                short = ~(gap <= 0)
+                out[g] += [*(short.astype(float) @ z), short.sum(), gap[short].sum()]
+        return np.concatenate(list(out.values()))
+
+    def step(self, sums: np.ndarray) -> None:
+        for g, s in zip(list(self.active), sums.reshape(-1, self.size)):
+            w, rho, history, weight = self.w[g], self.rho[g], self.history[g], self.weight[g]
+            vsum, count, gap = s[:-2], s[-2], s[-1]
+            self.best[g] = min(self.best[g], (0.5 * float(w @ w) + gap / weight - rho, w), key=lambda b: b[0])
+            history.append(self.best[g][0])
+            if len(history) > 10 and history[-11] - history[-1] <= self.tol * max(abs(history[-1]), self.tol):
+                self.active.remove(g)
+                continue
+            step = 1.0 / (self.t + 2)
+            self.w[g] = w - step * (w - vsum / weight)
+            self.rho[g] = rho - step * (-1.0 + count / weight)
+        self.t += 1
+
+
+def _kernel_blocks(batches: Iterator[pa.RecordBatch], kernels: dict) -> Iterator[tuple[int, np.ndarray]]:
+    for batch in batches:
+        for g, (w, b) in kernels.items():
+            part = batch.filter(pc.equal(batch.column(0), g))
+            if part.num_rows:
+                x = np.asarray(part.column(1).flatten(), np.float64).reshape(part.num_rows, -1)
+                yield g, rff(x, w, b)
+
+
+def _steps_in_gang(rows: DataFrame, kernels: dict, svms: _Svms, max_steps: int, tasks: int) -> None:
+    """All steps in one barrier stage of tasks that keep their rows' features."""
+    folder = checkpoint_dir(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, gang = list(_kernel_blocks(batches, kernels)), Gang(folder, tasks)
+        while svms.active and svms.t <= max_steps:
+            sums = svms.sums(iter(own))
+            svms.step(gang.added(sums, 0, len(sums)))
+        if gang.me == 0:
+            yield pa.RecordBatch.from_pylist(
+                [{"g": g, "objective": o, "w": w, "active": g in svms.active} for g, (o, w) in svms.best.items()],
+                schema=pa.schema([("g", pa.int32()), ("objective", pa.float64()), ("w", pa.list_(pa.float64())),
+                                  ("active", pa.bool_())]))
+        gang.end()
+
+    dealt = rows.repartition(tasks).mapInArrow(run, "g int, objective double, w array<double>, active boolean",
+                                               barrier=True)
+    found = dealt.collect()
+    svms.best = {r["g"]: (r["objective"], np.array(r["w"])) for r in found}
+    svms.active = [r["g"] for r in found if r["active"]]
+
+
+def _steps_in_jobs(rows: DataFrame, kernels: dict, svms: _Svms, max_steps: int) -> None:
+    """A job a step for all groups: the tasks' sums are added up, and one row comes back."""
+    while svms.active and svms.t <= max_steps:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([svms.sums(_kernel_blocks(batches, kernels))], pa.list_(pa.float64()))], ["s"])
+
+        part = rows.mapInArrow(run, "s array<double>").select(array_to_vector("s").alias("s"))
+        svms.step(part.agg(Summarizer.sum(F.col("s")).alias("s")).first()["s"].toArray())
+
+
+def ocsvm(df: DataFrame, features: str, dim: int | Mapping[tuple, int], keep: Sequence[str], nu: float = 0.05,
+          n_components: int = 100, tol: float = 1e-3, max_steps: int = 500, seed: int = 42,
+          by: Sequence[str] = ()) -> DataFrame:
+    """One-class SVM on random Fourier features, gamma = sklearn's 'scale' =
+    1 / (d Var(X)), Var over all entries.  Minimises
     1/2 |w|^2 + 1/(nu n) sum max(0, rho - w.z_i) - rho by full-batch
     subgradient steps (one distributed vector sum per step) until the best
     objective has improved by less than ``tol`` of itself over ten steps; more
     than ``max_steps`` raise an error.  The best w is kept; afterwards rho is
     set to the nu-quantile of the scores w.z_i, so the flagged share is nu.
-    Label -1 when w.z < rho (sklearn's convention), score = w.z - rho."""
-    from pyspark import StorageLevel
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-    z = rff_features(df.select(*keep, features), features, dim, n_components, seed=seed) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    n = z.count()
-    w = np.full(n_components, 1.0 / math.sqrt(n_components))
-    rho, best, history = 0.0, (math.inf, w), []
-    for t in range(max_steps + 1):
-        lit_w = F.array(*[F.lit(float(v)) for v in w])
-        s = F.aggregate(F.zip_with("rff", lit_w, lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v)
-        short = z.withColumn("_gap", F.lit(rho) - s).where("_gap > 0")
-        # a row comes back, or none: vectors are added up as vectors, next to the rows first
-        rows = short.groupBy(F.lit(1).alias("all")).agg(
-            Summarizer.metrics("sum").summary(array_to_vector("rff")).alias("m"), F.count(F.lit(1)).alias("c"),
-            F.sum("_gap").alias("g")).collect()
-        vsum, cnt, gap = ((rows[0]["m"]["sum"].toArray(), rows[0]["c"], rows[0]["g"]) if rows
-                          else (np.zeros(n_components), 0, 0.0))
-        best = min(best, (0.5 * float(w @ w) + gap / (nu * n) - rho, w), key=lambda b: b[0])
-        history.append(best[0])
-        if len(history) > 10 and history[-11] - history[-1] <= tol * max(abs(history[-1]), tol):
-            break
-        step = 1.0 / (t + 2)
-        w = w - step * (w - vsum / (nu * n))
-        rho = rho - step * (-1.0 + cnt / (nu * n))
+    Label -1 when w.z < rho (sklearn's convention), score = w.z - rho.
+
+    With ``by``, ``dim`` names the groups to fit, each on its own, and the
+    length of their features; a group without rows is an error.  All groups take their steps
+    together in one barrier stage; a job a step where slots are unknown or a
+    task's features pass GANG_BYTES."""
+    keep, spark = list(keep), df.sparkSession
+    dims = dict(dim) if by else {(): dim}
+    z = df.select(*keep, _group_no(by, list(dims)).alias("_g"), F.col(features).alias("_x")).where(
+        F.col("_g").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    found = {r["_g"]: r for r in z.select("_g", F.posexplode("_x").alias("_i", "v")).groupBy("_g").agg(
+        F.var_pop("v").alias("var"), F.count_if(F.col("_i") == 0).alias("n")).collect()}
+    if len(found) < len(dims):
+        raise ZeroDivisionError(f"no rows to fit in {[g for i, g in enumerate(dims) if i not in found]}")
+    kernels = {}
+    for g, d in enumerate(dims.values()):
+        var = found[g]["var"] or 1.0
+        kernels[g] = rff_draw(d, n_components, 1.0 / (d * var) if var > 0 else 1.0, seed)
+    svms = _Svms({g: found[g]["n"] for g in kernels}, n_components, nu, tol)
+    rows, tasks, n = z.select("_g", "_x"), slots(spark), sum(r["n"] for r in found.values())
+    if tasks and n // tasks * 8 * n_components < GANG_BYTES:
+        _steps_in_gang(rows, kernels, svms, max_steps, tasks)
     else:
-        raise RuntimeError(f"no convergence in {max_steps} steps: objective {history[-1]:.6g}")
-    w = best[1]
-    lit_w = F.array(*[F.lit(float(v)) for v in w])
-    scored = z.withColumn("_s", F.aggregate(F.zip_with("rff", lit_w, lambda a, c: a * c), F.lit(0.0),
-                                            lambda acc, v: acc + v))
-    scored = cut_lineage(scored)
+        _steps_in_jobs(rows, kernels, svms, max_steps)
+    if svms.active:
+        raise RuntimeError(f"no convergence in {max_steps} steps: objective {svms.best[svms.active[0]][0]:.6g}")
+    bc = spark.sparkContext.broadcast({g: (*kernels[g], svms.best[g][1]) for g in kernels})
+
+    def score(batches):
+        for pdf in batches:
+            out, s = pdf[[*keep, "_g"]].copy(), np.zeros(len(pdf))
+            for g, (w, b, best) in bc.value.items():
+                at = np.flatnonzero(pdf["_g"].to_numpy() == g)
+                if len(at):  # added up component by component, so that equal rows have equal scores
+                    parts = rff(np.stack(pdf["_x"].to_numpy()[at]).astype(float), w, b).T
+                    s[at] = sum((part * c for part, c in zip(parts, best)), np.zeros(len(at)))
+            out["_s"] = s
+            yield out
+
+    scored, cut = _labelled(z.mapInPandas(score, _fields(df, keep) + ", _g int, _s double"), "_s", nu, len(dims))
     z.unpersist()
-    cut = quantile_row(scored, "_s", [nu])[0]
-    return scored.select(*keep, (F.col("_s") - F.lit(cut)).alias("score"),
-                         F.when(F.col("_s") < F.lit(cut), F.lit(-1)).otherwise(F.lit(1)).alias("label"))
+    return scored.select(*keep, (F.col("_s") - cut).alias("score"),
+                         F.when(F.col("_s") < cut, F.lit(-1)).otherwise(F.lit(1)).alias("label"))

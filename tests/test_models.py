@@ -117,3 +117,72 @@ def test_kmeans_takes_no_job_per_round_and_restart(spark):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert not fits.active and rounds <= 12
     assert np.allclose([c.mean(axis=1).min() for c in fits.centres.values()], 0, atol=0.2)
+
+
+def _grouped_points(spark, sizes=((2, 300), (3, 200), (5, 60))):
+    """(id, g, x): per group ``g`` so many points of ``g`` components, two of each far off."""
+    rng = np.random.default_rng(9)
+    rows = [(i, d, [float(v) for v in (rng.normal(0, 1, d) if i >= 2 else np.full(d, 15.0 + i))])
+            for d, n in sizes for i in range(n)]
+    return spark.createDataFrame(rows, "id long, g int, x array<double>")
+
+
+def test_models_of_groups_equal_their_single_fits(spark, monkeypatch):
+    """Groups fitted together end where each ends alone, in a gang or a job a step."""
+    df = _grouped_points(spark)
+    svm, forest = {}, {}
+    for g in (2, 3, 5):
+        own = df.where(F.col("g") == g)
+        svm |= {(r["id"], g): (r["score"], r["label"]) for r in an.ocsvm(own, "x", g, ["id", "g"]).collect()}
+        forest |= {(r["id"], g): (r["score"], r["label"]) for r in an.iforest(own, "x", ["id", "g"]).collect()}
+    both = an.iforest(df, "x", ["id", "g"], by=["g"])
+    assert {(r["id"], r["g"]): (r["score"], r["label"]) for r in both.collect()} == forest
+    for room in (an.GANG_BYTES, 0):
+        monkeypatch.setattr(an, "GANG_BYTES", room)
+        rows = an.ocsvm(df, "x", {(g,): g for g in (2, 3, 5)}, ["id", "g"], by=["g"]).collect()
+        assert len(rows) == len(svm) and all(r["label"] == svm[r["id"], r["g"]][1] for r in rows)
+        assert np.allclose([r["score"] for r in rows], [svm[r["id"], r["g"]][0] for r in rows], atol=1e-9)
+
+
+def test_ocsvm_matches_steps_by_hand(spark):
+    """The fit's scores are those of plain full-batch subgradient steps."""
+    df = _grouped_points(spark, ((2, 300),))
+    x = np.array([r["x"] for r in df.orderBy("id").collect()])
+    w_, b_ = an.rff_draw(2, 100, 1.0 / (2 * x.var()), 42)
+    z, w, rho, best, history = an.rff(x, w_, b_), np.full(100, 0.1), 0.0, (np.inf, None), []
+    for t in range(501):
+        gap = rho - z @ w
+        best = min(best, (w @ w / 2 + gap[gap > 0].sum() / 15 - rho, w), key=lambda b: b[0])
+        history.append(best[0])
+        if t >= 10 and history[-11] - history[-1] <= 1e-3 * max(abs(history[-1]), 1e-3):
+            break
+        w, rho = (w - (w - z[gap > 0].sum(axis=0) / 15) / (t + 2), rho - ((gap > 0).sum() / 15 - 1) / (t + 2))
+    s = z @ best[1]
+    got = {r["id"]: r["score"] for r in an.ocsvm(df, "x", 2, ["id"], nu=0.05).collect()}
+    assert np.allclose([got[i] for i in range(300)], s - np.quantile(s, 0.05), atol=1e-9)
+
+
+def test_ocsvm_takes_no_job_per_step(spark):
+    """However many steps and groups, the fits share a bounded number of jobs."""
+    df = _grouped_points(spark).cache()
+    df.count()
+
+    def jobs(name, fit):
+        spark.sparkContext.setJobGroup(name, name)
+        fit()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    one = jobs("one", lambda: an.ocsvm(df.where("g = 2"), "x", 2, ["id"]))
+    # adaptive execution may run a shuffle more or less as a job of its own
+    assert one <= 24
+    assert jobs("all", lambda: an.ocsvm(df, "x", {(g,): g for g in (2, 3, 5)}, ["id", "g"], by=["g"])) <= one + 4
+
+
+def test_zscore_array_by_equals_each_group_alone(spark):
+    from quarry.operators.encode import zscore_array, zscore_array_by
+    df = _grouped_points(spark).unionByName(spark.createDataFrame([(0, 1, [7.0]), (1, 1, [7.0])], "id long, g int, x array<double>"))
+    got = {(r["g"], r["id"]): r["z"] for r in zscore_array_by(df, "x", ["g"], "z").collect()}
+    for g in (1, 2, 3, 5):
+        for r in zscore_array(df.where(F.col("g") == g), "x", g, "z").collect():
+            assert np.allclose(got[g, r["id"]], r["z"], atol=1e-12)
