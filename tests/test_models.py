@@ -186,3 +186,12 @@ def test_zscore_array_by_equals_each_group_alone(spark):
     for g in (1, 2, 3, 5):
         for r in zscore_array(df.where(F.col("g") == g), "x", g, "z").collect():
             assert np.allclose(got[g, r["id"]], r["z"], atol=1e-12)
+
+
+def test_few_parts_keeps_rows_and_follows_their_number(spark):
+    from quarry.session import cut_lineage, few_parts
+    df = cut_lineage(spark.range(0, 1000, 1, 200))
+    few = spark.sparkContext.defaultParallelism
+    assert few_parts(df).rdd.getNumPartitions() == min(200, few)
+    assert few_parts(df, rows=10).rdd.getNumPartitions() == min(200, max(few, 100))
+    assert sorted(r[0] for r in few_parts(df).collect()) == list(range(1000))
