@@ -8,8 +8,9 @@ by a hash into blocks.  A block is a file below the shared checkpoint folder,
 written once: a task takes one block of queries, reads the blocks that it has to
 meet one after the other, and keeps only what its own rows need, so vectors cross
 a shuffle once on their way to their block and never per cell that a query is
-sent to.  Blocks find candidates by a matrix product and settle them by exact
-differences.
+sent to.  Blocks find candidates by a matrix product in single precision, with
+room for its error, and settle them by exact differences; where both rows of a
+pair count alike, two blocks meet in one task only.
 
 Distances are Euclidean, rounded to ``DIGITS`` decimals before they are
 compared, so that equal distances are equal in every block.
@@ -32,7 +33,7 @@ from .components import connected, forest
 from .gang import _file_system
 
 PIVOTS = 1024   # at most; a cell holds about CELL rows where that allows it
-CELL = 1000
+CELL = 2000
 BLOCK = 4000    # about as many members meet as many queries at a time
 CHUNK = 200     # queries of a block compared at a time
 DIGITS = 9
@@ -226,31 +227,68 @@ def _lower(cells: Cells, v: np.ndarray, cell: int) -> np.ndarray:
     return out
 
 
-def _squares(qv: np.ndarray, mv: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first query, queries, squared distances by one product, |query|^2 + the
-    largest |member|^2) chunk by chunk."""
-    mm = (mv ** 2).sum(axis=1)
-    members = np.concatenate([mv, mm[:, None], np.ones((len(mv), 1))], axis=1).T
-    for at in range(0, len(qv), CHUNK):
-        q = qv[at:at + CHUNK]
-        qq = (q ** 2).sum(axis=1)
-        yield at, q, np.concatenate([-2 * q, np.ones((len(q), 1)), qq[:, None]], axis=1) @ members, qq + mm.max()
+def _screened(qv: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int | None = None) -> Iterator[tuple]:
+    """(first query, query, member, least, most) chunk by chunk: bounds of the
+    squared distance of every pair that may lie within its query's limit and,
+    with ``k``, among the query's k nearest.  The product is made of single
+    precision numbers around the members' mean; ``share`` of both squared
+    lengths is more than it may be off.  Where that leaves much open (a crowd),
+    doubles are taken."""
+    centre = mv.mean(axis=0)
+    q, m = qv - centre, mv - centre
+    qq, mm, top = (q ** 2).sum(axis=1), (m ** 2).sum(axis=1), (limit + SLACK) ** 2
+    forms: dict[type, tuple] = {}
+
+    def product(kind: type, at: int) -> tuple[np.ndarray, np.ndarray, float]:
+        if kind not in forms:
+            share = 2 * (q.shape[1] + 16) * float(np.finfo(kind).eps)
+            forms[kind] = (np.concatenate([-2 * q, np.ones((len(q), 1)), (1 - share) * qq[:, None]], axis=1).astype(kind),
+                           np.concatenate([m, (1 - share) * mm[:, None], np.ones((len(m), 1))], axis=1).astype(kind).T,
+                           share)
+        left, right, share = forms[kind]
+        least = left[at:at + CHUNK] @ right
+        cap = top[at:at + CHUNK]
+        near = _below(least, cap)
+        if k and k < len(m) and len(near) > 2 * k * len(least):
+            kth = np.partition(least, k - 1, axis=1)[:, k - 1] + 2 * share * (qq[at:at + CHUNK] + mm.max())
+            near = _below(least, np.minimum(cap, kth))
+        return least, near, share
+
+    first = np.float32 if qq.max() + mm.max() < 1e30 else np.float64
+    for at in range(0, len(q), CHUNK):
+        least, near, share = product(first, at)
+        if first is np.float32 and len(near) > least.size // 16:
+            least, near, share = product(np.float64, at)
+        i, j = np.divmod(near, len(m))
+        least = least.ravel()[near].astype(float)
+        yield at, i, j, least, least + 2 * share * (qq[at + i] + mm[j])
+
+
+def _below(values: np.ndarray, cap: np.ndarray) -> np.ndarray:
+    """Places of the values (row by row) that are at most their row's cap, rounded up."""
+    return np.flatnonzero(values <= np.nextafter(cap.astype(values.dtype), values.dtype.type(np.inf))[:, None])
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.round(np.sqrt(((a - b) ** 2).sum(axis=1)), DIGITS)
 
 
 def _pairs(qv: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query, member, distance) of a block, chunk by chunk: pairs within each
-    query's limit that may be among its k nearest."""
-    for at, q, square, size in _squares(qv, mv):
-        error = 1e-11 * size + 1e-9
-        near = square <= ((limit[at:at + CHUNK] + SLACK) ** 2 + error)[:, None]
-        if k < len(mv) and np.count_nonzero(near) > 2 * k * len(q):
-            near &= square <= (np.partition(square, k - 1, axis=1)[:, k - 1] + 2 * error)[:, None]
-        i, j = np.nonzero(near)
+    """(query, member, distance) of a block: pairs within each query's limit
+    that may be among its k nearest, some 2^18 at a time at most."""
+    kept, held = [], 0
+    for at, i, j, _, _ in _screened(qv, limit, mv, k):
         for s in range(0, len(i), 1 << 18):
-            a, b = i[s:s + (1 << 18)], j[s:s + (1 << 18)]
-            d = np.round(np.sqrt(((q[a] - mv[b]) ** 2).sum(axis=1)), DIGITS)
-            ok = d <= limit[at + a] + 10.0 ** -DIGITS / 2
-            yield at + a[ok], b[ok], d[ok]
+            a, b = at + i[s:s + (1 << 18)], j[s:s + (1 << 18)]
+            d = _apart(qv[a], mv[b])
+            ok = d <= limit[a] + 10.0 ** -DIGITS / 2
+            kept.append((a[ok], b[ok], d[ok]))
+            held += len(kept[-1][0])
+            if held > 1 << 17:
+                yield tuple(map(np.concatenate, zip(*kept, strict=True)))
+                kept, held = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*kept, strict=True)))
 
 
 def _names(keys: pa.ChunkedArray) -> np.ndarray:
@@ -324,29 +362,37 @@ def k_distances(df: DataFrame, key: str, vec: str, k: int = 5, **limits: int) ->
     return rows.join(near.select(key, kth.alias("k_distance")), key, "left")
 
 
-def _within(qv: np.ndarray, mv: np.ndarray, eps: float) -> Iterator[tuple[int, np.ndarray]]:
-    """(first query, matrix of query x member: within eps), chunk by chunk.
-    Only pairs that the product cannot tell apart from eps are settled by
-    their differences."""
-    for at, q, square, size in _squares(qv, mv):
-        error = (1e-11 * size + 1e-8 * (1 + eps))[:, None]
-        inside = square <= eps * eps - error
-        i, j = np.nonzero((square <= eps * eps + error) ^ inside)
-        for s in range(0, len(i), 1 << 15):
-            a, b = i[s:s + (1 << 15)], j[s:s + (1 << 15)]
-            inside[a, b] = np.round(np.sqrt(((q[a] - mv[b]) ** 2).sum(axis=1)), DIGITS) <= eps
-        yield at, inside
+def _within(qv: np.ndarray, mv: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, member) of the pairs within eps, chunk by chunk.  Only pairs that
+    the product cannot tell apart from eps are settled by their differences."""
+    sure = max(eps - SLACK, 0.0) ** 2
+    for at, i, j, _, most in _screened(qv, np.full(len(qv), eps), mv):
+        i, inside = at + i, most <= sure
+        doubt = np.flatnonzero(~inside)
+        for s in range(0, len(doubt), 1 << 15):
+            x = doubt[s:s + (1 << 15)]
+            inside[x] = _apart(qv[i[x]], mv[j[x]]) <= eps
+        yield i[inside], j[inside]
 
 
-def _joined(qn: np.ndarray, qv: np.ndarray, mn: np.ndarray, mv: np.ndarray, eps: float) -> np.ndarray:
-    """Distinct (name of query, name of member) of the pairs within eps."""
-    (a, i), (b, j) = (np.unique(x, return_inverse=True) for x in (qn, mn))
+def _meets(a: int, b: int) -> bool:
+    """Whether block a's task compares it with block b, or b's does: about half
+    of the others fall to each."""
+    return a == b or (b > a) == ((a + b) % 2 == 0)
+
+
+def _joined(qn: np.ndarray, qc: np.ndarray, qv: np.ndarray, mn: np.ndarray, mc: np.ndarray, mv: np.ndarray,
+            eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of names (of a query, of a member) within eps: those of
+    two core rows, and those of a row that is not core with a core one."""
+    (a, p, i), (b, r, j) = (np.unique(x, return_index=True, return_inverse=True) for x in (qn, mn))
     codes = [np.zeros(0, np.int64)]
-    for at, near in _within(qv, mv, eps):
-        r, c = np.nonzero(near)
-        codes.append(np.unique(i[at + r] * len(b) + j[c]))
-    codes = np.unique(np.concatenate(codes))
-    return np.stack([a[codes // len(b)], b[codes % len(b)]], axis=1)
+    for x, y in _within(qv, mv, eps):
+        some = qc[x] | mc[y]
+        codes.append(np.unique(i[x[some]] * len(b) + j[y[some]]))
+    x, y = np.divmod(np.unique(np.concatenate(codes)), len(b))
+    names, qc, mc = np.stack([a[x], b[y]], axis=1), qc[p][x], mc[r][y]
+    return names[qc & mc], np.concatenate([names[~qc], names[~mc][:, ::-1]])
 
 
 def _spanned(pairs: np.ndarray) -> np.ndarray:
@@ -393,12 +439,20 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
         own = blocks[at].read()
         q = _matrix(own["v"])
         low, n = _lower(cells, q, blocks[at].cell), np.zeros(len(q), np.int64)
-        for b in blocks:
-            ask = np.flatnonzero(low[:, b.cell] <= eps)
-            if len(ask):
-                members = _matrix(b.read()["v"])
-                n[ask] += np.concatenate([near.sum(axis=1) for _, near in _within(q[ask], members, eps)])
-        return pa.table([own["key"], pa.array(n)], ["key", "n"])
+        keys, found = [own["key"].to_numpy()], [n]
+        for other, b in enumerate(blocks):
+            ask = np.flatnonzero(low[:, b.cell] <= eps) if _meets(at, other) else ()
+            if not len(ask):
+                continue
+            members = b.read()
+            there = np.zeros(len(members), np.int64)
+            for i, j in _within(q[ask], _matrix(members["v"]), eps):
+                n += np.bincount(ask[i], minlength=len(q))
+                there += np.bincount(j, minlength=len(there))
+            if other != at and there.any():  # a pair counts for both its rows
+                keys.append(members["key"].to_numpy()[there > 0])
+                found.append(there[there > 0])
+        return pa.table([pa.array(np.concatenate(keys)), pa.array(np.concatenate(found))], ["key", "n"])
 
     counts = _each_block(spark, blocks, count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n_within"))
     marked = cut_lineage(placed.join(counts, "key").withColumn("core", F.col("n_within") >= min_points))
@@ -407,7 +461,8 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
         core, root = rows["core"].to_numpy(), rows["key"].to_numpy().copy()
         names, v = root[core], _matrix(rows["v"])[core]
         if len(names):
-            edges = _spanned(_joined(names, v, names, v, eps))
+            every = np.ones(len(names), bool)
+            edges = _spanned(_joined(names, every, v, names, every, v, eps)[0])
             root[core] = _renamed(names, edges)
         return rows.append_column("root", pa.array(root))
 
@@ -416,23 +471,24 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
     def link(at: int) -> pa.Table:
         own = groups[at].read()
         key, root, core = (own[c].to_numpy() for c in ("key", "root", "core"))
-        q, rim = _matrix(own["v"]), ~core & (own["n_within"].to_numpy() > 1)
+        q, name, alone = _matrix(own["v"]), np.where(core, root, key), own["n_within"].to_numpy() == 1
         low = _lower(cells, q, groups[at].cell)
         edges, beside = [np.stack([key, root], axis=1)[core & (key != root)]], [np.zeros((0, 2), np.int64)]
         for other, b in enumerate(groups):
-            near = low[:, b.cell] <= eps
-            # two blocks' core rows meet in the task of one of them
-            mine = other != at and (other > at) == ((other + at) % 2 == 0)
-            asks = [(r, x, to) for r, x, to in ((core & near, root, edges), (rim & near, key, beside))
-                    if r.any() and (mine or to is beside)]
-            if not asks:
+            if not _meets(at, other):
+                continue
+            # at home, what connects the core rows is known
+            ask = np.flatnonzero(~alone & (low[:, b.cell] <= eps) & ~(core & (other == at)))
+            if not len(ask):
                 continue
             members = b.read()
-            there = members["core"].to_numpy()
-            mn, mv = members["root"].to_numpy()[there], _matrix(members["v"])[there]
-            for r, x, to in asks:
-                if len(mn):
-                    to.append(_joined(x[r], q[r], mn, mv, eps))
+            there, use = members["core"].to_numpy(), members["n_within"].to_numpy() > 1
+            mn = np.where(there, members["root"].to_numpy(), members["key"].to_numpy())
+            if not use.any():
+                continue
+            both, rim = _joined(name[ask], core[ask], q[ask], mn[use], there[use], _matrix(members["v"])[use], eps)
+            edges.append(both)
+            beside.append(rim)
             if sum(map(len, edges)) > 1 << 20:
                 edges = [_spanned(np.concatenate(edges))]
         edges, beside = _spanned(np.concatenate(edges)), np.concatenate(beside)

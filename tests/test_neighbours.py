@@ -195,3 +195,31 @@ def test_nearest_with_names_as_keys(spark):
     rows = [(f"n{i % 7}-{i}", [float(i % 5), float(i % 3)]) for i in range(30)]
     got = neighbours.nearest(spark.createDataFrame(rows, "id string, v array<double>"), "id", "v", 4, 3, 6).collect()
     assert sorted(tuple(r) for r in got) == plain_nearest(rows, 4)
+
+
+@pytest.mark.parametrize("offset, spread, eps", [(0, 1, 4.0), (1e5, 1e-3, 0.004), (0, 1e-9, 2e-9), (0, 1e18, 4e18),
+                                                 (3, 1, 0.0), (0, 1, 100.0)])
+def test_single_precision_loses_no_pair(offset, spread, eps):
+    """What a product of single precision leaves open is settled exactly, also
+    in a crowd, far from the origin and at any scale."""
+    rng = np.random.default_rng(7)
+    q, m = (offset + spread * rng.normal(0, 1, (n, 12)) for n in (450, 300))
+    m[:40] = q[0]
+    m[40:60] += 1000 * spread
+    d = np.round(np.sqrt(((q[:, None] - m[None]) ** 2).sum(axis=2)), neighbours.DIGITS)
+    got = [np.stack(x, axis=1) for x in neighbours._within(q, m, eps)]
+    assert np.concatenate(got).tolist() == np.argwhere(d <= eps).tolist()
+    limit = rng.choice([eps, np.inf], len(q))
+    i, j, near = (np.concatenate(x) for x in zip(*neighbours._pairs(q, limit, m, 5), strict=True))
+    found = np.full(d.shape, np.inf)
+    found[i, j] = near
+    assert (found[i, j] == d[i, j]).all()
+    want = np.sort(np.where(d <= limit[:, None], d, np.inf), axis=1)[:, :5]
+    assert (np.sort(found, axis=1)[:, :5] == want).all()
+
+
+def test_two_blocks_meet_once():
+    for n in (1, 2, 7, 10):
+        meets = np.array([[neighbours._meets(a, b) for b in range(n)] for a in range(n)])
+        assert meets.diagonal().all() and (meets ^ meets.T)[~np.eye(n, dtype=bool)].all()
+        assert meets.sum(axis=1).max() <= 1 + -(-n // 2)
