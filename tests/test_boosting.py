@@ -196,3 +196,25 @@ def test_more_tasks_than_rows(spark):
     _, df = data(spark, 3)
     _, state = bo.fit(df, "id", "y", COLS, [bo.Params(trees=2, depth=2, min_child=0.01)])
     assert state.count() == 3
+
+
+def test_models_take_turns_where_memory_is_short(spark, monkeypatch):
+    """More rows than a task can hold with all models: a stage after the other,
+    the same trees and margins to the bit, and no job a level."""
+    from dataclasses import replace
+    _, df = data(spark)
+    base = bo.Params(trees=6, depth=4, subsample=0.8, colsample=0.7, rate=0.3)
+    params = [base, replace(base, fold=2, depth=2, trees=4), replace(base, trees=2), replace(base, min_child=5.0)]
+    forest, state = bo.fit(df, "id", "y", COLS, params, "fold")
+    rows = 240 // bo.slots(spark)
+    monkeypatch.setattr(bo, "GANG_BYTES", rows * (9 * 3 + 40 + 8 * 4 + 44))
+    spark.sparkContext.setJobGroup("turns", "a stage a model")
+    try:
+        other, each = bo.fit(df, "id", "y", COLS, params, "fold")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("turns"))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert bo._at_once(rows, 3, 4) == 1 and jobs < 24  # six trees of four levels
+    assert margins(state, 4) == margins(each, 4)
+    for a, b in zip(forest.trees, other.trees, strict=True):
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("feature", "bin", "value", "cover", "gain"))
