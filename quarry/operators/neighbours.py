@@ -118,7 +118,7 @@ def in_cells(vectors: DataFrame, k: int = 0, pivots: int | None = None) -> tuple
     """The rows in their cells, and what the driver knows of the cells: a row
     per pivot and at most ``k + 1`` distances of each, for PIVOTS pivots at
     most whatever the data size."""
-    order = F.xxhash64("key")
+    order, vectors = F.xxhash64("key"), cut_lineage(vectors)
     pivots = pivots or min(PIVOTS, 1 + vectors.count() // CELL)
     chosen = vectors.orderBy(order, "key").limit(pivots).collect()
     if not chosen:
@@ -227,61 +227,82 @@ def _lower(cells: Cells, v: np.ndarray, cell: int) -> np.ndarray:
     return out
 
 
-def _screened(qv: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int | None = None) -> Iterator[tuple]:
-    """(first query, query, member, least, most) chunk by chunk: bounds of the
-    squared distance of every pair that may lie within its query's limit and,
-    with ``k``, among the query's k nearest.  The product is made of single
-    precision numbers around the members' mean; ``share`` of both squared
-    lengths is more than it may be off.  Where that leaves much open (a crowd),
-    doubles are taken."""
-    centre = mv.mean(axis=0)
-    q, m = qv - centre, mv - centre
-    qq, mm, top = (q ** 2).sum(axis=1), (m ** 2).sum(axis=1), (limit + SLACK) ** 2
-    forms: dict[type, tuple] = {}
-
-    def product(kind: type, at: int) -> tuple[np.ndarray, np.ndarray, float]:
-        if kind not in forms:
-            share = 2 * (q.shape[1] + 16) * float(np.finfo(kind).eps)
-            forms[kind] = (np.concatenate([-2 * q, np.ones((len(q), 1)), (1 - share) * qq[:, None]], axis=1).astype(kind),
-                           np.concatenate([m, (1 - share) * mm[:, None], np.ones((len(m), 1))], axis=1).astype(kind).T,
-                           share)
-        left, right, share = forms[kind]
-        least = left[at:at + CHUNK] @ right
-        cap = top[at:at + CHUNK]
-        near = _below(least, cap)
-        if k and k < len(m) and len(near) > 2 * k * len(least):
-            kth = np.partition(least, k - 1, axis=1)[:, k - 1] + 2 * share * (qq[at:at + CHUNK] + mm.max())
-            near = _below(least, np.minimum(cap, kth))
-        return least, near, share
-
-    first = np.float32 if qq.max() + mm.max() < 1e30 else np.float64
-    for at in range(0, len(q), CHUNK):
-        least, near, share = product(first, at)
-        if first is np.float32 and len(near) > least.size // 16:
-            least, near, share = product(np.float64, at)
-        i, j = np.divmod(near, len(m))
-        least = least.ravel()[near].astype(float)
-        yield at, i, j, least, least + 2 * share * (qq[at + i] + mm[j])
-
-
-def _below(values: np.ndarray, cap: np.ndarray) -> np.ndarray:
-    """Places of the values (row by row) that are at most their row's cap, rounded up."""
-    return np.flatnonzero(values <= np.nextafter(cap.astype(values.dtype), values.dtype.type(np.inf))[:, None])
+class _Queries:
+    """Vectors of a block that are compared with block after block."""
+
+    def __init__(self, v: np.ndarray):
+        self.v, self.centre = v, v.mean(axis=0)
+        self.q = v - self.centre
+        self.square = (self.q ** 2).sum(axis=1)
+        self.left: dict[type, np.ndarray] = {}
+
+    @staticmethod
+    def share(kind: type, dim: int) -> float:
+        """More than this share of both squared lengths a product is not off."""
+        return 2 * (dim + 16) * float(np.finfo(kind).eps)
+
+    def form(self, kind: type) -> np.ndarray:
+        if kind not in self.left:
+            share = self.share(kind, self.q.shape[1])
+            self.left[kind] = np.concatenate([-2 * self.q, np.ones((len(self.q), 1)), (1 - share) * self.square[:, None]],
+                                             axis=1).astype(kind)
+        return self.left[kind]
+
+    def screened(self, ask: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int | None = None) -> Iterator[tuple]:
+        """(query, member, most) chunk by chunk for the queries ``ask``: pairs
+        that may lie within their query's limit and, with ``k``, among the
+        query's k nearest, with a bound of their squared distance.  The product
+        is made of single precision numbers around the queries' mean; where that
+        leaves much open (a crowd), doubles are taken."""
+        m = mv - self.centre
+        mm, top, dim = (m ** 2).sum(axis=1), (limit + SLACK) ** 2, m.shape[1]
+        right: dict[type, np.ndarray] = {}
+
+        def product(kind: type, rows: np.ndarray, cap: np.ndarray) -> tuple:
+            share = self.share(kind, dim)
+            if kind not in right:
+                right[kind] = np.concatenate([m, (1 - share) * mm[:, None], np.ones((len(m), 1))], axis=1).astype(kind).T
+            least = self.form(kind)[rows] @ right[kind]
+            i, j = _below(least, cap)
+            if k and k < len(m) and len(i) > 2 * k * len(least):
+                kth = np.partition(least, k - 1, axis=1)[:, k - 1] + 2 * share * (self.square[rows] + mm.max())
+                i, j = _below(least, np.minimum(cap, kth))
+            return i, j, least[i, j].astype(float), share
+
+        first = np.float32 if self.square.max() + mm.max() < 1e30 else np.float64
+        for at in range(0, len(ask), CHUNK):
+            rows, cap = ask[at:at + CHUNK], top[at:at + CHUNK]
+            i, j, least, share = product(first, rows, cap)
+            if first is np.float32 and len(i) > len(rows) * len(m) // 16:
+                i, j, least, share = product(np.float64, rows, cap)
+            i = rows[i]
+            yield i, j, least + 2 * share * (self.square[i] + mm[j])
+
+
+def _below(values: np.ndarray, cap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the values that are at most their row's cap, rounded up."""
+    cap = np.nextafter(cap.astype(values.dtype), values.dtype.type(np.inf))
+    some = np.flatnonzero(values.min(axis=1) <= cap)
+    i, j = np.divmod(np.flatnonzero(values[some] <= cap[some, None]), values.shape[1])
+    return some[i], j
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.round(np.sqrt(((a - b) ** 2).sum(axis=1)), DIGITS)
 
 
-def _pairs(qv: np.ndarray, limit: np.ndarray, mv: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(query, member, distance) of a block: pairs within each query's limit
-    that may be among its k nearest, some 2^18 at a time at most."""
+def _pairs(queries: _Queries, ask: np.ndarray, limit: np.ndarray, mv: np.ndarray,
+           k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, member, distance) of the queries ``ask``: pairs within each one's
+    limit that may be among its k nearest, some 2^18 at a time at most."""
     kept, held = [], 0
-    for at, i, j, _, _ in _screened(qv, limit, mv, k):
+    bound = np.empty(len(queries.v))
+    bound[ask] = limit + 10.0 ** -DIGITS / 2
+    for i, j, _ in queries.screened(ask, limit, mv, k):
         for s in range(0, len(i), 1 << 18):
-            a, b = at + i[s:s + (1 << 18)], j[s:s + (1 << 18)]
-            d = _apart(qv[a], mv[b])
-            ok = d <= limit[a] + 10.0 ** -DIGITS / 2
+            a, b = i[s:s + (1 << 18)], j[s:s + (1 << 18)]
+            d = _apart(queries.v[a], mv[b])
+            ok = d <= bound[a]
             kept.append((a[ok], b[ok], d[ok]))
             held += len(kept[-1][0])
             if held > 1 << 17:
@@ -331,6 +352,7 @@ def nearest(df: DataFrame, key: str, vec: str, k: int, pivots: int | None = None
     def search(at: int) -> pa.Table:
         own = blocks[at].read()
         names, q = _names(own["key"]), _matrix(own["v"])
+        queries = _Queries(q)
         low, best = _lower(cells, q, blocks[at].cell), _Best(len(q), k, names)
         first = low.min(axis=0)
         first[blocks[at].cell] = -np.inf  # at home first, then the cells that may be nearest
@@ -340,9 +362,9 @@ def nearest(df: DataFrame, key: str, vec: str, k: int, pivots: int | None = None
                 continue
             members = b.read()
             others = _names(members["key"])
-            for i, j, d in _pairs(q[ask], best.distance[ask, k - 1], _matrix(members["v"]), k + 1):
-                other = names[ask[i]] != others[j]
-                best.take(ask[i[other]], others[j[other]], d[other])
+            for i, j, d in _pairs(queries, ask, best.distance[ask, k - 1], _matrix(members["v"]), k + 1):
+                other = names[i] != others[j]
+                best.take(i[other], others[j[other]], d[other])
         i, col = np.nonzero(np.isfinite(best.distance))
         return pa.table([own["key"].take(pa.array(i)), pa.array(best.name[i, col], own["key"].type),
                          pa.array(best.distance[i, col])], ["key", "neighbour", "distance"])
@@ -362,16 +384,17 @@ def k_distances(df: DataFrame, key: str, vec: str, k: int = 5, **limits: int) ->
     return rows.join(near.select(key, kth.alias("k_distance")), key, "left")
 
 
-def _within(qv: np.ndarray, mv: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(query, member) of the pairs within eps, chunk by chunk.  Only pairs that
-    the product cannot tell apart from eps are settled by their differences."""
+def _within(queries: _Queries, ask: np.ndarray, mv: np.ndarray, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, member) of the pairs within eps of the queries ``ask``, chunk by
+    chunk.  Only pairs that the product cannot tell apart from eps are settled
+    by their differences."""
     sure = max(eps - SLACK, 0.0) ** 2
-    for at, i, j, _, most in _screened(qv, np.full(len(qv), eps), mv):
-        i, inside = at + i, most <= sure
+    for i, j, most in queries.screened(ask, np.full(len(ask), eps), mv):
+        inside = most <= sure
         doubt = np.flatnonzero(~inside)
         for s in range(0, len(doubt), 1 << 15):
             x = doubt[s:s + (1 << 15)]
-            inside[x] = _apart(qv[i[x]], mv[j[x]]) <= eps
+            inside[x] = _apart(queries.v[i[x]], mv[j[x]]) <= eps
         yield i[inside], j[inside]
 
 
@@ -381,13 +404,14 @@ def _meets(a: int, b: int) -> bool:
     return a == b or (b > a) == ((a + b) % 2 == 0)
 
 
-def _joined(qn: np.ndarray, qc: np.ndarray, qv: np.ndarray, mn: np.ndarray, mc: np.ndarray, mv: np.ndarray,
-            eps: float) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of names (of a query, of a member) within eps: those of
-    two core rows, and those of a row that is not core with a core one."""
+def _joined(qn: np.ndarray, qc: np.ndarray, queries: _Queries, ask: np.ndarray, mn: np.ndarray, mc: np.ndarray,
+            mv: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of names (of a query among ``ask``, of a member) within
+    eps: those of two core rows, and those of a row that is not core with a core
+    one."""
     (a, p, i), (b, r, j) = (np.unique(x, return_index=True, return_inverse=True) for x in (qn, mn))
     codes = [np.zeros(0, np.int64)]
-    for x, y in _within(qv, mv, eps):
+    for x, y in _within(queries, ask, mv, eps):
         some = qc[x] | mc[y]
         codes.append(np.unique(i[x[some]] * len(b) + j[y[some]]))
     x, y = np.divmod(np.unique(np.concatenate(codes)), len(b))
@@ -438,7 +462,7 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
     def count(at: int) -> pa.Table:
         own = blocks[at].read()
         q = _matrix(own["v"])
-        low, n = _lower(cells, q, blocks[at].cell), np.zeros(len(q), np.int64)
+        low, n, queries = _lower(cells, q, blocks[at].cell), np.zeros(len(q), np.int64), _Queries(q)
         keys, found = [own["key"].to_numpy()], [n]
         for other, b in enumerate(blocks):
             ask = np.flatnonzero(low[:, b.cell] <= eps) if _meets(at, other) else ()
@@ -446,8 +470,8 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
                 continue
             members = b.read()
             there = np.zeros(len(members), np.int64)
-            for i, j in _within(q[ask], _matrix(members["v"]), eps):
-                n += np.bincount(ask[i], minlength=len(q))
+            for i, j in _within(queries, ask, _matrix(members["v"]), eps):
+                n += np.bincount(i, minlength=len(q))
                 there += np.bincount(j, minlength=len(there))
             if other != at and there.any():  # a pair counts for both its rows
                 keys.append(members["key"].to_numpy()[there > 0])
@@ -462,7 +486,7 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
         names, v = root[core], _matrix(rows["v"])[core]
         if len(names):
             every = np.ones(len(names), bool)
-            edges = _spanned(_joined(names, every, v, names, every, v, eps)[0])
+            edges = _spanned(_joined(names, every, _Queries(v), np.arange(len(v)), names, every, v, eps)[0])
             root[core] = _renamed(names, edges)
         return rows.append_column("root", pa.array(root))
 
@@ -472,7 +496,7 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
         own = groups[at].read()
         key, root, core = (own[c].to_numpy() for c in ("key", "root", "core"))
         q, name, alone = _matrix(own["v"]), np.where(core, root, key), own["n_within"].to_numpy() == 1
-        low = _lower(cells, q, groups[at].cell)
+        low, queries = _lower(cells, q, groups[at].cell), _Queries(q)
         edges, beside = [np.stack([key, root], axis=1)[core & (key != root)]], [np.zeros((0, 2), np.int64)]
         for other, b in enumerate(groups):
             if not _meets(at, other):
@@ -486,7 +510,7 @@ def density_clusters(df: DataFrame, key: str, vec: str, eps: float, min_points:
             mn = np.where(there, members["root"].to_numpy(), members["key"].to_numpy())
             if not use.any():
                 continue
-            both, rim = _joined(name[ask], core[ask], q[ask], mn[use], there[use], _matrix(members["v"])[use], eps)
+            both, rim = _joined(name, core, queries, ask, mn[use], there[use], _matrix(members["v"])[use], eps)
             edges.append(both)
             beside.append(rim)
             if sum(map(len, edges)) > 1 << 20:

@@ -45,8 +45,8 @@ def k_neighbours(spark, sf_dir):
     return near.withColumn("distance", _r(F.col("distance")))
 
 
-def _k_distances(spark, sf_dir):
-    return cut_lineage(nb.k_distances(_zvectors(spark, sf_dir), "vec_id", "v", NEIGHBOURS))
+def _k_distances(vectors):
+    return cut_lineage(nb.k_distances(vectors, "vec_id", "v", NEIGHBOURS))
 
 
 @register("k_distance", with_(ZVECTORS, DISTANCES, K_DISTANCE) + """
@@ -54,14 +54,15 @@ SELECT vec_id, round(k_distance, 6) AS k_distance, row_number() OVER (ORDER BY k
 FROM kd""")
 def k_distance(spark, sf_dir):
     """The k-distance curve: each vector's place in ascending order."""
-    kd = _k_distances(spark, sf_dir).withColumn("_one", F.lit(1))
+    kd = _k_distances(_zvectors(spark, sf_dir)).withColumn("_one", F.lit(1))
     out = running_totals(kd, "k_distance", ["_one"], tiebreak=["vec_id"])
     return out.select("vec_id", _r(F.col("k_distance")).alias("k_distance"), (F.col("cum__one") - 1).alias("position"))
 
 
 def _dbscan(spark, sf_dir):
-    eps = qu.order_statistic(_k_distances(spark, sf_dir), "k_distance", EPS_SHARE).first()["value"]
-    return nb.density_clusters(_zvectors(spark, sf_dir), "vec_id", "v", eps, NEIGHBOURS)
+    vectors = cut_lineage(_zvectors(spark, sf_dir).select("vec_id", "v"))
+    eps = qu.order_statistic(_k_distances(vectors), "k_distance", EPS_SHARE).first()["value"]
+    return nb.density_clusters(vectors, "vec_id", "v", eps, NEIGHBOURS)
 
 
 DBSCAN = f"""

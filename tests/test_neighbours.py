@@ -207,10 +207,14 @@ def test_single_precision_loses_no_pair(offset, spread, eps):
     m[:40] = q[0]
     m[40:60] += 1000 * spread
     d = np.round(np.sqrt(((q[:, None] - m[None]) ** 2).sum(axis=2)), neighbours.DIGITS)
-    got = [np.stack(x, axis=1) for x in neighbours._within(q, m, eps)]
+    queries, ask = neighbours._Queries(q), np.arange(0, len(q), 3)
+    got = [np.stack(x, axis=1) for x in neighbours._within(queries, ask, m, eps)]
+    assert np.concatenate(got).tolist() == [x for x in np.argwhere(d <= eps).tolist() if x[0] % 3 == 0]
+    got = [np.stack(x, axis=1) for x in neighbours._within(queries, np.arange(len(q)), m, eps)]
     assert np.concatenate(got).tolist() == np.argwhere(d <= eps).tolist()
     limit = rng.choice([eps, np.inf], len(q))
-    i, j, near = (np.concatenate(x) for x in zip(*neighbours._pairs(q, limit, m, 5), strict=True))
+    i, j, near = (np.concatenate(x) for x in zip(*neighbours._pairs(queries, np.arange(len(q)), limit, m, 5),
+                                                           strict=True))
     found = np.full(d.shape, np.inf)
     found[i, j] = near
     assert (found[i, j] == d[i, j]).all()
